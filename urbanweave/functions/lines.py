@@ -23,6 +23,11 @@ def pt(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once; Column expressions have no other way to name a result."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def same_point(a: Column, b: Column) -> Column:
     return (a["x"] == b["x"]) & (a["y"] == b["y"])
 
@@ -53,7 +58,6 @@ def hypot(dx: Column, dy: Column) -> Column:
 
 def segments(coords: Column) -> Column:
     """Consecutive vertex pairs as structs x0, y0, x1, y1, len."""
-    n = F.size(coords)
 
     def pair(a: Column, b: Column) -> Column:
         return F.struct(
@@ -64,7 +68,11 @@ def segments(coords: Column) -> Column:
             hypot(b["x"] - a["x"], b["y"] - a["y"]).alias("len"),
         )
 
-    return F.zip_with(F.slice(coords, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(coords, 2, n), pair_or_none(pair))
+    def zipped(c: Column) -> Column:
+        n = F.size(c)
+        return F.zip_with(F.slice(c, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(c, 2, n), pair_or_none(pair))
+
+    return let(coords, zipped)
 
 
 def pair_or_none(pair):
@@ -101,15 +109,13 @@ def point_at(coords: Column, distance: Column) -> Column:
             )
         )
 
-    end = F.aggregate(segments(coords), start, step)
-    return pt(end["x"], end["y"])
+    return let(F.aggregate(segments(coords), start, step), lambda end: pt(end["x"], end["y"]))
 
 
 def sub_line(coords: Column, start: Column, end: Column) -> Column:
     """Part of a line between two running lengths, with the vertices strictly between them."""
-    marks = stations(coords)
     inner = F.filter(
-        F.zip_with(coords, marks, lambda p, m: F.struct(p["x"].alias("x"), p["y"].alias("y"), m.alias("m"))),
+        F.zip_with(coords, stations(coords), lambda p, m: F.struct(p["x"].alias("x"), p["y"].alias("y"), m.alias("m"))),
         lambda p: (p["m"] > start) & (p["m"] < end),
     )
     return F.concat(
@@ -132,11 +138,13 @@ def point_and_yaw(coords: Column, distance: Column, total: Column) -> Column:
     here = F.least(F.greatest(distance, F.lit(0.0)), total)
     a = point_at(coords, F.greatest(F.lit(0.0), here - delta))
     b = point_at(coords, F.least(total, here + delta))
-    p = point_at(coords, here)
-    dx, dy = b["x"] - a["x"], b["y"] - a["y"]
-    return F.when(
-        hypot(dx, dy) >= 1e-12, F.struct(p["x"].alias("x"), p["y"].alias("y"), F.atan2(dy, dx).alias("yaw"))
-    )
+
+    def located(q: Column) -> Column:
+        dx, dy = q["b"]["x"] - q["a"]["x"], q["b"]["y"] - q["a"]["y"]
+        yaw = F.struct(q["p"]["x"].alias("x"), q["p"]["y"].alias("y"), F.atan2(dy, dx).alias("yaw"))
+        return F.when(hypot(dx, dy) >= 1e-12, yaw)
+
+    return let(F.struct(a.alias("a"), b.alias("b"), point_at(coords, here).alias("p")), located)
 
 
 # ---- angles
@@ -144,8 +152,7 @@ def point_and_yaw(coords: Column, distance: Column, total: Column) -> Column:
 
 def angle_abs(d: Column) -> Column:
     """Size of an angle difference, wrapped into 0..pi."""
-    turn = F.pmod(F.abs(d), F.lit(2 * math.pi))
-    return F.least(turn, F.lit(2 * math.pi) - turn)
+    return F.lit(math.pi) - F.abs(F.lit(math.pi) - F.pmod(F.abs(d), F.lit(2 * math.pi)))
 
 
 def opposite(a: Column, b: Column, tol: float = K.OPPOSITE_TOL) -> Column:
@@ -226,8 +233,8 @@ def bends_near(coords: Column, distance: Column, total: Column, window) -> Colum
     span = F.greatest(F.lit(2.0), window if isinstance(window, Column) else F.lit(float(window)))
     d0, d1 = F.greatest(F.lit(0.0), distance - span), F.least(total, distance + span)
     mid = F.greatest(d0, F.least(d1, distance))
-    p0, p1, p2 = point_at(coords, d0), point_at(coords, mid), point_at(coords, d1)
-    turned = angle_abs(heading(p1, p2) - heading(p0, p1)) > math.radians(16.0)
+    three = F.array(point_at(coords, d0), point_at(coords, mid), point_at(coords, d1))
+    turned = let(three, lambda p: angle_abs(heading(p[1], p[2]) - heading(p[0], p[1])) > math.radians(16.0))
     inner = (total >= 2.0) & (distance >= 1.25) & (distance <= total - 1.25) & (d1 - d0 >= 1.5)
     return inner & turned
 
@@ -236,19 +243,23 @@ def bends_near(coords: Column, distance: Column, total: Column, window) -> Colum
 
 
 def normals(coords: Column) -> Column:
-    """Left unit normal at every vertex, from its two neighbours."""
-    n = F.size(coords)
-    index = F.sequence(F.lit(0), n - 1)
+    """Left unit normal at every vertex, from its two neighbours; straight up where they coincide."""
+    def all_normals(c: Column) -> Column:
+        n = F.size(c)
+
+        def normal(_: Column, i: Column) -> Column:
+            a, b = F.get(c, F.greatest(i - 1, F.lit(0))), F.get(c, F.least(i + 1, n - 1))
+
+            def scaled(d: Column) -> Column:
+                size = hypot(d["x"], d["y"])
+                unit = pt(F.try_divide(-d["y"], size), F.try_divide(d["x"], size))
+                return F.when(size < 1e-6, pt(F.lit(0.0), F.lit(1.0))).otherwise(unit)
+
+            return let(pt(b["x"] - a["x"], b["y"] - a["y"]), scaled)
 
-    def normal(i: Column) -> Column:
-        a = F.get(coords, F.greatest(i - 1, F.lit(0)))
-        b = F.get(coords, F.least(i + 1, n - 1))
-        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
-        size = hypot(dx, dy)
-        flat = size < 1e-6
-        return F.when(flat, pt(F.lit(0.0), F.lit(1.0))).otherwise(pt(F.try_divide(-dy, size), F.try_divide(dx, size)))
+        return F.transform(c, normal)
 
-    return F.transform(index, normal)
+    return let(coords, all_normals)
 
 
 def offset_variable(coords: Column, widths: Column, fraction: float) -> Column:
@@ -259,31 +270,24 @@ def offset_variable(coords: Column, widths: Column, fraction: float) -> Column:
 
 def offset_constant(coords: Column, distance: Column) -> Column:
     """Parallel line at a signed distance to the left, mitred at the bends."""
-    n = F.size(coords)
-    index = F.sequence(F.lit(0), n - 1)
+    def shifted(c: Column) -> Column:
+        n = F.size(c)
 
-    def unit(a: Column, b: Column) -> Column:
-        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
-        size = hypot(dx, dy)
-        return pt(F.coalesce(F.try_divide(-dy, size), F.lit(0.0)), F.coalesce(F.try_divide(dx, size), F.lit(0.0)))
+        def moved(here: Column, i: Column) -> Column:
+            before = _unit_normal(F.get(c, F.greatest(i - 1, F.lit(0))), F.get(c, F.greatest(i, F.lit(1))))
+            after = _unit_normal(F.get(c, F.least(i, n - 2)), F.get(c, F.least(i + 1, n - 1)))
+            return _mitred(here, before, after, distance, 0.2)
 
-    def moved(i: Column) -> Column:
-        here = F.get(coords, i)
-        before = unit(F.get(coords, F.greatest(i - 1, F.lit(0))), F.get(coords, F.greatest(i, F.lit(1))))
-        after = unit(F.get(coords, F.least(i, n - 2)), F.get(coords, F.least(i + 1, n - 1)))
-        sx, sy = before["x"] + after["x"], before["y"] + after["y"]
-        # |s|^2 / 2 = 1 + cos(turn); scaling by its inverse puts the corner on both parallels
-        scale = F.try_divide(2 * distance, F.greatest(sx * sx + sy * sy, F.lit(0.2)))
-        return pt(here["x"] + sx * scale, here["y"] + sy * scale)
+        return F.transform(c, moved)
 
-    return F.transform(index, moved)
+    return let(coords, shifted)
 
 
 def ribbon(coords: Column, widths: Column) -> Column:
     """Closed ring around a line with the given width at every vertex (at least 0.8 m)."""
     wide = F.transform(widths, lambda w: F.greatest(w, F.lit(0.8)))
     ring = F.concat(offset_variable(coords, wide, 0.5), F.reverse(offset_variable(coords, wide, -0.5)))
-    return F.concat(ring, F.slice(ring, 1, 1))
+    return let(ring, lambda r: F.concat(r, F.slice(r, 1, 1)))
 
 
 def segment_boxes(coords: Column, half: Column) -> Column:
@@ -356,9 +360,13 @@ def ring_centroid(ring: Column) -> Column:
             (acc["y"] + (y0 + y1) * cross).alias("y"),
         )
 
-    total = F.aggregate(segments(ring), zero, step)
-    div = lambda v: F.coalesce(F.try_divide(v, 3 * total["a"]), F.lit(0.0))
-    return pt(base["x"] + div(total["x"]), base["y"] + div(total["y"]))
+    def centre(total: Column) -> Column:
+        def share(v: Column) -> Column:
+            return F.coalesce(F.try_divide(v, 3 * total["a"]), F.lit(0.0))
+
+        return pt(base["x"] + share(total["x"]), base["y"] + share(total["y"]))
+
+    return let(F.aggregate(segments(ring), zero, step), centre)
 
 
 def vertex_mean(coords: Column) -> Column:
@@ -369,14 +377,18 @@ def vertex_mean(coords: Column) -> Column:
         F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y")),
         lambda acc, p: F.struct((acc["x"] + p["x"]).alias("x"), (acc["y"] + p["y"]).alias("y")),
     )
-    return pt(total["x"] / n, total["y"] / n)
+    return let(total, lambda s: pt(s["x"] / n, s["y"] / n))
 
 
 def bounds(coords: Column) -> Column:
-    xs, ys = F.transform(coords, lambda p: p["x"]), F.transform(coords, lambda p: p["y"])
-    return F.struct(
-        F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1")
-    )
+    def corners(c: Column) -> Column:
+        xs, ys = F.transform(c, lambda p: p["x"]), F.transform(c, lambda p: p["y"])
+        return F.struct(
+            F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"),
+            F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"),
+        )
+
+    return let(coords, corners)
 
 
 def parts_bounds(parts: Column) -> Column:
@@ -390,45 +402,63 @@ def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
 
 def is_box(ring: Column) -> Column:
     """The ring is an axis-aligned rectangle of four corners."""
-    b = bounds(ring)
-    corners = F.forall(
-        ring,
-        lambda p: ((p["x"] == b["x0"]) | (p["x"] == b["x1"])) & ((p["y"] == b["y0"]) | (p["y"] == b["y1"])),
-    )
-    area = (b["x1"] - b["x0"]) * (b["y1"] - b["y0"])
-    return (F.size(ring) == 5) & corners & (F.abs(ring_area(ring) - area) <= 1e-9 * (1 + area))
+    def judged(b: Column) -> Column:
+        corners = F.forall(
+            ring,
+            lambda p: ((p["x"] == b["x0"]) | (p["x"] == b["x1"])) & ((p["y"] == b["y0"]) | (p["y"] == b["y1"])),
+        )
+        area = (b["x1"] - b["x0"]) * (b["y1"] - b["y0"])
+        return corners & (F.abs(ring_area(ring) - area) <= 1e-9 * (1 + area))
+
+    return (F.size(ring) == 5) & let(bounds(ring), judged)
+
+
+def _unit_normal(a: Column, b: Column) -> Column:
+    """Left unit normal of the edge a-b, zero for an edge without length."""
+    def scaled(d: Column) -> Column:
+        size = hypot(d["x"], d["y"])
+        return pt(F.coalesce(F.try_divide(-d["y"], size), F.lit(0.0)), F.coalesce(F.try_divide(d["x"], size), F.lit(0.0)))
+
+    return let(pt(b["x"] - a["x"], b["y"] - a["y"]), scaled)
+
+
+def _mitred(here: Column, before: Column, after: Column, distance: Column, floor: float) -> Column:
+    """Point on both parallels of the edges around a vertex; |s|^2 / 2 = 1 + cos(turn), bounded for sharp turns."""
+    def moved(s: Column) -> Column:
+        scale = F.try_divide(2 * distance, F.greatest(s["x"] * s["x"] + s["y"] * s["y"], F.lit(floor)))
+        return pt(here["x"] + s["x"] * scale, here["y"] + s["y"] * scale)
+
+    return let(F.struct(before.alias("b"), after.alias("a")),
+               lambda n: let(pt(n["b"]["x"] + n["a"]["x"], n["b"]["y"] + n["a"]["y"]), moved))
 
 
 def inset_ring(ring: Column, distance: float) -> Column:
     """Closed ring with every edge moved inwards by ``distance``, corners mitred; null when nothing is left."""
-    body = F.slice(ring, F.lit(1), F.size(ring) - 1)
-    n = F.size(body)
-    sign = F.signum(ring_area_signed(ring))
-    index = F.sequence(F.lit(0), n - 1)
+    def inner(body: Column) -> Column:
+        n = F.size(body)
+        signed = F.lit(float(distance)) * F.signum(ring_area_signed(ring))
+
+        def moved(here: Column, i: Column) -> Column:
+            before = _unit_normal(F.get(body, F.pmod(i - 1, n)), here)
+            after = _unit_normal(here, F.get(body, F.pmod(i + 1, n)))
+            return _mitred(here, before, after, signed, 0.02)
+
+        return let(F.transform(body, moved), lambda r: F.concat(r, F.slice(r, 1, 1)))
+
+    def checked(closed: Column) -> Column:
+        area, new_area = ring_area_signed(ring), ring_area_signed(closed)
+        forward = F.forall(
+            F.zip_with(
+                segments(ring), segments(closed),
+                lambda a, b: (a["x1"] - a["x0"]) * (b["x1"] - b["x0"]) + (a["y1"] - a["y0"]) * (b["y1"] - b["y0"]),
+            ),
+            lambda dot: dot >= 0,
+        )
+        smaller = let(F.struct(area.alias("a"), new_area.alias("b")),
+                      lambda v: (v["a"] * v["b"] > 0) & (F.abs(v["b"]) < F.abs(v["a"])))
+        return F.when((F.size(closed) >= 4) & smaller & forward, closed)
 
-    def unit(a: Column, b: Column) -> Column:
-        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
-        size = hypot(dx, dy)
-        return pt(F.coalesce(F.try_divide(-dy, size), F.lit(0.0)), F.coalesce(F.try_divide(dx, size), F.lit(0.0)))
-
-    def moved(i: Column) -> Column:
-        here = F.get(body, i)
-        a = unit(F.get(body, F.pmod(i - 1, n)), here)
-        b = unit(here, F.get(body, F.pmod(i + 1, n)))
-        sx, sy = a["x"] + b["x"], a["y"] + b["y"]
-        scale = F.try_divide(2 * distance * sign, F.greatest(sx * sx + sy * sy, F.lit(0.02)))
-        return pt(here["x"] + sx * scale, here["y"] + sy * scale)
-
-    inner = F.transform(index, moved)
-    closed = F.concat(inner, F.slice(inner, 1, 1))
-    shrunk = (ring_area_signed(closed) * sign > 0) & (ring_area(closed) < ring_area(ring))
-    edges_kept = F.forall(
-        F.arrays_zip(segments(ring).alias("a"), segments(closed).alias("b")),
-        lambda z: (z["a"]["x1"] - z["a"]["x0"]) * (z["b"]["x1"] - z["b"]["x0"])
-        + (z["a"]["y1"] - z["a"]["y0"]) * (z["b"]["y1"] - z["b"]["y0"])
-        >= 0,
-    )
-    return F.when((n >= 3) & shrunk & edges_kept, closed)
+    return let(let(F.slice(ring, F.lit(1), F.size(ring) - 1), inner), checked)
 
 
 def point_in_ring(x: Column, y: Column, ring: Column) -> Column:
@@ -450,7 +480,7 @@ def point_segment_distance(x: Column, y: Column, s: Column) -> Column:
     dx, dy = s["x1"] - s["x0"], s["y1"] - s["y0"]
     t = F.coalesce(F.try_divide((x - s["x0"]) * dx + (y - s["y0"]) * dy, dx * dx + dy * dy), F.lit(0.0))
     t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
-    return hypot(x - (s["x0"] + t * dx), y - (s["y0"] + t * dy))
+    return let(t, lambda v: hypot(x - (s["x0"] + v * dx), y - (s["y0"] + v * dy)))
 
 
 def segment_distance(a: Column, b: Column) -> Column:

@@ -53,6 +53,11 @@ def parse_metres(value: Column) -> Column:
     return F.regexp_extract(value, K.METRES_PATTERN, 1).try_cast("double")
 
 
+def at_least_one(value: Column) -> Column:
+    """Whole number not below one; null stays null."""
+    return F.when(value.isNotNull(), F.greatest(F.lit(1), value.cast("int")))
+
+
 # ---- roads
 
 
@@ -74,7 +79,7 @@ def lane_count(tags: Column | str = "tags", width: Column | None = None) -> Colu
     """Lanes from the tag's first part, else from the width; two-way roads prefer the better even number."""
     width = road_width(tags) if width is None else width
     first = F.split(F.split(tag("lanes", tags), ";")[0], r"\|")[0]
-    tagged = F.greatest(F.lit(1), F.bround(parse_double(first)).cast("int"))
+    tagged = at_least_one(F.bround(parse_double(first)))
     near = F.greatest(F.lit(2), F.bround(width / K.LANE_WIDTH_M).cast("int"))
     low = F.greatest(F.lit(2), near - 1)
     high = near + 1
@@ -219,7 +224,7 @@ def building_floors(tags: Column | str = "tags") -> Column:
     levels = parse_double(F.nullif(tag("building:levels", tags), F.lit("")))
     height = parse_metres(F.nullif(tag("height", tags), F.lit("")))
     floors = F.coalesce(F.bround(levels), F.bround(height / K.FLOOR_HEIGHT_M))
-    return F.coalesce(F.greatest(F.lit(1), floors.cast("int")), F.lit(K.DEFAULT_FLOORS))
+    return F.coalesce(at_least_one(floors), F.lit(K.DEFAULT_FLOORS))
 
 
 def building_height(tags: Column | str = "tags") -> Column:

@@ -259,3 +259,12 @@ def motor_buffers(ways: DataFrame, cap: str = "round", scale: float = 1.0) -> Da
     simple = motor.withColumn("coords", lines.merge_straight(F.col("coords"))).where(lines.length(F.col("coords")) > 0)
     half = tags.road_width(scale=scale) / 2
     return simple.withColumn("parts", lines.buffer_parts(F.col("coords"), half, cap))
+
+
+def motor_strips(ways: DataFrame, scale: float = 1.0) -> DataFrame:
+    """Flat-ended boxes along the straight runs of the motor roads, one row per run: ``(osm_id, ord, tags, run, parts)``."""
+    motor = ways.where(tags.is_motor() & (F.size("coords") >= 2))
+    simple = motor.withColumn("coords", lines.merge_straight(F.col("coords")))
+    boxes = lines.segment_boxes(F.col("coords"), tags.road_width(scale=scale) / 2)
+    runs = simple.select("osm_id", "ord", "tags", F.posexplode(boxes).alias("run", "ring"))
+    return runs.select("osm_id", "ord", "tags", "run", F.array("ring").alias("parts"))

@@ -248,3 +248,289 @@ ORACLES["facade_cells"] = t("buildings", f"""
 AND c AS (SELECT *, CAST(floor((x0 + x1) / 2.0e0 / 400) AS BIGINT) AS ix, CAST(floor((y0 + y1) / 2.0e0 / 400) AS BIGINT) AS iy FROM buildings)
 SELECT 'c' || CASE WHEN ix < 0 THEN 'n' ELSE '' END || CAST(abs(ix) AS VARCHAR) || '_' || CASE WHEN iy < 0 THEN 'n' ELSE '' END
   || CAST(abs(iy) AS VARCHAR) AS cell, {_BAND} AS band, {_VARIANT} AS variant, count(*) AS n FROM c GROUP BY ALL""")
+
+_STRIPS = """AND runs AS (
+  SELECT way_id, CASE WHEN way_id % 3 = 0 AND seq >= 2 THEN 1 ELSE 0 END AS run, min(least(xa, xb)) AS rx0, max(greatest(xa, xb)) AS rx1,
+    min(least(ya, yb)) AS ry0, max(greatest(ya, yb)) AS ry1 FROM segs GROUP BY 1, 2),
+strips AS (
+  SELECT way_id, run, road_rank, CASE WHEN rx0 = rx1 THEN rx0 - width / 2 ELSE rx0 END AS x0,
+    CASE WHEN rx0 = rx1 THEN rx1 + width / 2 ELSE rx1 END AS x1, CASE WHEN ry0 = ry1 THEN ry0 - width / 2 ELSE ry0 END AS y0,
+    CASE WHEN ry0 = ry1 THEN ry1 + width / 2 ELSE ry1 END AS y1 FROM runs JOIN roads USING (way_id) WHERE motor)
+"""
+_GRID = """,
+frame AS (SELECT CAST(ceil(50 * w / 3.0e0) AS BIGINT) AS nx, 3.0e0 * nx AS north FROM w),
+occ AS (SELECT x0, x1, y0, y1 FROM buildings UNION ALL SELECT x0, x1, y0, y1 FROM areas WHERE natural_tag IS NOT NULL),
+layers AS (SELECT false AS is_free, CAST(x0 AS DOUBLE) AS x0, CAST(x1 AS DOUBLE) AS x1, CAST(y0 AS DOUBLE) AS y0, CAST(y1 AS DOUBLE) AS y1 FROM occ
+  UNION ALL SELECT true, x0, x1, y0, y1 FROM strips),
+spans AS (SELECT is_free, {touched} AND is_free AS touched, nx,
+    greatest(0, CAST(CASE WHEN touched THEN floor((north - y1) / 3) ELSE ceil((north - y1) / 3 - 0.5e0) END AS BIGINT)) AS r0,
+    least(nx - 1, CAST(CASE WHEN touched THEN ceil((north - y0) / 3) - 1 ELSE ceil((north - y0) / 3 - 0.5e0) - 1 END AS BIGINT)) AS r1,
+    greatest(0, CAST(CASE WHEN touched THEN floor(x0 / 3) ELSE ceil(x0 / 3 - 0.5e0) END AS BIGINT)) AS c0,
+    least(nx - 1, CAST(CASE WHEN touched THEN ceil(x1 / 3) - 1 ELSE ceil(x1 / 3 - 0.5e0) - 1 END AS BIGINT)) AS c1
+  FROM layers, frame),
+rws AS (SELECT is_free, c0, c1, unnest(generate_series(r0, r1)) AS "row" FROM spans WHERE r1 >= r0 AND c1 >= c0),
+hits AS (SELECT is_free, "row", unnest(generate_series(c0, c1)) AS col FROM rws),
+painted AS (SELECT "row", col, CAST(CASE WHEN bool_or(is_free) THEN 254 ELSE 0 END AS INTEGER) AS v FROM hits GROUP BY ALL)
+"""
+_PAINT = "segs roads buildings areas w"
+ORACLES["occupancy_paint"] = t(_PAINT, _STRIPS + _GRID.format(touched="false") + 'SELECT "row", col, v FROM painted')
+ORACLES["occupancy_touched"] = t(_PAINT, _STRIPS + _GRID.format(touched="true") + """
+, c AS (SELECT v, count(*) AS n FROM painted GROUP BY v UNION ALL SELECT 0, max(nx) * max(nx) - (SELECT count(*) FROM painted) FROM frame)
+SELECT CAST(v AS INTEGER) AS v, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY v""".replace("AND c AS", ", c AS"))
+_DENSE = """AND full_px AS (
+  SELECT i // n AS "row", i % n AS col, n FROM (SELECT unnest(generate_series(0, n * n - 1)) AS i, n FROM n)),
+dpx AS (SELECT f."row", f.col, f.n, coalesce(p.v, 205) AS v, p.z, coalesce(p.v, 205) = 254 AS free
+  FROM full_px f LEFT JOIN px p USING ("row", col))
+"""
+ORACLES["occupancy_codes"] = t("px n", _DENSE + """
+SELECT "row", col, CAST(CASE v WHEN 254 THEN 0 WHEN 0 THEN 254 ELSE 255 END AS INTEGER) AS cost,
+  CAST(CASE v WHEN 254 THEN 254 ELSE 0 END AS INTEGER) AS roads_only, CAST(CASE v WHEN 254 THEN 0 ELSE 254 END AS INTEGER) AS binary_cost,
+  CAST(CASE v WHEN 254 THEN 40 WHEN 0 THEN 220 ELSE 180 END AS INTEGER) AS r, CAST(CASE v WHEN 254 THEN 220 WHEN 0 THEN 40 ELSE 180 END AS INTEGER) AS g,
+  CAST(CASE v WHEN 254 THEN 160 WHEN 0 THEN 100 ELSE 40 END AS INTEGER) AS a FROM dpx""")
+ORACLES["occupancy_histogram"] = t("px n", _DENSE + "SELECT CAST(v AS INTEGER) AS v, count(*) AS n FROM dpx GROUP BY v")
+ORACLES["downsample_occupancy"] = t("px n", _DENSE + """
+SELECT "row" // 3 AS "row", col // 3 AS col,
+  CAST(CASE WHEN bool_or(v = 254) THEN 254 WHEN bool_or(v = 0) THEN 0 ELSE 205 END AS INTEGER) AS plain,
+  CAST(CASE WHEN bool_or(v = 254) THEN 254 ELSE 0 END AS INTEGER) AS "binary",
+  CAST(CASE WHEN bool_or(v IN (254, 255)) THEN 255 ELSE 0 END AS INTEGER) AS bundle FROM dpx GROUP BY 1, 2""")
+ORACLES["shrink_nearest"] = t("px n", _DENSE + """
+, s AS (SELECT n, greatest(2, 2 * n // 5) AS m FROM n),
+o AS (SELECT unnest(generate_series(0, m - 1)) AS i, n, m FROM s)
+SELECT a.i AS "row", b.i AS col, CAST(v AS INTEGER) AS v FROM o a JOIN dpx d
+  ON d."row" = CAST(floor((a.i + 0.5e0) * (a.n / CAST(a.m AS DOUBLE))) AS BIGINT)
+  JOIN o b ON d.col = CAST(floor((b.i + 0.5e0) * (b.n / CAST(b.m AS DOUBLE))) AS BIGINT)""")
+
+
+def _edt(src: str, name: str, site: str) -> str:
+    """CTE with the squared distance of every pixel to the nearest site, by comparing all pairs."""
+    return f"""{name}_site AS (SELECT "row" AS sr, col AS sc FROM {src} WHERE {site}),
+{name} AS (SELECT d."row", d.col, min((d."row" - sr) * (d."row" - sr) + (col - sc) * (col - sc)) AS d2
+  FROM {src} d, {name}_site GROUP BY d."row", d.col)"""
+
+
+ORACLES["distance_transform"] = t("px n", _DENSE + ",\n" + _edt("dpx", "e", "NOT free") + '\nSELECT "row", col, CAST(d2 AS BIGINT) AS d2 FROM e')
+_SOFT = """CAST(CASE WHEN d2 = 0 THEN 254 WHEN greatest(sqrt(d2) - 0.5e0, 0) >= 3 THEN 0
+  ELSE least(greatest(round_even(252 * (1.0e0 - greatest(sqrt(d2) - 0.5e0, 0.0e0) / 3.0e0), 0), 1), 252) END AS INTEGER)"""
+ORACLES["soft_cost"] = t("px n", _DENSE + ",\n" + _edt("dpx", "e", "NOT free") + f'\nSELECT "row", col, {_SOFT} AS cost FROM e')
+_CLOSE = ",\n" + _edt("dpx", "d", "free") + """,
+grown AS (SELECT d."row", d.col, d2 <= 4 AS free FROM d),
+""" + _edt("grown", "e", "NOT free") + """,
+closed AS (SELECT e."row", e.col, d2 > 4 AND least(e."row", n - 1 - e."row", e.col, n - 1 - e.col) >= 2 AS free FROM e, n)
+"""
+ORACLES["close_and_dilate"] = t("px n", _DENSE + _CLOSE + """
+SELECT c."row", c.col, c.free AS closed, g.free AS dilated FROM closed c JOIN grown g ON g."row" = c."row" AND g.col = c.col""")
+ORACLES["planner_cost"] = t("px n", _DENSE + _CLOSE + ",\n" + _edt("closed", "f", "free") + """,
+wide AS (SELECT f."row", f.col, d2 <= 1 AS free FROM f),
+""" + _edt("wide", "h", "NOT free") + f'\nSELECT "row", col, {_SOFT} AS cost FROM h')
+ORACLES["relief_and_slope"] = t("px n", _DENSE + """
+, m AS (SELECT max(CASE WHEN d."row" = d.n // 2 AND d.col = d.n // 2 THEN z END) AS mid, min(z) AS lo, max(z) AS hi FROM dpx d),
+s AS (SELECT mid, greatest(mid - lo, hi - mid, 50.0e0) AS half FROM m),
+g AS (SELECT d."row", d.col, d.n, CASE WHEN z IS NULL THEN 0
+  ELSE CAST(floor(least(greatest(128.0e0 + (z - mid) / half * 127.0e0, 0), 255)) AS INTEGER) END AS gray, half / 127.0e0 AS sc FROM dpx d, s),
+hh AS (SELECT *, CASE WHEN gray > 0 THEN sc * (gray - 128.0e0) END AS h FROM g),
+nb AS (SELECT *, lag(h) OVER r AS hw, lead(h) OVER r AS he, lag(h) OVER c AS hn, lead(h) OVER c AS hs FROM hh
+  WINDOW r AS (PARTITION BY hh."row" ORDER BY hh.col), c AS (PARTITION BY hh.col ORDER BY hh."row")),
+d AS (SELECT nb."row", nb.col, gray, h,
+  coalesce(CASE WHEN nb.col = 0 THEN (he - h) / 10 WHEN nb.col = n - 1 THEN (h - hw) / 10 ELSE (he - hw) / 20 END, 0) AS dx,
+  coalesce(CASE WHEN nb."row" = 0 THEN (hs - h) / 10 WHEN nb."row" = n - 1 THEN (h - hn) / 10 ELSE (hs - hn) / 20 END, 0) AS dy FROM nb)
+SELECT "row", col, CAST(gray AS INTEGER) AS gray,
+  CAST(CASE WHEN h IS NULL OR sqrt(dx * dx + dy * dy) > 0.05e0 THEN 0 ELSE 254 END AS INTEGER) AS v FROM d""")
+_QUANT = """AND r AS (SELECT min(z) AS lo, max(z) AS hi FROM px),
+q AS (SELECT px."row", px.col, CAST(floor(least(greatest((z - lo) / (hi - lo) * 65535.0e0, 0), 65535)) AS INTEGER) AS q FROM px, r)
+"""
+ORACLES["height_quantized"] = t("px", _QUANT + 'SELECT "row", col, q FROM q')
+ORACLES["square_heights"] = t("px n", _DENSE + """
+, zz AS (SELECT "row", col, coalesce(z, 100.0e0) AS z FROM dpx),
+r AS (SELECT min(z) AS lo, max(z) AS hi FROM zz),
+q AS (SELECT zz."row" AS qr, zz.col AS qc, CAST(floor(least(greatest((z - lo) / (hi - lo) * 65535.0e0, 0), 65535)) AS INTEGER) AS q FROM zz, r),
+o AS (SELECT unnest(generate_series(0, 2 * n)) AS i, n, (n - 1) / CAST(2 * n AS DOUBLE) AS step FROM n),
+ax AS (SELECT i, n, i * step AS f, CAST(floor(f) AS BIGINT) AS i0, least(i0 + 1, n - 1) AS i1, f - i0 AS wt FROM o)
+SELECT a.i AS "row", b.i AS col, CAST(least(greatest(round_even(round(
+  q00.q * (1 - a.wt) * (1 - b.wt) + q01.q * (1 - a.wt) * b.wt + q10.q * a.wt * (1 - b.wt) + q11.q * a.wt * b.wt, 6), 0), 0), 65535) AS INTEGER) AS q
+FROM ax a, ax b JOIN q q00 ON q00.qr = a.i0 AND q00.qc = b.i0 JOIN q q01 ON q01.qr = a.i0 AND q01.qc = b.i1
+  JOIN q q10 ON q10.qr = a.i1 AND q10.qc = b.i0 JOIN q q11 ON q11.qr = a.i1 AND q11.qc = b.i1""")
+ORACLES["reproject_elevation"] = t("px n", """
+AND tgt AS (SELECT i // m AS tr, i % m AS tc, n, 32651 AS epsg, 348700.0e0 + (tc + 0.5e0) * 10 AS east, 2772300.0e0 - (tr + 0.5e0) * 10 AS north
+  FROM (SELECT unnest(generate_series(0, m * m - 1)) AS i, m, n FROM (SELECT n // 2 * 2 + 1 AS m, n FROM n))),
+""" + _inverse("tgt", "east", "north", "epsg", "u") + """,
+f AS (SELECT tr, tc, n, (ux - 121.5e0) / 0.0001e0 - 0.5e0 AS fx, (25.06e0 - uy) / 0.0001e0 - 0.5e0 AS fy FROM u),
+nb AS (SELECT tr, tc, CAST(floor(fy) AS BIGINT) + j AS r, CAST(floor(fx) AS BIGINT) + i AS c,
+  CASE i WHEN 1 THEN fx - floor(fx) ELSE 1 - (fx - floor(fx)) END * CASE j WHEN 1 THEN fy - floor(fy) ELSE 1 - (fy - floor(fy)) END AS wt
+  FROM f, (VALUES (0, 0), (1, 0), (0, 1), (1, 1)) v(i, j)
+  WHERE fx >= -0.5e0 AND fx < n - 0.5e0 AND fy >= -0.5e0 AND fy < n - 0.5e0)
+SELECT tr AS "row", tc AS col, round(sum(wt * z) / sum(wt), 4) AS z FROM nb JOIN px ON px."row" = r AND px.col = c WHERE wt > 0 GROUP BY 1, 2""")
+ORACLES["ortho_bands"] = t("px", """
+AND b AS (SELECT 1 AS band, v * 3.0e0 AS value FROM px UNION ALL SELECT 2, z FROM px UNION ALL SELECT 3, z FROM px),
+m AS (SELECT max(value) AS top FROM b)
+SELECT CAST(band AS INTEGER) AS band, CAST(floor(CASE WHEN top > 255 THEN value / top * 255.0e0 ELSE value END) AS INTEGER) AS value, count(*) AS n
+FROM b, m GROUP BY 1, 2""")
+
+ORACLES["box_relations"] = t("scenes", """
+AND s AS (SELECT *, (oe - ow) * ("on" - os) AS aa, (de - dw) * (dn - ds) AS ab, greatest(ow, dw) AS w, greatest(os, ds) AS so,
+  least(oe, de) AS e, least("on", dn) AS no FROM scenes WHERE has_osm AND has_dem),
+r AS (SELECT *, e > w AND no > so AS meets, (e - w) * (no - so) AS ia,
+  dw >= ow - 1e-9 AND de <= oe + 1e-9 AND ds >= os - 1e-9 AND dn <= "on" + 1e-9 AS a_has_b,
+  ow >= dw - 1e-9 AND oe <= de + 1e-9 AND os >= ds - 1e-9 AND "on" <= dn + 1e-9 AS b_has_a FROM s),
+q AS (SELECT *, CASE WHEN NOT meets THEN 'disjoint' WHEN abs(ia - aa) < 0.001e0 * aa AND abs(ia - ab) < 0.001e0 * ab THEN 'equal'
+  WHEN a_has_b OR b_has_a THEN 'containment' ELSE 'partial_overlap' END AS relation FROM r)
+SELECT c AS scene, relation, CASE WHEN relation <> 'containment' THEN relation
+    WHEN a_has_b THEN CASE WHEN aa >= ab THEN 'osm_contains_grid' ELSE 'grid_contains_osm' END
+    ELSE CASE WHEN ab >= aa THEN 'grid_contains_osm' ELSE 'osm_contains_grid' END END AS label,
+  a_has_b AS "contains", round(aa, 6) AS area, round(CASE WHEN meets THEN w ELSE 0 END, 6) AS west,
+  round(CASE WHEN meets THEN no ELSE 0 END, 6) AS north, round(os - 0.01e0, 6) AS padded_south FROM q""")
+ORACLES["resolved_extents"] = t("scenes", """
+AND g AS (SELECT *, has_dem AND has_ortho AS two,
+  CASE WHEN has_dem AND has_ortho THEN greatest(dw, iw) WHEN has_dem THEN dw WHEN has_ortho THEN iw END AS gw,
+  CASE WHEN has_dem AND has_ortho THEN greatest(ds, "is") WHEN has_dem THEN ds WHEN has_ortho THEN "is" END AS gs,
+  CASE WHEN has_dem AND has_ortho THEN least(de, ie) WHEN has_dem THEN de WHEN has_ortho THEN ie END AS ge,
+  CASE WHEN has_dem AND has_ortho THEN least(dn, "in") WHEN has_dem THEN dn WHEN has_ortho THEN "in" END AS gn FROM scenes),
+h AS (SELECT *, coalesce(ge > gw AND gn > gs, false) AS has_grid, NOT fail_disjoint OR allow AS lenient,
+  greatest(ow, gw) AS w, greatest(os, gs) AS so, least(oe, ge) AS e, least("on", gn) AS no,
+  (oe - ow) * ("on" - os) AS ao, (ge - gw) * (gn - gs) AS ag,
+  gw >= ow - 1e-9 AND ge <= oe + 1e-9 AND gs >= os - 1e-9 AND gn <= "on" + 1e-9 AS o_has_g,
+  ow >= gw - 1e-9 AND oe <= ge + 1e-9 AND os >= gs - 1e-9 AND "on" <= gn + 1e-9 AS g_has_o FROM g),
+k AS (SELECT *, mode <> 'explicit' AND two AND NOT has_grid AS terrain_apart,
+  CASE WHEN mode = 'auto' AND has_osm AND has_grid THEN
+    CASE WHEN NOT (e > w AND no > so) THEN 'disjoint'
+      WHEN abs((e - w) * (no - so) - ao) < 0.001e0 * ao AND abs((e - w) * (no - so) - ag) < 0.001e0 * ag THEN 'equal'
+      WHEN o_has_g OR g_has_o THEN 'containment' ELSE 'partial_overlap' END END AS rel FROM h),
+d AS (SELECT *,
+  CASE WHEN mode = 'explicit' THEN 'x' WHEN mode = 'osm_bbox' THEN CASE WHEN has_osm THEN 'o' END
+    WHEN mode = 'dem_bounds' THEN CASE WHEN has_grid THEN 'g' END
+    WHEN rel = 'disjoint' THEN CASE WHEN allow THEN 'o' END WHEN rel = 'partial_overlap' THEN 'i'
+    WHEN rel IS NOT NULL THEN CASE WHEN ag <= ao THEN 'g' ELSE 'o' END
+    WHEN has_grid THEN 'g' WHEN has_osm THEN 'o' END AS pick,
+  CASE WHEN two AND has_grid THEN 'intersection(dem,ortho)' WHEN has_dem AND NOT two THEN 'dem_bounds'
+    WHEN has_ortho AND NOT two THEN 'ortho_bounds' ELSE 'explicit' END AS terrain,
+  CAST(terrain_apart AND NOT lenient AS INT) + CAST(coalesce(rel = 'disjoint', false) AND NOT lenient AS INT)
+    + CAST(coalesce(rel = 'partial_overlap', false) AND fail_partial AS INT) + CAST(mode = 'osm_bbox' AND NOT has_osm AS INT)
+    + CAST(mode = 'dem_bounds' AND NOT has_grid AS INT) + CAST(mode = 'auto' AND NOT has_osm AND NOT has_grid AS INT) AS n_err FROM k),
+f AS (SELECT *, CASE WHEN n_err = 0 AND pick IS NULL THEN 1 ELSE n_err END AS n_errors FROM d),
+p AS (SELECT *, CASE WHEN n_errors = 0 THEN pick END AS fin FROM f)
+SELECT c AS scene,
+  round(coalesce(CASE fin WHEN 'x' THEN ew WHEN 'o' THEN ow WHEN 'g' THEN gw WHEN 'i' THEN w END - pad, 0), 6) AS west,
+  round(coalesce(CASE fin WHEN 'x' THEN es WHEN 'o' THEN os WHEN 'g' THEN gs WHEN 'i' THEN so END - pad, 0), 6) AS south,
+  round(coalesce(CASE fin WHEN 'x' THEN ee WHEN 'o' THEN oe WHEN 'g' THEN ge WHEN 'i' THEN e END + pad, 0), 6) AS east,
+  round(coalesce(CASE fin WHEN 'x' THEN en WHEN 'o' THEN "on" WHEN 'g' THEN gn WHEN 'i' THEN no END + pad, 0), 6) AS north,
+  CASE WHEN mode = 'explicit' THEN 'explicit' WHEN mode = 'osm_bbox' THEN 'osm_bbox' WHEN mode = 'dem_bounds' THEN terrain
+    WHEN rel = 'disjoint' AND allow THEN 'osm_only_allow_disjoint' WHEN rel = 'partial_overlap' THEN 'intersection(osm,terrain)'
+    WHEN rel IN ('equal', 'containment') THEN CASE WHEN ag <= ao THEN 'min_area_grid' ELSE 'min_area_osm' END
+    WHEN NOT has_grid AND has_osm THEN 'osm_bbox' ELSE terrain END AS strategy,
+  CASE WHEN rel IS NULL THEN 'n/a' WHEN rel = 'containment' AND ag <= ao AND o_has_g THEN 'dem_contained_in_osm'
+    WHEN rel = 'containment' AND ag > ao AND g_has_o THEN 'osm_contained_in_dem' WHEN rel <> 'containment' THEN rel
+    WHEN o_has_g THEN CASE WHEN ao >= ag THEN 'osm_contains_grid' ELSE 'grid_contains_osm' END
+    ELSE CASE WHEN ag >= ao THEN 'grid_contains_osm' ELSE 'osm_contains_grid' END END AS osm_vs_terrain,
+  concat_ws('; ', CASE WHEN terrain_apart AND lenient THEN 'DEM and ortho bounds are disjoint' END,
+    CASE WHEN rel = 'disjoint' AND lenient THEN 'OSM and terrain bounds are disjoint (disjoint)' END,
+    CASE WHEN rel = 'partial_overlap' AND NOT fail_partial THEN 'OSM and terrain partially overlap; using intersection (partial_overlap)' END) AS warnings,
+  CAST(n_errors AS BIGINT) AS n_errors FROM p""")
+_CORNERS = """AND base AS (SELECT c, 32651 AS epsg, 121.5e0 AS olon, 25.0e0 AS olat, i, j, CASE i WHEN 0 THEN ow ELSE oe END AS lon,
+  CASE j WHEN 0 THEN os ELSE "on" END AS lat FROM scenes, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(i, j) WHERE has_osm),
+"""
+ORACLES["local_extents"] = t("scenes", _CORNERS + _forward("base", "lon", "lat", "epsg", "u") + ",\n"
+    + _forward("u", "olon", "olat", "epsg", "o") + """,
+e AS (SELECT c, min(ux - ox) AS west, min(uy - oy) AS south, max(ux - ox) AS east, max(uy - oy) AS north FROM o GROUP BY c),
+z AS (SELECT *, east - west AS wd, north - south AS hg FROM e),
+s AS (SELECT *, greatest(1, CAST(round_even(CASE WHEN wd >= hg THEN hg / wd ELSE wd / hg END * 2049, 0) AS BIGINT)) AS sh FROM z),
+o2 AS (SELECT *, CASE WHEN sh % 2 = 1 THEN sh WHEN sh < 2049 THEN sh + 1 ELSE greatest(1, sh - 1) END AS odd FROM s)
+SELECT c AS scene, round(west, 3) + 0.0 AS west, round(south, 3) + 0.0 AS south, round(east, 3) AS east, round(north, 3) AS north,
+  CASE WHEN wd >= hg THEN 2049 ELSE odd END AS nx, CASE WHEN wd >= hg THEN odd ELSE 2049 END AS ny,
+  round(wd / (greatest(2, CASE WHEN wd >= hg THEN 2049 ELSE odd END) - 1), 5) AS mx FROM o2""")
+ORACLES["raster_boxes"] = "WITH " + """base AS (SELECT c_custkey AS c, 32651 AS epsg,
+  300000.0e0 + (c_custkey % 50) * 1000.0e0 + 1000.0e0 * i AS east, 2700000.0e0 + (c_custkey // 50) * 1000.0e0 + 1000.0e0 * j AS north
+  FROM customer, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(i, j)),
+""" + _inverse("base", "east", "north", "epsg", "u") + """
+SELECT c AS scene, round(min(ux), 7) AS west, round(min(uy), 7) AS south, round(max(ux), 7) AS east, round(max(uy), 7) AS north FROM u GROUP BY c"""
+ORACLES["scene_inputs"] = t("files", r"""
+AND m AS (SELECT *, CASE WHEN regexp_matches(path, '^osm/[^/]+$') THEN 0 WHEN NOT contains(path, '/') THEN 2 END
+    + CASE WHEN path LIKE '%.osm.pbf' THEN 0 WHEN path LIKE '%.osm' THEN 1 END AS orank,
+  CASE WHEN regexp_matches(lower(path), '\.tiff?$') THEN CASE WHEN path LIKE 'dem/%' THEN 0 WHEN NOT contains(path, '/') THEN 1 END END AS drank,
+  CASE WHEN regexp_matches(lower(path), '\.(tiff?|png)$') THEN CASE WHEN path LIKE 'imagery/%' THEN 0 WHEN NOT contains(path, '/') THEN 1 END END AS irank
+  FROM files),
+o AS (SELECT scene, path AS osm FROM m WHERE orank IS NOT NULL QUALIFY row_number() OVER (PARTITION BY scene ORDER BY orank, path) = 1),
+d AS (SELECT scene, path AS dem FROM m WHERE drank IS NOT NULL QUALIFY row_number() OVER (PARTITION BY scene ORDER BY drank, length DESC, path) = 1),
+f AS (SELECT scene, min(irank) AS irank FROM m GROUP BY scene),
+i AS (SELECT m.scene, path AS imagery FROM m JOIN f ON m.scene = f.scene AND m.irank = f.irank LEFT JOIN d ON d.scene = m.scene
+  WHERE dem IS NULL OR path <> dem QUALIFY row_number() OVER (PARTITION BY m.scene ORDER BY length DESC, path) = 1)
+SELECT scene, coalesce(osm, '') AS osm, coalesce(dem, '') AS dem, coalesce(imagery, '') AS imagery
+FROM (SELECT DISTINCT scene FROM files) s LEFT JOIN o USING (scene) LEFT JOIN d USING (scene) LEFT JOIN i USING (scene)""")
+_FOLDER = """AND roled AS (SELECT *, lower(file) AS nm, lower(id) AS aid, lower(notes) AS said, lower(id) || ' ' || lower(notes) AS blob,
+  coalesce(role, '') AS rl, coalesce(suggested_band, '') AS bd FROM assets),
+lowr AS (SELECT *, CASE WHEN regexp_matches(nm, 'church|office|factory|warehouse|construction|empty|corrugated|derelict|portacabin') THEN NULL
+    WHEN regexp_matches(nm, 'apartment|house') THEN 'residential' WHEN contains(nm, 'dock') THEN NULL
+    WHEN regexp_matches(nm, 'shutter|shop|restaurant|showroom|pub|garage|loading_bay') THEN 'shop'
+    WHEN regexp_matches(nm, 'building_front|building_h_windows|building_modern|building_side|building_center|windows') THEN 'residential' END AS low_rise FROM roled),
+filed AS (SELECT *, CASE WHEN part = 'roof' THEN CASE WHEN regexp_matches(blob, 'corrugat|metal|bitumen|浪板|iron|steel|copper') THEN 'roofs/metal' ELSE 'roofs/tile' END
+    WHEN contains(blob, 'shutter') THEN CASE WHEN rl = 'overlay' AND bucket = 'signage' THEN 'signage/overlay' ELSE 'details/shutters' END
+    WHEN bucket = 'signage' OR rl IN ('vertical', 'horizontal') THEN
+      CASE rl WHEN 'vertical' THEN 'signage/vertical' WHEN 'overlay' THEN 'signage/overlay' ELSE 'signage/horizontal' END
+    WHEN regexp_matches(blob, '_trim|_objects|balcony|窗套') THEN 'details/balconies'
+    WHEN contains(aid, 'plaster') AND bucket = 'low_rise' THEN 'facades/tileable/cladding'
+    WHEN bucket = 'details' OR part = 'decal' THEN CASE WHEN rl = 'window' OR contains(blob, 'window') THEN 'details/windows'
+      WHEN rl = 'door' OR regexp_matches(blob, 'door|garage') THEN 'details/doors' ELSE 'details/overlays' END
+    WHEN bucket = 'low_rise' THEN CASE rl WHEN 'shop' THEN 'facades/sheets/shopfront' ELSE 'facades/sheets/residential' END
+    WHEN bucket = 'sheets' THEN CASE rl WHEN 'office' THEN 'facades/sheets/office' WHEN 'industrial' THEN 'facades/sheets/industrial'
+      ELSE 'facades/sheets/residential' END
+    WHEN regexp_matches(blob, 'corrugat|factory_wall|container|asbestos|浪板') THEN 'facades/tileable/metal'
+    WHEN regexp_matches(blob, 'tile|plaster|cladding|brick') THEN 'facades/tileable/cladding'
+    WHEN bd IN ('tower', 'high') OR regexp_matches(said, 'skyscraper|glass curtain|glass') THEN 'facades/tileable/highrise'
+    ELSE 'facades/tileable/midrise' END AS folder FROM lowr)
+"""
+_FREE = """CASE WHEN contains(lower(license), 'cc0') OR contains(lower(license), 'public domain') THEN 'CC0'
+  WHEN lower(license) LIKE 'cc by%' AND NOT contains(lower(license), 'sa') THEN license END"""
+ORACLES["asset_rules"] = t("assets", _FOLDER + f"""
+SELECT page_id, coalesce(low_rise, '') AS low_rise,
+  coalesce(CASE WHEN low_rise IS NOT NULL OR regexp_matches(nm, 'church|empty|construction|portacabin|corrugated') THEN NULL
+    WHEN contains(nm, 'office') THEN 'office' WHEN regexp_matches(nm, 'factory|warehouse') THEN 'industrial'
+    WHEN nm LIKE 'building\\_%' ESCAPE '\\' OR contains(nm, 'derelict') THEN 'full' END, '') AS sheet,
+  coalesce({_FREE}, '') AS free, folder,
+  CASE WHEN folder LIKE 'facades/sheets/%' OR folder = 'facades/tileable/highrise' THEN 'unique_sheet' ELSE 'tile' END AS uv_mode FROM filed""")
+ORACLES["asset_counts"] = t("assets", _FOLDER + """
+SELECT folder, count(*) AS listed, count(*) FILTER (WHERE bytes > 1000) AS present FROM filed GROUP BY folder""")
+ORACLES["asset_violations"] = t("assets", """
+SELECT id, 'bad bucket' AS problem FROM assets WHERE bucket NOT IN ('east_asia', 'generic', 'low_rise', 'sheets', 'signage', 'details')
+UNION ALL SELECT id, 'bad part' FROM assets WHERE part NOT IN ('facade', 'roof', 'decal')
+UNION ALL SELECT id, 'facade missing band' FROM assets WHERE part IN ('facade', 'decal') AND suggested_band NOT IN ('low', 'mid', 'high', 'tower')
+UNION ALL SELECT id, 'bad role' FROM assets WHERE NOT CASE bucket WHEN 'east_asia' THEN role IS NULL WHEN 'generic' THEN role IS NULL
+  WHEN 'low_rise' THEN coalesce(role IN ('shop', 'residential', 'balcony'), false) WHEN 'sheets' THEN coalesce(role IN ('full', 'office', 'industrial'), false)
+  WHEN 'signage' THEN coalesce(role IN ('vertical', 'horizontal', 'overlay'), false)
+  WHEN 'details' THEN coalesce(role IN ('window', 'door', 'overlay'), false) ELSE true END
+UNION ALL SELECT id, 'non-CC' FROM assets WHERE NOT (upper(license) LIKE 'CC0%' OR upper(license) LIKE 'CC BY%' OR upper(license) LIKE 'CC-BY%')
+UNION ALL SELECT id, 'duplicate id' FROM assets GROUP BY id HAVING count(*) > 1""")
+ORACLES["plain_html"] = r"""
+SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'),
+  '[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) AS text FROM pages"""
+ORACLES["searched_photos"] = t("assets", f"""
+AND f AS (SELECT *, {_FREE} AS free FROM assets),
+k AS (SELECT * FROM f WHERE free IS NOT NULL AND width >= 600 AND height >= 600 AND NOT contains(upper(title), 'HABS')
+  AND NOT contains(upper(title), 'VIEW SOUTHEAST') QUALIFY row_number() OVER (PARTITION BY title ORDER BY page_id) = 1),
+s AS (SELECT *, height >= width * 1.25 AS tall, contains(query, 'sign') OR height >= width * 1.25 AS sign FROM k)
+SELECT 'wiki_' || trim(left(regexp_replace(replace(title, 'File:', ''), '[^a-zA-Z0-9]+', '_', 'g'), 60), '_') AS id, title,
+  CASE WHEN sign THEN 'signage' ELSE 'sheets' END AS bucket,
+  CASE WHEN sign THEN CASE WHEN tall THEN 'vertical' ELSE 'horizontal' END ELSE 'full' END AS role,
+  CASE WHEN sign THEN 'decal' ELSE 'facade' END AS part, CASE free WHEN 'CC0' THEN 'CC0-1.0' ELSE free END AS license FROM s""")
+_POOLS = _FOLDER + """,
+photos AS (SELECT folder, lower(CAST(page_id AS VARCHAR) || '_' || file) AS nm2,
+  '/inbox/facades/sheets/' || CAST(page_id - CASE WHEN page_id % 10 = 1 THEN 1 ELSE 0 END AS VARCHAR) || '.jpg' AS path FROM filed),
+pools(pool, fno, folder) AS (VALUES ('low', 0, 'facades/sheets/shopfront'), ('low', 1, 'facades/sheets/residential'), ('low', 2, 'facades/tileable/cladding'),
+  ('mid', 0, 'facades/sheets/residential'), ('mid', 1, 'facades/tileable/cladding'), ('mid', 2, 'facades/tileable/midrise'),
+  ('high', 0, 'facades/sheets/office'), ('high', 1, 'facades/tileable/midrise'), ('high', 2, 'facades/tileable/highrise'),
+  ('tower', 0, 'facades/sheets/office'), ('tower', 1, 'facades/sheets/residential'), ('tower', 2, 'facades/tileable/highrise'),
+  ('shops', 0, 'facades/sheets/shopfront'), ('homes', 0, 'facades/sheets/residential'), ('homes', 1, 'facades/tileable/cladding'),
+  ('roofs', 0, 'roofs/tile'), ('roofs', 1, 'roofs/metal')),
+once AS (SELECT pool, path, fno, nm2 FROM photos JOIN pools USING (folder) QUALIFY row_number() OVER (PARTITION BY pool, path ORDER BY fno, nm2) = 1),
+pooled AS (SELECT pool, row_number() OVER (PARTITION BY pool ORDER BY fno, nm2, path) - 1 AS n, path FROM once)
+"""
+ORACLES["photo_pools"] = t("assets", _POOLS + "SELECT pool, n, path FROM pooled")
+ORACLES["low_rise_slots"] = t("assets", _POOLS + """
+, sz AS (SELECT count(*) FILTER (WHERE pool = 'shops') AS shops, count(*) FILTER (WHERE pool = 'homes') AS homes FROM pooled),
+sl AS (SELECT unnest(generate_series(0, 15)) AS slot, shops, homes FROM sz),
+pk AS (SELECT slot, CASE WHEN shops > 0 AND slot < 8 THEN 'shops' WHEN homes > 0 THEN 'homes' ELSE 'shops' END AS pool,
+  CASE WHEN shops > 0 AND slot < 8 THEN slot % shops WHEN homes > 0 THEN (slot - CASE WHEN shops > 0 THEN 8 ELSE 0 END) % homes ELSE (slot - 8) % shops END AS n FROM sl)
+SELECT slot, path, 'unique_sheet' AS uv_mode FROM pk JOIN pooled USING (pool, n)""")
+ORACLES["band_photos"] = """
+WITH s AS (SELECT printf('Facade%03d', page_id % 25) AS stem, max(printf('/cache/%05d.jpg', page_id)) AS path FROM pages GROUP BY 1),
+b(band, i, stem) AS (VALUES ('low', 0, 'Facade002'), ('low', 1, 'Facade005'), ('low', 2, 'Facade006'), ('low', 3, 'Facade009'), ('low', 4, 'Facade003'),
+  ('mid', 0, 'Facade008'), ('mid', 1, 'Facade007'), ('mid', 2, 'Facade011'), ('mid', 3, 'Facade017'),
+  ('high', 0, 'Facade014'), ('high', 1, 'Facade013'), ('high', 2, 'Facade012'), ('high', 3, 'Facade010'), ('tower', 0, 'Facade001'))
+SELECT band, row_number() OVER (PARTITION BY band ORDER BY i) - 1 AS n, path FROM s JOIN b USING (stem)"""

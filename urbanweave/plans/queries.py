@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from urbanweave.functions import constants as K
 from urbanweave.functions import frame, lines, tags
-from urbanweave.operators import buildings, osm, placement, roads, spatial
+from urbanweave.operators import assets, buildings, extent, osm, placement, raster, roads
 from urbanweave.plans import fixtures as fx
 
 QUERIES: dict = {}
@@ -324,3 +324,285 @@ def lod_cells(spark: SparkSession, sf: str) -> DataFrame:
 def facade_cells(spark: SparkSession, sf: str) -> DataFrame:
     rows = buildings.facade_groups(city_items(spark, sf))
     return rows.select("cell", "band", F.col("variant").cast("long").alias("variant"), "n")
+
+
+# ---- rasters
+
+
+def px_frame(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+    n = fx.pixel_side(spark, sf)
+    return fx.pixels(spark, sf).select("row", "col", "v"), n
+
+
+def px_dense(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+    px, n = px_frame(spark, sf)
+    return raster.dense(px, n, n, v=K.UNKNOWN), n
+
+
+def free_mask(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+    px, n = px_dense(spark, sf)
+    return px.select("row", "col", (F.col("v") == K.FREE).alias("free")), n
+
+
+def box_parts(boxes: DataFrame) -> DataFrame:
+    ring = lines.box_ring(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
+    return boxes.select("osm_id", F.array(ring).alias("parts"))
+
+
+def nav_grid(spark: SparkSession, sf: str) -> raster.Grid:
+    w = side(spark, sf)
+    return raster.Grid.over(0.0, 0.0, w, w, 3.0)
+
+
+def nav_layers(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    areas = fx.area_boxes(spark, sf).where(tags.is_water_area())
+    occupied = box_parts(fx.building_boxes(spark, sf)).unionByName(box_parts(areas))
+    return occupied, roads.motor_strips(fx.ways(spark, sf)).select("osm_id", "parts")
+
+
+@query
+def occupancy_paint(spark: SparkSession, sf: str) -> DataFrame:
+    """Occupied buildings and water, free motor roads, by the pixel-centre rule at 3 m."""
+    occupied, free = nav_layers(spark, sf)
+    return raster.paint_occupancy(occupied, free, nav_grid(spark, sf))
+
+
+@query
+def occupancy_touched(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with all touched pixels free, as a histogram over the whole raster."""
+    occupied, free = nav_layers(spark, sf)
+    grid = nav_grid(spark, sf)
+    return raster.occupancy_histogram(raster.paint_occupancy(occupied, free, grid, True), grid, K.OCCUPIED)
+
+
+@query
+def occupancy_codes(spark: SparkSession, sf: str) -> DataFrame:
+    px, n = px_dense(spark, sf)
+    v = F.col("v")
+    color = raster.colorize(v)
+    return px.select(
+        "row", "col", raster.occupancy_cost(v).alias("cost"), raster.roads_only(v).alias("roads_only"),
+        raster.binary_cost(v == K.FREE).alias("binary_cost"), color["r"].alias("r"), color["g"].alias("g"),
+        color["a"].alias("a"),
+    )
+
+
+@query
+def occupancy_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    px, n = px_frame(spark, sf)
+    return raster.occupancy_histogram(px, raster.Grid(0.0, 0.0, 1.0, n, n))
+
+
+@query
+def downsample_occupancy(spark: SparkSession, sf: str) -> DataFrame:
+    px, n = px_dense(spark, sf)
+    plain = raster.downsample(px, 3).withColumnRenamed("v", "plain")
+    binary = raster.downsample(px, 3, True).withColumnRenamed("v", "binary")
+    return plain.join(binary, ["row", "col"]).join(raster.downsample_bundle(px, 3).withColumnRenamed("v", "bundle"), ["row", "col"])
+
+
+@query
+def shrink_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    px, n = px_dense(spark, sf)
+    return raster.shrink_nearest(px, n, n, max(2, 2 * n // 5))
+
+
+@query
+def distance_transform(spark: SparkSession, sf: str) -> DataFrame:
+    free, n = free_mask(spark, sf)
+    return raster.nearest_sites(free, ~F.col("free"), n).select("row", "col", "d2")
+
+
+@query
+def close_and_dilate(spark: SparkSession, sf: str) -> DataFrame:
+    free, n = free_mask(spark, sf)
+    closed = raster.close_gaps(free, n, n, raster.radius_px(1.5, 1.0)).withColumnRenamed("free", "closed")
+    return closed.join(raster.dilate(free, n, 2).withColumnRenamed("free", "dilated"), ["row", "col"])
+
+
+@query
+def soft_cost(spark: SparkSession, sf: str) -> DataFrame:
+    free, n = free_mask(spark, sf)
+    return raster.soft_cost(free, n, 1.0, 3.0)
+
+
+@query
+def planner_cost(spark: SparkSession, sf: str) -> DataFrame:
+    px, n = px_dense(spark, sf)
+    return raster.mppi_cost(px, n, n, 1.0, 1.5, 1.0, 3.0)
+
+
+@query
+def widen_corridors(spark: SparkSession, sf: str) -> DataFrame:
+    free, n = free_mask(spark, sf)
+    return raster.widen_corridors(free, n, 1.6)
+
+
+@query
+def relief_and_slope(spark: SparkSession, sf: str) -> DataFrame:
+    n = fx.pixel_side(spark, sf)
+    px = raster.dense(fx.pixels(spark, sf).select("row", "col", "z"), n, n, z=float("nan"))
+    gray, _, scale = raster.relief(px, n, n)
+    slope = raster.slope_occupancy(gray, fx.ELEVATION_RES_M, scale, 0.05)
+    return gray.select("row", "col", "gray").join(slope, ["row", "col"])
+
+
+@query
+def height_quantized(spark: SparkSession, sf: str) -> DataFrame:
+    px = fx.pixels(spark, sf).select("row", "col", "z")
+    low, high = raster.value_range(px)
+    return raster.quantize(px, low, high).select("row", "col", "q")
+
+
+SRC = {"west": 121.5, "north": 25.06, "step": 0.0001}
+
+
+@query
+def reproject_elevation(spark: SparkSession, sf: str) -> DataFrame:
+    """Lon/lat elevation sampled bilinearly on a 10 m UTM grid (odd side)."""
+    n = fx.pixel_side(spark, sf)
+    px = fx.pixels(spark, sf).select("row", "col", "z")
+    cols = n // 2 * 2 + 1
+    out = raster.reproject(
+        px, SRC["west"], SRC["north"], SRC["step"], n, n, 32651, 348700.0, 2772300.0, 10.0, 10.0, cols, cols
+    )
+    return out.select("row", "col", rnd("z", 4).alias("z"))
+
+
+@query
+def square_heights(spark: SparkSession, sf: str) -> DataFrame:
+    n = fx.pixel_side(spark, sf)
+    px = raster.dense(fx.pixels(spark, sf).select("row", "col", "z"), n, n, z=100.0)
+    low, high = raster.value_range(px)
+    return raster.resample_square(raster.quantize(px, low, high), n, n, 2 * n + 1)
+
+
+@query
+def ortho_bands(spark: SparkSession, sf: str) -> DataFrame:
+    px = fx.pixels(spark, sf)
+    bands = F.array(
+        F.struct(F.lit(1).alias("band"), (F.col("v") * 3.0).alias("value")), F.struct(F.lit(2).alias("band"), F.col("z").alias("value"))
+    )
+    rows = raster.ortho_bands(px.select("row", "col", F.inline(bands)))
+    return rows.groupBy("band", "value").agg(F.count("*").alias("n"))
+
+
+# ---- scenes and assets
+
+
+@query
+def box_relations(spark: SparkSession, sf: str) -> DataFrame:
+    s = fx.scene_sources(spark, sf).where("osm_box is not null and dem_box is not null")
+    a, b = F.col("osm_box"), F.col("dem_box")
+    common = frame.box_intersection(a, b)
+    return s.select(
+        "scene", frame.box_relation(a, b).alias("relation"), frame.box_relation_label(a, b).alias("label"),
+        frame.box_contains(a, b).alias("contains"), rnd(frame.box_area(a)).alias("area"),
+        rnd(F.coalesce(common["west"], F.lit(0.0))).alias("west"), rnd(F.coalesce(common["north"], F.lit(0.0))).alias("north"),
+        rnd(frame.box_pad(a, 0.01)["south"]).alias("padded_south"),
+    )
+
+
+@query
+def resolved_extents(spark: SparkSession, sf: str) -> DataFrame:
+    rows = extent.resolve_extent(fx.scene_sources(spark, sf))
+    value = lambda c: rnd(F.coalesce(F.col(f"final.{c}"), F.lit(0.0)))
+    return rows.select(
+        "scene", *[value(c).alias(c) for c in ("west", "south", "east", "north")], "strategy", "osm_vs_terrain",
+        F.array_join("warnings", "; ").alias("warnings"), F.size("errors").cast("long").alias("n_errors"),
+    )
+
+
+@query
+def local_extents(spark: SparkSession, sf: str) -> DataFrame:
+    """Local extents, raster sizes and pixel spacing of the scenes' map boxes."""
+    s = fx.scene_sources(spark, sf).where("osm_box is not null")
+    o = frame.make_origin(121.5, 25.0)
+    s = s.withColumn("e", frame.extent_from_bbox(*[F.col(f"osm_box.{c}") for c in ("west", "south", "east", "north")], o))
+    s = s.withColumn("wide", F.col("e.east") - F.col("e.west")).withColumn("high", F.col("e.north") - F.col("e.south"))
+    s = s.withColumn("px", frame.odd_size(F.col("wide"), F.col("high"), K.HEIGHT_SIDE_PX))
+    s = s.withColumn("mpp", frame.metres_per_pixel(F.col("wide"), F.col("high"), F.col("px.nx"), F.col("px.ny")))
+    return s.select(
+        "scene", *[rnd(f"e.{c}", 3).alias(c) for c in ("west", "south", "east", "north")],
+        F.col("px.nx").cast("long").alias("nx"), F.col("px.ny").cast("long").alias("ny"), rnd("mpp.x", 5).alias("mx"),
+    )
+
+
+@query
+def raster_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """Lon/lat boxes of 1 km UTM tiles, one per customer."""
+    c = F.col("c_custkey")
+    left, bottom = 300000.0 + (c % 50) * 1000.0, 2700000.0 + F.floor(c / 50) * 1000.0
+    tiles = fx.table(spark, sf, "customer").select(
+        c.alias("scene"), left.alias("left"), bottom.alias("bottom"), (left + 1000.0).alias("right"),
+        (bottom + 1000.0).alias("top"), F.lit(32651).alias("epsg"),
+    )
+    return extent.raster_boxes(tiles).select("scene", *[rnd(f"box.{k}", 7).alias(k) for k in ("west", "south", "east", "north")])
+
+
+@query
+def scene_inputs(spark: SparkSession, sf: str) -> DataFrame:
+    rows = extent.choose_inputs(fx.file_listing(spark, sf))
+    return rows.select("scene", *[F.coalesce(c, F.lit("")).alias(c) for c in ("osm", "dem", "imagery")])
+
+
+@query
+def asset_rules(spark: SparkSession, sf: str) -> DataFrame:
+    none = F.lit("")
+    rows = assets.with_folder(fx.assets(spark, sf))
+    path = F.concat(F.lit("inbox/"), F.col("folder"), F.lit("/"), F.col("file"))
+    return rows.select(
+        "page_id", F.coalesce(assets.low_rise_role(F.col("file")), none).alias("low_rise"),
+        F.coalesce(assets.sheet_role(F.col("file")), none).alias("sheet"),
+        F.coalesce(assets.free_license(F.col("license")), none).alias("free"), "folder", assets.uv_mode(path).alias("uv_mode"),
+    )
+
+
+@query
+def asset_violations(spark: SparkSession, sf: str) -> DataFrame:
+    return assets.violations(fx.assets(spark, sf))
+
+
+@query
+def asset_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return assets.catalogue_counts(fx.assets(spark, sf))
+
+
+@query
+def plain_html(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.table(spark, sf, "pages").select("page_id", assets.strip_html(F.col("html")).alias("text"))
+
+
+@query
+def searched_photos(spark: SparkSession, sf: str) -> DataFrame:
+    rows = fx.assets(spark, sf).withColumn("pos", F.col("page_id"))
+    return assets.searched_photos(rows.select("pos", "title", "query", "license", "width", "height"))
+
+
+def inbox_photos(spark: SparkSession, sf: str) -> DataFrame:
+    """Photos filed in the browse folders; every tenth page lists the path of its neighbour again."""
+    rows = assets.with_folder(fx.assets(spark, sf))
+    owner = F.col("page_id") - F.when(F.col("page_id") % 10 == 1, 1).otherwise(0)
+    path = F.concat(F.lit("/inbox/facades/sheets/"), owner.cast("string"), F.lit(".jpg"))
+    return rows.select("folder", F.concat(F.col("page_id").cast("string"), F.lit("_"), F.col("file")).alias("name"), path.alias("path"))
+
+
+@query
+def photo_pools(spark: SparkSession, sf: str) -> DataFrame:
+    return assets.pooled_photos(inbox_photos(spark, sf)).select("pool", F.col("n").cast("long").alias("n"), "path")
+
+
+@query
+def low_rise_slots(spark: SparkSession, sf: str) -> DataFrame:
+    rows = assets.bind_low_slots(inbox_photos(spark, sf))
+    return rows.select(F.col("slot").cast("long").alias("slot"), "path", "uv_mode")
+
+
+@query
+def band_photos(spark: SparkSession, sf: str) -> DataFrame:
+    """Cached facade photos per band; stems follow the page number over the fixed name range."""
+    p = F.col("page_id")
+    rows = fx.table(spark, sf, "pages").select(
+        F.format_string("Facade%03d", (p % 25).cast("int")).alias("stem"), F.format_string("/cache/%05d.jpg", p).alias("path")
+    )
+    return assets.photos_by_band(rows).select("band", F.col("n").cast("long").alias("n"), "path")
