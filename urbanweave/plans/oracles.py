@@ -432,10 +432,10 @@ ORACLES["local_extents"] = t("scenes", _CORNERS + _forward("base", "lon", "lat",
 e AS (SELECT c, min(ux - ox) AS west, min(uy - oy) AS south, max(ux - ox) AS east, max(uy - oy) AS north FROM o GROUP BY c),
 z AS (SELECT *, east - west AS wd, north - south AS hg FROM e),
 s AS (SELECT *, greatest(1, CAST(round_even(CASE WHEN wd >= hg THEN hg / wd ELSE wd / hg END * 2049, 0) AS BIGINT)) AS sh FROM z),
-o2 AS (SELECT *, CASE WHEN sh % 2 = 1 THEN sh WHEN sh < 2049 THEN sh + 1 ELSE greatest(1, sh - 1) END AS odd FROM s)
+osz AS (SELECT *, CASE WHEN sh % 2 = 1 THEN sh WHEN sh < 2049 THEN sh + 1 ELSE greatest(1, sh - 1) END AS odd FROM s)
 SELECT c AS scene, round(west, 3) + 0.0 AS west, round(south, 3) + 0.0 AS south, round(east, 3) AS east, round(north, 3) AS north,
   CASE WHEN wd >= hg THEN 2049 ELSE odd END AS nx, CASE WHEN wd >= hg THEN odd ELSE 2049 END AS ny,
-  round(wd / (greatest(2, CASE WHEN wd >= hg THEN 2049 ELSE odd END) - 1), 5) AS mx FROM o2""")
+  round(wd / (greatest(2, CASE WHEN wd >= hg THEN 2049 ELSE odd END) - 1), 5) AS mx FROM osz""")
 ORACLES["raster_boxes"] = "WITH " + """base AS (SELECT c_custkey AS c, 32651 AS epsg,
   300000.0e0 + (c_custkey % 50) * 1000.0e0 + 1000.0e0 * i AS east, 2700000.0e0 + (c_custkey // 50) * 1000.0e0 + 1000.0e0 * j AS north
   FROM customer, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(i, j)),

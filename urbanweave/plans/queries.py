@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanweave.functions import constants as K
-from urbanweave.functions import frame, lines, tags
-from urbanweave.operators import assets, buildings, extent, osm, placement, raster, roads
+from urbanweave.functions import frame, kernel, lines, tags
+from urbanweave.operators import assets, buildings, extent, junctions, markings, mesh, osm, overlay, placement, raster, roads
 from urbanweave.plans import fixtures as fx
 
 QUERIES: dict = {}
@@ -606,3 +606,207 @@ def band_photos(spark: SparkSession, sf: str) -> DataFrame:
         F.format_string("Facade%03d", (p % 25).cast("int")).alias("stem"), F.format_string("/cache/%05d.jpg", p).alias("path")
     )
     return assets.photos_by_band(rows).select("band", F.col("n").cast("long").alias("n"), "path")
+
+
+# ---- roads, markings, junctions
+
+
+@query
+def strips_cut_by_rank(spark: SparkSession, sf: str) -> DataFrame:
+    """Straight road strips minus the strips before them in rank order, area left per strip."""
+    strips = roads.motor_strips(fx.ways(spark, sf))
+    key = F.col("ord") * 2 + F.col("run")
+    cut = roads.cut_by_rank(strips.withColumn("key", key), "key")
+    area = kernel.parts_area(F.col("parts"))
+    return cut.select("osm_id", F.col("run").cast("long").alias("run"), rnd(area, 3).alias("area"))
+
+
+@query
+def merged_chains(spark: SparkSession, sf: str) -> DataFrame:
+    ways = fx.ways(spark, sf)
+    rows = roads.merge_chains(ways.where(tags.is_bufferable()), roads.node_degree(ways))
+    return rows.select(
+        "osm_id", "ord", F.size("coords").alias("n_vertices"), rnd(lines.length(F.col("coords")), 3).alias("len"), "closed"
+    )
+
+
+@query
+def pavement_area(spark: SparkSession, sf: str) -> DataFrame:
+    rows = roads.pavement(fx.ways(spark, sf))
+    return rows.select("osm_id", "ord", F.size("coords").alias("n_vertices"), rnd(kernel.parts_area(F.col("parts")), 2).alias("area"))
+
+
+@query
+def pieces_between_junctions(spark: SparkSession, sf: str) -> DataFrame:
+    ways = fx.ways(spark, sf)
+    rows = markings.split_at_junctions(ways, roads.node_degree(ways))
+    p = F.col("piece")
+    return rows.select(
+        "osm_id", rnd(lines.length(p), 3).alias("len"), rnd(lines.first(p)["x"], 3).alias("x0"), rnd(lines.first(p)["y"], 3).alias("y0"),
+        rnd(lines.last(p)["x"], 3).alias("x1"), rnd(lines.last(p)["y"], 3).alias("y1"),
+    )
+
+
+def straight_stripes(spark: SparkSession, sf: str) -> DataFrame:
+    """Stripes of all ways' straight runs (one piece per run)."""
+    ways = fx.ways(spark, sf).withColumn("coords", lines.merge_straight(F.col("coords")))
+    runs = ways.select("osm_id", "ord", "tags", F.posexplode(lines.segments(F.col("coords"))).alias("piece_no", "s"))
+    piece = F.array(lines.pt(F.col("s.x0"), F.col("s.y0")), lines.pt(F.col("s.x1"), F.col("s.y1")))
+    runs = runs.withColumn("piece", piece).withColumn("piece_widths", F.array_repeat(tags.road_width(), F.size("piece")))
+    return markings.dash(markings.marking_lines(runs))
+
+
+@query
+def marking_stripes(spark: SparkSession, sf: str) -> DataFrame:
+    rows = straight_stripes(spark, sf)
+    c = F.col("line")
+    return rows.select(
+        "osm_id", F.col("piece_no").cast("long").alias("piece_no"), "role", "style", F.col("seq").cast("long").alias("seq"),
+        rnd(lines.length(c), 3).alias("len"), rnd(lines.vertex_mean(c)["x"], 3).alias("x"), rnd(lines.vertex_mean(c)["y"], 3).alias("y"),
+    )
+
+
+@query
+def marking_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Painted pieces per colour and cell."""
+    strips = straight_stripes(spark, sf).withColumn("parts", lines.segment_boxes(F.col("line"), F.lit(K.MARKING_BUFFER_M)))
+    rows = mesh.marking_buckets(strips)
+    return rows.select("color", "cell", "n", rnd("area", 2).alias("area"))
+
+
+@query
+def junction_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    ways = fx.ways(spark, sf)
+    rows = junctions.junction_candidates(ways, roads.node_degree(ways))
+    return rows.groupBy("nx", "ny").agg(
+        F.count("*").alias("n_ways"), rnd(F.max("width"), 2).alias("width"), F.sum(F.size("arms")).alias("n_arms")
+    )
+
+
+@query
+def typed_junctions(spark: SparkSession, sf: str) -> DataFrame:
+    ways = fx.ways(spark, sf)
+    rows = junctions.typed_junctions(ways, roads.node_degree(ways))
+    return rows.select("kind", rnd("x", 3).alias("x"), rnd("y", 3).alias("y"), rnd("width", 2).alias("width"), rnd("clip_r", 2).alias("clip_r"))
+
+
+@query
+def zebra_stripes(spark: SparkSession, sf: str) -> DataFrame:
+    ways = fx.ways(spark, sf)
+    rows = junctions.zebra_stripes(junctions.typed_junctions(ways, roads.node_degree(ways)))
+    return rows.select(rnd("x", 3).alias("x"), rnd("y", 3).alias("y"), rnd(lines.ring_area(F.col("ring")), 4).alias("area"))
+
+
+@query
+def approach_arrows(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrows before thinning, one per spot."""
+    ways = fx.ways(spark, sf)
+    rows = junctions.first_per_spot(junctions.approach_arrows(ways, roads.node_degree(ways)))
+    return rows.select("osm_id", F.col("pos").cast("long").alias("pos"), F.col("step").cast("long").alias("step"),
+                       rnd("x", 3).alias("x"), rnd("y", 3).alias("y"), rnd("yaw", 6).alias("yaw"))
+
+
+@query
+def junction_arrows(spark: SparkSession, sf: str) -> DataFrame:
+    ways = fx.ways(spark, sf)
+    degree = roads.node_degree(ways)
+    rows = junctions.junction_arrows(ways, degree, junctions.typed_junctions(ways, degree))
+    return rows.select("osm_id", "pos", "step", rnd("x", 3).alias("x"), rnd("y", 3).alias("y"), rnd("yaw", 6).alias("yaw"),
+                       rnd(lines.ring_area(junctions.arrow_ring()), 3).alias("area"))
+
+
+@query
+def roundabout_patches(spark: SparkSession, sf: str) -> DataFrame:
+    rows = junctions.roundabout_patches(fx.ways(spark, sf))
+    return rows.select("osm_id", F.size("parts").alias("n_parts"), rnd("x", 3).alias("x"), rnd("y", 3).alias("y"))
+
+
+@query
+def road_buffers(spark: SparkSession, sf: str) -> DataFrame:
+    """Area of the round-ended motor road buffers."""
+    rows = roads.motor_buffers(fx.ways(spark, sf)).withColumn("parts", kernel.disjoint_parts(F.col("parts")))
+    return rows.select("osm_id", rnd(kernel.parts_area(F.col("parts")), 3).alias("area"))
+
+
+# ---- overlay and meshes
+
+
+@query
+def areas_cut_by_buildings(spark: SparkSession, sf: str) -> DataFrame:
+    """Water and vegetation minus all buildings, cut exactly."""
+    ways = fx.boxes_to_ways(fx.area_boxes(spark, sf))
+    areas = overlay.water_areas(ways).unionByName(overlay.vegetation_areas(ways))
+    cut = overlay.cut_by(areas, box_parts(fx.building_boxes(spark, sf)), None, None)
+    return cut.select("osm_id", rnd(kernel.parts_area(F.col("parts")), 3).alias("area"))
+
+
+@query
+def areas_cut_locally(spark: SparkSession, sf: str) -> DataFrame:
+    """The same where an area touched by more than five buildings stays whole."""
+    ways = fx.boxes_to_ways(fx.area_boxes(spark, sf))
+    areas = overlay.water_areas(ways).unionByName(overlay.vegetation_areas(ways))
+    cut = overlay.cut_by(areas, box_parts(fx.building_boxes(spark, sf)), 5, None)
+    return cut.select("osm_id", rnd(kernel.parts_area(F.col("parts")), 3).alias("area"))
+
+
+@query
+def nav_layer_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Areas of the connected navigation layers with plain footprints."""
+    ways = fx.ways(spark, sf).unionByName(fx.buildings(spark, sf))
+    ways = ways.unionByName(fx.boxes_to_ways(fx.area_boxes(spark, sf)))
+    occupied, free = overlay.nav_layers(ways, simple_buildings=True)
+    return osm.layer_counts(occupied=occupied, free=free)
+
+
+@query
+def road_strip_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Road pieces and area per surface and cell."""
+    rows = mesh.road_buckets(roads.motor_strips(fx.ways(spark, sf)))
+    return rows.select("surface", "cell", rnd("z_m", 3).alias("z_m"), "n", rnd("area", 2).alias("area"))
+
+
+@query
+def wall_quads(spark: SparkSession, sf: str) -> DataFrame:
+    rows = mesh.wall_quads(city_items(spark, sf))
+    return rows.select(
+        "osm_id", F.col("wall").cast("long").alias("wall"), *[rnd(c, 3).alias(c) for c in ("x0_cm", "y0_cm", "x1_cm", "y1_cm", "z1_cm")],
+        rnd("u0", 6).alias("u0"), rnd("u1", 6).alias("u1"), rnd("v1", 6).alias("v1"),
+    )
+
+
+@query
+def mesh_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Point and face offsets of each building inside its merged (cell, band, variant) mesh."""
+    items = buildings.with_lod_cell(city_items(spark, sf)).withColumn("band", tags.facade_band(F.col("height_m")))
+    items = items.withColumn("variant", tags.facade_variant(F.col("osm_id"), F.col("band")))
+    n = F.size("ring") - 1
+    sized = items.withColumn("points", n + 4 * n).withColumn("faces", n - 2 + n)
+    rows = mesh.point_offsets(sized, ["cell", "band", "variant"], "ord", "points", "faces")
+    return rows.select("osm_id", "point_offset", "face_offset")
+
+
+@query
+def roof_triangles(spark: SparkSession, sf: str) -> DataFrame:
+    """Triangles and roof area of the inset footprints."""
+    items = buildings.inset(buildings.footprints(fx.buildings(spark, sf)))
+    tri = mesh.triangulate(overlay.ring_to_parts(items).select("osm_id", "parts"))
+    return tri.groupBy("osm_id").agg(
+        F.count("*").alias("n"), rnd(F.sum(lines.ring_area(F.concat("t", F.slice("t", 1, 1)))), 3).alias("area")
+    )
+
+
+@query
+def wall_uvs(spark: SparkSession, sf: str) -> DataFrame:
+    """Planar texture coordinates of each building's lower and upper corners."""
+    b = fx.building_boxes(spark, sf).withColumn("height_m", tags.building_height())
+    corner = lambda x, y, z: F.struct(F.col(x).alias("x"), F.col(y).alias("y"), z.alias("z"))
+    zero, top = F.lit(0.0), F.col("height_m")
+    points = b.select("osm_id", F.inline(F.array(corner("x0", "y0", zero), corner("x1", "y0", top), corner("x1", "y1", zero))))
+    return mesh.planar_uvs(points, "osm_id").select("osm_id", "x", "y", "z", rnd("u").alias("u"), rnd("v").alias("v"))
+
+
+@query
+def cell_masses(spark: SparkSession, sf: str) -> DataFrame:
+    """Union of the footprints per 100 m cell."""
+    rows = mesh.union_footprints(city_items(spark, sf), 100.0)
+    return rows.select("cell", rnd(kernel.parts_area(F.col("parts")), 2).alias("area"), rnd("height_m", 2).alias("height_m"))
