@@ -161,6 +161,16 @@ def region_area(parts: list[Ring]) -> float:
 # ---- the same as Columns and DataFrame steps
 
 
+def apart(udf):
+    """Keep a kernel call in its own projection: it is not repeated by pushed filters nor pulled into lambdas."""
+    return udf.asNondeterministic()
+
+
+def settle(df: DataFrame, column: str = "parts") -> DataFrame:
+    """Finish a kernel column before higher-order functions read it; a lambda cannot hold a Python call."""
+    return df.where(F.col(column).isNotNull())
+
+
 @F.pandas_udf(T.DoubleType())
 def _overlap_area(a: pd.Series, b: pd.Series) -> pd.Series:
     def common(i, j) -> float:
@@ -172,7 +182,7 @@ def _overlap_area(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def overlap_area(a: str, b: str) -> Column:
     """Common area of two rings."""
-    return _overlap_area(F.col(a), F.col(b))
+    return apart(_overlap_area)(F.col(a), F.col(b))
 
 
 @F.pandas_udf(lines.PARTS)
@@ -182,7 +192,7 @@ def _ring_parts(rings: pd.Series) -> pd.Series:
 
 def ring_parts(ring: Column) -> Column:
     """Convex parts of a closed ring."""
-    return _ring_parts(ring)
+    return apart(_ring_parts)(ring)
 
 
 @F.pandas_udf(lines.PARTS)
@@ -192,7 +202,7 @@ def _disjoint_parts(parts: pd.Series) -> pd.Series:
 
 def disjoint_parts(parts: Column) -> Column:
     """The same region without overlaps between its parts, so areas add up."""
-    return _disjoint_parts(parts)
+    return apart(_disjoint_parts)(parts)
 
 
 @F.pandas_udf(lines.PARTS)
@@ -205,7 +215,7 @@ def _difference(parts: pd.Series, cutters: pd.Series) -> pd.Series:
 
 def difference(parts: Column, cutters: Column) -> Column:
     """Convex parts of the first region outside the second."""
-    return _difference(parts, cutters)
+    return apart(_difference)(parts, cutters)
 
 
 @F.pandas_udf(lines.PARTS)
@@ -219,7 +229,7 @@ def _intersection(parts: pd.Series, windows: pd.Series) -> pd.Series:
 
 def intersection(parts: Column, windows: Column) -> Column:
     """Convex parts of the first region inside the second."""
-    return _intersection(parts, windows)
+    return apart(_intersection)(parts, windows)
 
 
 def parts_area(parts: Column) -> Column:

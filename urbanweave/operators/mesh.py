@@ -34,14 +34,14 @@ def _region_parts(outline: pd.Series, holes: pd.Series) -> pd.Series:
 
 def region_parts(outline: Column, holes: Column) -> Column:
     """Convex parts of an outline with holes."""
-    return _region_parts(outline, holes)
+    return kernel.apart(_region_parts)(outline, holes)
 
 
 def triangulate(shapes: DataFrame, min_area: float = 0.05) -> DataFrame:
     """Triangles of convex ``parts``: the other columns with ``tri`` and three points ``t``; tiny shapes drop out."""
     sized = shapes.where(kernel.parts_area(F.col("parts")) >= min_area)
     others = [c for c in shapes.columns if c != "parts"]
-    return sized.select(*others, F.posexplode(_triangles("parts")).alias("tri", "t"))
+    return sized.select(*others, F.posexplode(kernel.apart(_triangles)("parts")).alias("tri", "t"))
 
 
 def flat_mesh(shapes: DataFrame, z_m: float) -> DataFrame:

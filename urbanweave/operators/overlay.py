@@ -22,7 +22,7 @@ def closed_areas(ways: DataFrame) -> DataFrame:
     others = rings.where(~lines.is_box(F.col("ring"))).select(
         "osm_id", "ord", "tags", kernel.ring_parts(F.col("ring")).alias("parts")
     )
-    return boxes.unionByName(others)
+    return boxes.unionByName(kernel.settle(others))
 
 
 def water_areas(ways: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def water_areas(ways: DataFrame) -> DataFrame:
     rivers = ways.where(~tags.is_water_area() & tags.is_waterway() & (F.size("coords") >= 2))
     rivers = rivers.where(lines.length(F.col("coords")) > 0)
     buffered = kernel.disjoint_parts(lines.buffer_parts(F.col("coords"), tags.waterway_width() / 2))
-    return areas.unionByName(rivers.select("osm_id", "ord", "tags", buffered.alias("parts")))
+    return areas.unionByName(kernel.settle(rivers.select("osm_id", "ord", "tags", buffered.alias("parts"))))
 
 
 def vegetation_areas(ways: DataFrame) -> DataFrame:
@@ -90,7 +90,7 @@ def subtract_discs(shapes: DataFrame, discs: DataFrame) -> DataFrame:
 def ring_to_parts(items: DataFrame) -> DataFrame:
     boxes = items.where(lines.is_box(F.col("ring"))).withColumn("parts", F.array("ring"))
     others = items.where(~lines.is_box(F.col("ring"))).withColumn("parts", kernel.ring_parts(F.col("ring")))
-    return boxes.unionByName(others)
+    return boxes.unionByName(kernel.settle(others))
 
 
 def nav_layers(

@@ -218,7 +218,7 @@ def pavement(ways: DataFrame) -> DataFrame:
     merged = merge_chains(usable, node_degree(ways))
     smooth = bends.smooth(merged).where(lines.length(F.col("coords")) > 0)
     ring = lines.ribbon(F.col("coords"), F.col("widths"))
-    return smooth.withColumn("parts", kernel.ring_parts(ring))
+    return kernel.settle(smooth.withColumn("parts", kernel.ring_parts(ring)))
 
 
 def rank_order(ways: DataFrame) -> Column:

@@ -534,3 +534,155 @@ b(band, i, stem) AS (VALUES ('low', 0, 'Facade002'), ('low', 1, 'Facade005'), ('
   ('mid', 0, 'Facade008'), ('mid', 1, 'Facade007'), ('mid', 2, 'Facade011'), ('mid', 3, 'Facade017'),
   ('high', 0, 'Facade014'), ('high', 1, 'Facade013'), ('high', 2, 'Facade012'), ('high', 3, 'Facade010'), ('tower', 0, 'Facade001'))
 SELECT band, row_number() OVER (PARTITION BY band ORDER BY i) - 1 AS n, path FROM s JOIN b USING (stem)"""
+
+
+def _left_area(items: str, pairs: str) -> str:
+    """CTE ``remains(id, area)`` of rectangles ``items`` minus the clipped rectangles ``pairs`` by compressed coordinates."""
+    def steps(a: str) -> str:
+        return f"""{a}cut AS (SELECT id, v AS lo, lead(v) OVER (PARTITION BY id ORDER BY v) AS hi FROM (
+  SELECT id, {a}0 AS v FROM hit UNION SELECT id, {a}1 FROM hit UNION SELECT id, c{a}0 FROM pr UNION SELECT id, c{a}1 FROM pr))"""
+
+    return f"""pr AS (SELECT id, cx0, cx1, cy0, cy1 FROM {pairs} WHERE cx1 > cx0 AND cy1 > cy0),
+hit AS (SELECT * FROM {items} SEMI JOIN pr USING (id)),
+{steps("x")},
+{steps("y")},
+tile AS (SELECT x.id, x.lo AS xa, x.hi AS xb, y.lo AS ya, y.hi AS yb FROM xcut x JOIN ycut y USING (id) WHERE x.hi IS NOT NULL AND y.hi IS NOT NULL),
+bare AS (SELECT * FROM tile t ANTI JOIN pr p ON p.id = t.id AND cx0 <= xa AND cx1 >= xb AND cy0 <= ya AND cy1 >= yb),
+remains AS (
+  SELECT hit.id, coalesce(sum((xb - xa) * (yb - ya)), 0.0e0) AS area FROM hit LEFT JOIN bare USING (id) GROUP BY hit.id
+  UNION ALL SELECT id, CAST((x1 - x0) * (y1 - y0) AS DOUBLE) FROM {items} ANTI JOIN pr USING (id))
+"""
+
+
+def _gridded(src: str, out: str, cell: int = 100) -> str:
+    return f"""{out}c AS (SELECT *, unnest(generate_series(CAST(floor(x0 / {cell}.0e0) AS BIGINT), CAST(floor(x1 / {cell}.0e0) AS BIGINT))) AS gx FROM {src}),
+{out} AS (SELECT *, unnest(generate_series(CAST(floor(y0 / {cell}.0e0) AS BIGINT), CAST(floor(y1 / {cell}.0e0) AS BIGINT))) AS gy FROM {out}c)"""
+
+
+ORACLES["strips_cut_by_rank"] = t("segs roads", _STRIPS + """,
+it AS (SELECT way_id * 2 + run AS id, way_id, run, road_rank, x0, x1, y0, y1 FROM strips),
+""" + _gridded("it", "ig") + """,
+pc AS (SELECT DISTINCT a.id, greatest(a.x0, b.x0) AS cx0, least(a.x1, b.x1) AS cx1, greatest(a.y0, b.y0) AS cy0, least(a.y1, b.y1) AS cy1
+  FROM ig a JOIN ig b USING (gx, gy) WHERE (b.road_rank, b.way_id) < (a.road_rank, a.way_id)
+    AND least(a.x1, b.x1) > greatest(a.x0, b.x0) AND least(a.y1, b.y1) > greatest(a.y0, b.y0)),
+""" + _left_area("it", "pc") + """
+SELECT way_id AS osm_id, CAST(run AS BIGINT) AS run, round(area, 3) AS area FROM remains JOIN it USING (id)""")
+_CUTTERS = """AND it AS (SELECT osm_id AS id, x0, x1, y0, y1 FROM areas WHERE natural_tag IS NOT NULL OR landuse IS NOT NULL),
+""" + _gridded("it", "ag") + ",\n" + _gridded("buildings", "bg") + """,
+meet AS (SELECT DISTINCT a.id, b.osm_id AS b_id, greatest(a.x0, b.x0) AS cx0, least(a.x1, b.x1) AS cx1, greatest(a.y0, b.y0) AS cy0, least(a.y1, b.y1) AS cy1
+  FROM ag a JOIN bg b USING (gx, gy) WHERE least(a.x1, b.x1) >= greatest(a.x0, b.x0) AND least(a.y1, b.y1) >= greatest(a.y0, b.y0)),
+"""
+ORACLES["areas_cut_by_buildings"] = t("areas buildings", _CUTTERS + _left_area("it", "meet") + """
+SELECT id AS osm_id, round(area, 3) AS area FROM remains WHERE area > 0""")
+ORACLES["areas_cut_locally"] = t("areas buildings", _CUTTERS + """
+few AS (SELECT * FROM meet QUALIFY count(*) OVER (PARTITION BY id) <= 5),
+""" + _left_area("it", "few") + """
+SELECT id AS osm_id, round(area, 3) AS area FROM remains WHERE area > 0""")
+ORACLES["cell_masses"] = t("buildings", """
+AND b AS (SELECT *, CAST(floor((x0 + x1) / 2.0e0 / 100) AS BIGINT) AS ix, CAST(floor((y0 + y1) / 2.0e0 / 100) AS BIGINT) AS iy FROM buildings),
+k AS (SELECT *, 'c' || CASE WHEN ix < 0 THEN 'n' ELSE '' END || CAST(abs(ix) AS VARCHAR) || '_' || CASE WHEN iy < 0 THEN 'n' ELSE '' END
+  || CAST(abs(iy) AS VARCHAR) AS id FROM b),
+it AS (SELECT id, min(x0) AS x0, max(x1) AS x1, min(y0) AS y0, max(y1) AS y1, max(floors) AS floors FROM k GROUP BY id),
+pc AS (SELECT id, x0 AS cx0, x1 AS cx1, y0 AS cy0, y1 AS cy1 FROM k),
+""" + _left_area("it", "pc") + """
+SELECT id AS cell, round((x1 - x0) * (y1 - y0) - area, 2) AS area, floors * 3.0e0 AS height_m FROM remains JOIN it USING (id)""")
+_RUNS = """AND run AS (
+  SELECT way_id, CASE WHEN way_id % 3 = 0 AND seq >= 2 THEN 1 ELSE 0 END AS piece_no, arg_min(xa, seq) AS sx, arg_min(ya, seq) AS sy,
+    arg_max(xb, seq) AS ex, arg_max(yb, seq) AS ey FROM segs GROUP BY 1, 2),
+dir AS (SELECT *, CAST(abs(ex - sx) + abs(ey - sy) AS DOUBLE) AS rl, sign(ex - sx) AS ux, sign(ey - sy) AS uy FROM run JOIN roads USING (way_id)),
+kinds AS (
+  SELECT *, 'center' AS role, 'double_yellow_solid' AS style, unnest([0.09e0, -0.09e0]) AS off FROM dir
+    WHERE highway IN ('motorway', 'primary') OR (highway = 'secondary' AND width >= 9)
+  UNION ALL SELECT *, 'center', CASE highway WHEN 'secondary' THEN 'single_yellow_solid' ELSE 'single_white_dash' END, 0.0e0 FROM dir
+    WHERE (highway = 'secondary' AND width < 9) OR (highway = 'residential' AND width >= 6)
+  UNION ALL SELECT *, 'lane', 'white_dash', unnest([width / 4, -width / 4]) FROM dir WHERE major
+  UNION ALL SELECT *, 'edge', 'white_solid', unnest([width / 2, -width / 2]) FROM dir WHERE major),
+paint AS (
+  SELECT *, 0 AS seq, 0.0e0 AS a, rl AS b FROM kinds WHERE style NOT LIKE '%dash'
+  UNION ALL SELECT * EXCLUDE (a), a // 10 AS seq, CAST(a AS DOUBLE), least(a + 4.0e0, rl) FROM (
+    SELECT *, unnest(generate_series(0, CAST(ceil(rl / 10) AS BIGINT) * 10 - 10, 10)) AS a FROM kinds WHERE style LIKE '%dash')
+    WHERE least(a + 4.0e0, rl) - a >= 0.4)
+"""
+ORACLES["marking_stripes"] = t("segs roads", _RUNS + """
+SELECT way_id AS osm_id, CAST(piece_no AS BIGINT) AS piece_no, role, style, CAST(seq AS BIGINT) AS seq, round(b - a, 3) AS len,
+  round(sx + ux * (a + b) / 2 - uy * off, 3) + 0.0 AS x, round(sy + uy * (a + b) / 2 + ux * off, 3) + 0.0 AS y FROM paint""")
+ORACLES["marking_cells"] = t("segs roads", _RUNS + """,
+c AS (SELECT CASE WHEN style LIKE '%yellow%' THEN 'y' ELSE 'w' END AS color, b - a AS ln,
+  CAST(floor((sx + ux * (a + b) / 2 - uy * off) / 400) AS BIGINT) AS ix, CAST(floor((sy + uy * (a + b) / 2 + ux * off) / 400) AS BIGINT) AS iy FROM paint)
+SELECT color, 'c' || CASE WHEN ix < 0 THEN 'n' ELSE '' END || CAST(abs(ix) AS VARCHAR) || '_' || CASE WHEN iy < 0 THEN 'n' ELSE '' END
+  || CAST(abs(iy) AS VARCHAR) AS cell, count(*) AS n, round(sum(ln * 0.16e0), 2) AS area FROM c GROUP BY color, ix, iy""")
+ORACLES["pieces_between_junctions"] = t("way_nodes roads segs degree", """
+AND win AS (
+  SELECT r.way_id, r.len, r.n_vertices, greatest(0.0e0, 50.0e0 * seq - greatest(3.0e0, width * 0.45e0)) AS a,
+    least(len, 50.0e0 * seq + greatest(3.0e0, width * 0.45e0)) AS b
+  FROM roads r JOIN way_nodes v USING (way_id) JOIN degree d ON d.x = v.x AND d.y = v.y
+  WHERE degree >= 3 AND NOT (r.way_id % 3 = 0 AND seq = 2 AND n_vertices > 3)),
+gap AS (
+  SELECT way_id, coalesce(max(b) OVER (PARTITION BY way_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0e0) AS a, a AS b FROM win
+  UNION ALL SELECT way_id, max(b), any_value(len) FROM win GROUP BY way_id
+  UNION ALL SELECT way_id, 0.0e0, len FROM roads ANTI JOIN win USING (way_id)),
+pc AS (SELECT way_id, a, b FROM gap WHERE b - a >= 1.0e0)
+SELECT p.way_id AS osm_id, round(p.b - p.a, 3) AS len,
+  round(s.xa + (s.xb - s.xa) * (p.a - 50.0e0 * s.seq) / 50.0e0, 3) + 0.0 AS x0, round(s.ya + (s.yb - s.ya) * (p.a - 50.0e0 * s.seq) / 50.0e0, 3) + 0.0 AS y0,
+  round(e.xa + (e.xb - e.xa) * (p.b - 50.0e0 * e.seq) / 50.0e0, 3) + 0.0 AS x1, round(e.ya + (e.yb - e.ya) * (p.b - 50.0e0 * e.seq) / 50.0e0, 3) + 0.0 AS y1
+FROM pc p JOIN segs s ON s.way_id = p.way_id AND s.seq = CAST(floor(p.a / 50) AS BIGINT)
+  JOIN segs e ON e.way_id = p.way_id AND e.seq = CAST(ceil(p.b / 50) AS BIGINT) - 1""")
+ORACLES["junction_candidates"] = t("way_nodes roads segs degree", """
+AND ring AS (SELECT DISTINCT x, y FROM way_nodes JOIN roads USING (way_id) WHERE junction IS NOT NULL AND highway IN ('motorway', 'primary')),
+visit AS (SELECT v.x, v.y, way_id, width, highway IN ('motorway', 'primary') AS prim,
+    CAST(seq > 0 AS INTEGER) + CAST(seq < n_vertices - 1 AS INTEGER) AS arms
+  FROM way_nodes v JOIN roads USING (way_id) JOIN degree d ON d.x = v.x AND d.y = v.y ANTI JOIN ring ON ring.x = v.x AND ring.y = v.y
+  WHERE motor AND junction IS NULL AND degree >= 3)
+SELECT x * 1000 AS nx, y * 1000 AS ny, count(*) AS n_ways, max(width) AS width, CAST(sum(arms) AS BIGINT) AS n_arms
+FROM visit GROUP BY x, y HAVING count(*) >= 2 AND count(*) FILTER (WHERE prim) >= 2""")
+ORACLES["approach_arrows"] = t("way_nodes roads segs degree", """
+AND spot AS (
+  SELECT v.way_id, v.seq AS pos, v.x, v.y, width, v.seq + step AS other, step
+  FROM way_nodes v JOIN roads r USING (way_id) JOIN degree d ON d.x = v.x AND d.y = v.y, (VALUES (-1), (1)) s(step)
+  WHERE degree >= 3 AND major AND junction IS NULL),
+arr AS (
+  SELECT p.way_id, pos, step, (n.x - p.x) / 50 AS dx, (n.y - p.y) / 50 AS dy, greatest(8.0e0, width * 0.55e0 + 4.3e0) AS back,
+    p.x + dx * back - dy * width / 8 AS ax, p.y + dy * back + dx * width / 8 AS ay, atan2(-dy, -dx) AS yaw
+  FROM spot p JOIN way_nodes n ON n.way_id = p.way_id AND n.seq = p.other)
+SELECT way_id AS osm_id, CAST(pos AS BIGINT) AS pos, CAST(step AS BIGINT) AS step, round(ax, 3) + 0.0 AS x, round(ay, 3) + 0.0 AS y,
+  round(CASE WHEN dx = 1 THEN pi() ELSE yaw END, 6) + 0.0 AS yaw
+FROM arr QUALIFY row_number() OVER (PARTITION BY round_even(ax * 2, 0), round_even(ay * 2, 0), dx, dy ORDER BY way_id, pos, step) = 1""")
+ORACLES["roundabout_patches"] = t("way_nodes roads", """
+SELECT way_id AS osm_id, CAST(2 * count(*) - 1 AS INTEGER) AS n_parts, round(avg(x), 3) AS x, round(avg(y), 3) AS y
+FROM way_nodes JOIN roads USING (way_id) WHERE junction IS NOT NULL GROUP BY way_id HAVING count(*) >= 3""")
+ORACLES["road_buffers"] = t("roads", """
+AND a AS (SELECT *, width / 2 AS r, 32 * sin(pi() / 32) * r * r AS disc FROM roads WHERE motor)
+SELECT way_id AS osm_id, round(len * width + disc + CASE WHEN way_id % 3 = 0 AND n_vertices > 3 THEN disc / 4 - r * r ELSE 0 END, 3) AS area FROM a""")
+ORACLES["nav_layer_counts"] = t("roads buildings areas", """
+SELECT 'occupied' AS layer, (SELECT count(*) FROM buildings) + (SELECT count(*) FROM areas WHERE natural_tag IS NOT NULL) AS n
+UNION ALL SELECT 'free', count(*) FROM roads WHERE motor""")
+ORACLES["road_strip_cells"] = t("segs roads", _STRIPS + """,
+c AS (SELECT CASE highway WHEN 'motorway' THEN 'highway' WHEN 'primary' THEN 'national' WHEN 'secondary' THEN 'provincial' ELSE 'asphalt' END AS surface,
+  CAST(floor((x0 + x1) / 2 / 400) AS BIGINT) AS ix, CAST(floor((y0 + y1) / 2 / 400) AS BIGINT) AS iy, (x1 - x0) * (y1 - y0) AS area FROM strips JOIN roads USING (way_id))
+SELECT surface, 'c' || CASE WHEN ix < 0 THEN 'n' ELSE '' END || CAST(abs(ix) AS VARCHAR) || '_' || CASE WHEN iy < 0 THEN 'n' ELSE '' END
+  || CAST(abs(iy) AS VARCHAR) AS cell, 0.08e0 AS z_m, count(*) AS n, round(sum(area), 2) AS area FROM c GROUP BY surface, ix, iy""")
+ORACLES["wall_quads"] = t("buildings", f"""
+AND k AS (SELECT *, CASE {_BAND} WHEN 'low' THEN 3 WHEN 'mid' THEN 8 WHEN 'high' THEN 10 ELSE 14 END AS tf,
+  CAST(x1 - x0 AS DOUBLE) AS wx, CAST(y1 - y0 AS DOUBLE) AS wy FROM buildings),
+q AS (SELECT *, unnest([0, 1, 2, 3]) AS wall FROM k)
+SELECT osm_id, CAST(wall AS BIGINT) AS wall, CASE WHEN wall IN (0, 3) THEN x0 ELSE x1 END * 100.0e0 AS x0_cm,
+  CASE WHEN wall IN (0, 1) THEN y0 ELSE y1 END * 100.0e0 AS y0_cm, CASE WHEN wall IN (0, 1) THEN x1 ELSE x0 END * 100.0e0 AS x1_cm,
+  CASE WHEN wall IN (1, 2) THEN y1 ELSE y0 END * 100.0e0 AS y1_cm, round(4.0e0 + floors * 300.0e0, 3) AS z1_cm,
+  round(CASE wall WHEN 0 THEN 0 WHEN 1 THEN wx WHEN 2 THEN wx + wy ELSE wx + wy + wx END * 100.0e0 / 7200.0e0, 6) AS u0,
+  round(CASE wall WHEN 0 THEN wx WHEN 1 THEN wx + wy WHEN 2 THEN wx + wy + wx ELSE 2 * (wx + wy) END * 100.0e0 / 7200.0e0, 6) AS u1,
+  round(floors * 300.0e0 / (tf * 3600.0e0), 6) AS v1 FROM q""")
+ORACLES["mesh_offsets"] = t("buildings", f"""
+AND c AS (SELECT *, CAST(floor((x0 + x1) / 2.0e0 / 400) AS BIGINT) AS ix, CAST(floor((y0 + y1) / 2.0e0 / 400) AS BIGINT) AS iy FROM buildings)
+SELECT osm_id, 20 * (row_number() OVER w - 1) AS point_offset, 6 * (row_number() OVER w - 1) AS face_offset FROM c
+WINDOW w AS (PARTITION BY ix, iy, {_BAND}, {_VARIANT} ORDER BY osm_id)""")
+ORACLES["roof_triangles"] = t("buildings", """
+SELECT osm_id, CAST(2 AS BIGINT) AS n, round((x1 - x0 - 0.12e0) * (y1 - y0 - 0.12e0), 3) AS area FROM buildings""")
+ORACLES["wall_uvs"] = t("buildings", """
+AND s AS (SELECT *, CAST(x1 - x0 AS DOUBLE) AS dx, CAST(y1 - y0 AS DOUBLE) AS dy, floors * 3.0e0 AS dz FROM buildings),
+p AS (SELECT *, unnest([0, 1, 2]) AS i FROM s),
+q AS (SELECT osm_id, CAST(CASE i WHEN 0 THEN x0 ELSE x1 END AS DOUBLE) AS x, CAST(CASE i WHEN 2 THEN y1 ELSE y0 END AS DOUBLE) AS y,
+  CASE i WHEN 1 THEN dz ELSE 0.0e0 END AS z, CASE i WHEN 0 THEN 0.0e0 ELSE 1.0e0 END AS fx, CASE i WHEN 2 THEN 1.0e0 ELSE 0.0e0 END AS fy,
+  CASE i WHEN 1 THEN 1.0e0 ELSE 0.0e0 END AS fz, dx, dy, dz FROM p)
+SELECT osm_id, x, y, z, CASE WHEN dx >= dy AND dx >= dz THEN fx WHEN dy >= dz THEN fy ELSE fz END AS u,
+  CASE WHEN dx >= dy AND dx >= dz THEN CASE WHEN dy >= dz THEN fy ELSE fz END
+    WHEN dy >= dz THEN CASE WHEN dx >= dz THEN fx ELSE fz END ELSE CASE WHEN dx >= dy THEN fx ELSE fy END END AS v FROM q""")

@@ -725,6 +725,7 @@ def roundabout_patches(spark: SparkSession, sf: str) -> DataFrame:
 def road_buffers(spark: SparkSession, sf: str) -> DataFrame:
     """Area of the round-ended motor road buffers."""
     rows = roads.motor_buffers(fx.ways(spark, sf)).withColumn("parts", kernel.disjoint_parts(F.col("parts")))
+    rows = kernel.settle(rows)
     return rows.select("osm_id", rnd(kernel.parts_area(F.col("parts")), 3).alias("area"))
 
 
