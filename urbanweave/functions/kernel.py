@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,75 +162,67 @@ def region_area(parts: list[Ring]) -> float:
 # ---- the same as Columns and DataFrame steps
 
 
-def apart(udf):
-    """Keep a kernel call in its own projection: it is not repeated by pushed filters nor pulled into lambdas."""
-    return udf.asNondeterministic()
+def add(df: DataFrame, name: str, kernel, *args: Column | str) -> DataFrame:
+    """Add the column ``name`` computed by an Arrow kernel from the arguments.
 
+    The arguments pass through an explode of one element and the result through a filter, so that they are finished
+    columns: Spark cannot run a Python call together with higher-order functions in one projection.
+    """
+    packed = F.struct(*[(F.col(a) if isinstance(a, str) else a).alias(f"a{i}") for i, a in enumerate(args)])
+    ready = df.withColumn("_k", F.explode(F.array(packed)))
+    done = ready.withColumn(name, kernel(*[F.col(f"_k.a{i}") for i in range(len(args))])).drop("_k")
+    return done.where(F.col(name).isNotNull())
 
-def settle(df: DataFrame, column: str = "parts") -> DataFrame:
-    """Finish a kernel column before higher-order functions read it; a lambda cannot hold a Python call."""
-    return df.where(F.col(column).isNotNull())
 
+RING_ARROW = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
+PARTS_ARROW = pa.list_(RING_ARROW)
 
-@F.pandas_udf(T.DoubleType())
-def _overlap_area(a: pd.Series, b: pd.Series) -> pd.Series:
-    def common(i, j) -> float:
-        left, right = convex_parts([to_ring(i)]), convex_parts([to_ring(j)])
-        return sum(0.5 * area2(clip(p, q)) for p in left for q in right)
 
-    return pd.Series([common(i, j) for i, j in zip(a, b)], dtype="float64")
+def rings_of(parts: list) -> list[Ring]:
+    return [to_ring(r) for r in parts]
 
 
-def overlap_area(a: str, b: str) -> Column:
-    """Common area of two rings."""
-    return apart(_overlap_area)(F.col(a), F.col(b))
-
+def points_of(rings: list[Ring]) -> list[list[dict]]:
+    return [to_points(r) for r in rings]
 
-@F.pandas_udf(lines.PARTS)
-def _ring_parts(rings: pd.Series) -> pd.Series:
-    return pd.Series([[to_points(p) for p in convex_parts([to_ring(r)])] for r in rings])
 
+@F.arrow_udf(T.DoubleType())
+def overlap_area(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Common area of two rings."""
+    def common(i: list, j: list) -> float:
+        left, right = convex_parts([to_ring(i)]), convex_parts([to_ring(j)])
+        return sum(0.5 * area2(clip(p, q)) for p in left for q in right)
 
-def ring_parts(ring: Column) -> Column:
-    """Convex parts of a closed ring."""
-    return apart(_ring_parts)(ring)
+    return pa.array([common(i, j) for i, j in zip(a.to_pylist(), b.to_pylist())], pa.float64())
 
 
-@F.pandas_udf(lines.PARTS)
-def _disjoint_parts(parts: pd.Series) -> pd.Series:
-    return pd.Series([[to_points(p) for p in disjoint([to_ring(r) for r in row])] for row in parts])
+@F.arrow_udf(lines.PARTS)
+def ring_parts(rings: pa.Array) -> pa.Array:
+    """Convex parts of a closed ring."""
+    return pa.array([points_of(convex_parts([to_ring(r)])) for r in rings.to_pylist()], PARTS_ARROW)
 
 
-def disjoint_parts(parts: Column) -> Column:
+@F.arrow_udf(lines.PARTS)
+def disjoint_parts(parts: pa.Array) -> pa.Array:
     """The same region without overlaps between its parts, so areas add up."""
-    return apart(_disjoint_parts)(parts)
-
-
-@F.pandas_udf(lines.PARTS)
-def _difference(parts: pd.Series, cutters: pd.Series) -> pd.Series:
-    def cut(row, by):
-        return [to_points(p) for p in subtract_all([to_ring(r) for r in row], [to_ring(c) for c in by])]
-
-    return pd.Series([cut(row, by) for row, by in zip(parts, cutters)])
+    return pa.array([points_of(disjoint(rings_of(row))) for row in parts.to_pylist()], PARTS_ARROW)
 
 
-def difference(parts: Column, cutters: Column) -> Column:
+@F.arrow_udf(lines.PARTS)
+def difference(parts: pa.Array, cutters: pa.Array) -> pa.Array:
     """Convex parts of the first region outside the second."""
-    return apart(_difference)(parts, cutters)
+    rows = zip(parts.to_pylist(), cutters.to_pylist())
+    return pa.array([points_of(subtract_all(rings_of(row), rings_of(by))) for row, by in rows], PARTS_ARROW)
 
 
-@F.pandas_udf(lines.PARTS)
-def _intersection(parts: pd.Series, windows: pd.Series) -> pd.Series:
-    def both(row, by):
-        rings = [clip(to_ring(r), to_ring(c)) for r in row for c in by]
-        return [to_points(p) for p in disjoint([r for r in rings if area2(r) > EPS])]
-
-    return pd.Series([both(row, by) for row, by in zip(parts, windows)])
-
-
-def intersection(parts: Column, windows: Column) -> Column:
+@F.arrow_udf(lines.PARTS)
+def intersection(parts: pa.Array, windows: pa.Array) -> pa.Array:
     """Convex parts of the first region inside the second."""
-    return apart(_intersection)(parts, windows)
+    def both(row: list, by: list) -> list[Ring]:
+        common = [clip(r, c) for r in rings_of(row) for c in rings_of(by)]
+        return disjoint([r for r in common if area2(r) > EPS])
+
+    return pa.array([points_of(both(r, w)) for r, w in zip(parts.to_pylist(), windows.to_pylist())], PARTS_ARROW)
 
 
 def parts_area(parts: Column) -> Column:
@@ -237,6 +230,7 @@ def parts_area(parts: Column) -> Column:
     return F.aggregate(parts, F.lit(0.0), lambda acc, r: acc + lines.ring_area(r))
 
 
+@lines.bound
 def has_crossing(ring: Column) -> Column:
     """The ring crosses itself (two edges meet inside both), or has no area."""
     edges = F.filter(lines.segments(ring), lambda s: s["len"] > 0)

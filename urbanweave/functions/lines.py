@@ -7,6 +7,7 @@ map way, which the OpenStreetMap format limits to 2000 vertices.
 from __future__ import annotations
 
 import math
+from functools import wraps
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,6 +29,15 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def bound(fn):
+    """Evaluate the first argument of a geometry function once, however often the function reads it."""
+    @wraps(fn)
+    def once(coords: Column, *args, **kwargs) -> Column:
+        return let(coords, lambda c: fn(c, *args, **kwargs))
+
+    return once
+
+
 def same_point(a: Column, b: Column) -> Column:
     return (a["x"] == b["x"]) & (a["y"] == b["y"])
 
@@ -48,6 +58,7 @@ def last(coords: Column) -> Column:
     return F.get(coords, F.size(coords) - 1)
 
 
+@bound
 def is_closed(coords: Column) -> Column:
     return (F.size(coords) >= 3) & same_point(first(coords), last(coords))
 
@@ -84,6 +95,7 @@ def length(coords: Column) -> Column:
     return F.aggregate(segments(coords), F.lit(0.0), lambda acc, s: acc + F.coalesce(s["len"], F.lit(0.0)))
 
 
+@bound
 def stations(coords: Column) -> Column:
     """Running length at every vertex."""
     return F.aggregate(
@@ -93,6 +105,7 @@ def stations(coords: Column) -> Column:
     )
 
 
+@bound
 def point_at(coords: Column, distance: Column) -> Column:
     """Point at a running length, clamped to the ends."""
     want = F.greatest(distance, F.lit(0.0))
@@ -112,6 +125,7 @@ def point_at(coords: Column, distance: Column) -> Column:
     return let(F.aggregate(segments(coords), start, step), lambda end: pt(end["x"], end["y"]))
 
 
+@bound
 def sub_line(coords: Column, start: Column, end: Column) -> Column:
     """Part of a line between two running lengths, with the vertices strictly between them."""
     inner = F.filter(
@@ -132,6 +146,7 @@ def sample_distances(total: Column, spacing: float) -> Column:
     return F.when(total <= spacing, F.array(total * 0.5)).otherwise(F.filter(many, lambda d: d < total))
 
 
+@bound
 def point_and_yaw(coords: Column, distance: Column, total: Column) -> Column:
     """Point at a station and heading of the short chord around it; null where the chord has no length."""
     delta = F.least(F.lit(0.5), F.greatest(total * 0.01, F.lit(1e-3)))
@@ -163,16 +178,19 @@ def heading(a: Column, b: Column) -> Column:
     return F.atan2(b["y"] - a["y"], b["x"] - a["x"])
 
 
+@bound
 def start_heading(coords: Column) -> Column:
     """Heading away from the first vertex."""
     return heading(first(coords), F.get(coords, F.lit(1)))
 
 
+@bound
 def end_heading(coords: Column) -> Column:
     """Heading away from the last vertex, back along the line."""
     return heading(last(coords), F.get(coords, F.size(coords) - 2))
 
 
+@bound
 def cluster_headings(raw: Column, tol: float = K.ARM_HEADING_TOL) -> Column:
     """First heading of every group of headings closer than the tolerance, in list order."""
     return F.aggregate(
@@ -184,6 +202,7 @@ def cluster_headings(raw: Column, tol: float = K.ARM_HEADING_TOL) -> Column:
     )
 
 
+@bound
 def opposite_pairs(arms: Column) -> Column:
     """Pairs of opposite arms, each arm used once, matched in list order."""
     index = F.sequence(F.lit(0), F.greatest(F.size(arms) - 1, F.lit(0)))
@@ -200,6 +219,7 @@ def opposite_pairs(arms: Column) -> Column:
     return (F.size(F.aggregate(index, empty, match)) / 2).cast("int")
 
 
+@bound
 def junction_kind(arms: Column) -> Column:
     """tee, wye, cross, irregular, complex or none, from the outbound headings."""
     n, pairs = F.size(arms), opposite_pairs(arms)
@@ -211,6 +231,7 @@ def junction_kind(arms: Column) -> Column:
     )
 
 
+@bound
 def turn_sum(coords: Column) -> Column:
     """Total absolute turn over the inner vertices."""
     index = F.sequence(F.lit(0), F.greatest(F.size(coords) - 3, F.lit(0)))
@@ -221,6 +242,7 @@ def turn_sum(coords: Column) -> Column:
     return F.aggregate(turns, F.lit(0.0), lambda a, b: a + b)
 
 
+@bound
 def looks_like_ring(coords: Column, closed: Column) -> Column:
     """Compact loop or near-loop of at least eight vertices, 40 to 900 m long."""
     total, turn = length(coords), turn_sum(coords)
@@ -228,6 +250,7 @@ def looks_like_ring(coords: Column, closed: Column) -> Column:
     return (F.size(coords) >= 8) & (total >= 40.0) & (total <= 900.0) & (turn > limit)
 
 
+@bound
 def bends_near(coords: Column, distance: Column, total: Column, window) -> Column:
     """The line turns by more than 16 degrees around an inner station."""
     span = F.greatest(F.lit(2.0), window if isinstance(window, Column) else F.lit(float(window)))
@@ -262,6 +285,7 @@ def normals(coords: Column) -> Column:
     return let(coords, all_normals)
 
 
+@bound
 def offset_variable(coords: Column, widths: Column, fraction: float) -> Column:
     """Vertices moved along their normal by a fraction of the width there (left is positive)."""
     moved = F.zip_with(normals(coords), widths, lambda nv, w: pt(nv["x"] * w * fraction, nv["y"] * w * fraction))
@@ -313,12 +337,14 @@ def disc(center: Column, radius: Column, quadrant: int = 16) -> Column:
     )
 
 
+@bound
 def buffer_parts(coords: Column, half: Column, cap: str = "round") -> Column:
     """Convex parts that together cover the line's buffer: a box per segment, a disc per joint (and per round end)."""
     joints = coords if cap == "round" else F.slice(coords, F.lit(2), F.greatest(F.size(coords) - 2, F.lit(0)))
     return F.concat(segment_boxes(coords, half), F.transform(joints, lambda p: disc(p, half)))
 
 
+@bound
 def merge_straight(coords: Column) -> Column:
     """Drop inner vertices that lie on the straight line between their neighbours."""
     n = F.size(coords)
@@ -346,6 +372,7 @@ def ring_area(ring: Column) -> Column:
     return F.abs(ring_area_signed(ring))
 
 
+@bound
 def ring_centroid(ring: Column) -> Column:
     """Area centroid, computed relative to the first vertex; the vertex itself for rings without area."""
     base = first(ring)
@@ -369,6 +396,7 @@ def ring_centroid(ring: Column) -> Column:
     return let(F.aggregate(segments(ring), zero, step), centre)
 
 
+@bound
 def vertex_mean(coords: Column) -> Column:
     """Plain mean of the vertices; a closing vertex counts twice."""
     n = F.size(coords)
@@ -400,6 +428,7 @@ def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.array(a, pt(x1, y0), pt(x1, y1), pt(x0, y1), a)
 
 
+@bound
 def is_box(ring: Column) -> Column:
     """The ring is an axis-aligned rectangle of four corners."""
     def judged(b: Column) -> Column:
@@ -432,6 +461,7 @@ def _mitred(here: Column, before: Column, after: Column, distance: Column, floor
                lambda n: let(pt(n["b"]["x"] + n["a"]["x"], n["b"]["y"] + n["a"]["y"]), moved))
 
 
+@bound
 def inset_ring(ring: Column, distance: float) -> Column:
     """Closed ring with every edge moved inwards by ``distance``, corners mitred; null when nothing is left."""
     def inner(body: Column) -> Column:
@@ -500,6 +530,7 @@ def segment_distance(a: Column, b: Column) -> Column:
     return F.when(crossed, F.lit(0.0)).otherwise(apart)
 
 
+@bound
 def ring_segment_distance(ring: Column, s: Column) -> Column:
     """Distance of a filled ring from a segment, zero when they touch or the segment lies inside."""
     to_edges = F.array_min(F.transform(segments(ring), lambda e: segment_distance(e, s)))

@@ -103,7 +103,7 @@ def cover_pairs(shapes: DataFrame, ratio: float = K.ENCLOSED_COVER_RATIO) -> Dat
     pairs = spatial.box_join(left, right, BUILDING_CELL_M, condition=candidate)
     both = F.col("i_box") & F.col("j_box")
     boxes = pairs.where(both).withColumn("common", width * height)
-    rest = pairs.where(~both).withColumn("common", kernel.overlap_area("i_ring", "j_ring"))
+    rest = kernel.add(pairs.where(~both), "common", kernel.overlap_area, "i_ring", "j_ring")
     covered = boxes.unionByName(rest).where(F.col("common") >= ratio * F.col("i_area"))
     larger = F.col("j_area") > F.col("i_area") + 1e-6
     return covered.select("i_shape", "j_shape", larger.alias("larger"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,38 +10,31 @@ from pyspark.sql import types as T
 from urbanweave.functions import constants as K
 from urbanweave.functions import kernel, lines, tags
 
-TRIANGLES = T.ArrayType(lines.LINE)
 
+@F.arrow_udf(lines.PARTS)
+def fan_triangles(parts: pa.Array) -> pa.Array:
+    """Triangles of convex parts, three points each."""
+    def fans(row: list) -> list:
+        found = [t for ring in kernel.rings_of(row) for t in kernel.triangles([ring])]
+        return [[{"x": x, "y": y} for x, y in t] for t in found]
 
-@F.pandas_udf(TRIANGLES)
-def _triangles(parts: pd.Series) -> pd.Series:
-    """Fans of convex parts."""
-    def fan(row):
-        rings = [kernel.to_ring(r) for r in row]
-        return [[{"x": x, "y": y} for x, y in t] for ring in rings for t in kernel.triangles([ring])]
+    return pa.array([fans(row) for row in parts.to_pylist()], kernel.PARTS_ARROW)
 
-    return pd.Series([fan(row) for row in parts])
 
-
-@F.pandas_udf(lines.PARTS)
-def _region_parts(outline: pd.Series, holes: pd.Series) -> pd.Series:
-    def parts(ring, inner):
-        rings = [kernel.to_ring(ring)] + [kernel.to_ring(h) for h in (inner if inner is not None else [])]
-        return [kernel.to_points(p) for p in kernel.convex_parts(rings)]
-
-    return pd.Series([parts(r, h) for r, h in zip(outline, holes)])
-
-
-def region_parts(outline: Column, holes: Column) -> Column:
+@F.arrow_udf(lines.PARTS)
+def region_parts(outline: pa.Array, holes: pa.Array) -> pa.Array:
     """Convex parts of an outline with holes."""
-    return kernel.apart(_region_parts)(outline, holes)
+    rows = zip(outline.to_pylist(), holes.to_pylist())
+    cut = [kernel.convex_parts([kernel.to_ring(ring), *kernel.rings_of(inner or [])]) for ring, inner in rows]
+    return pa.array([kernel.points_of(rings) for rings in cut], kernel.PARTS_ARROW)
 
 
 def triangulate(shapes: DataFrame, min_area: float = 0.05) -> DataFrame:
     """Triangles of convex ``parts``: the other columns with ``tri`` and three points ``t``; tiny shapes drop out."""
     sized = shapes.where(kernel.parts_area(F.col("parts")) >= min_area)
     others = [c for c in shapes.columns if c != "parts"]
-    return sized.select(*others, F.posexplode(kernel.apart(_triangles)("parts")).alias("tri", "t"))
+    cut = kernel.add(sized, "_t", fan_triangles, "parts")
+    return cut.select(*others, F.posexplode("_t").alias("tri", "t"))
 
 
 def flat_mesh(shapes: DataFrame, z_m: float) -> DataFrame:
@@ -67,7 +60,8 @@ def parts_cell(shapes: DataFrame, size: float = K.LOD0_CELL_M) -> DataFrame:
         ),
     )
     rows = shapes.withColumn("_c", center).where("_c.a > 0")
-    cx, cy = F.col("_c.x") / F.col("_c.a"), F.col("_c.y") / F.col("_c.a")
+    # to the micrometre, so that shapes centred on a cell's edge do not depend on the last bits of a sum
+    cx, cy = F.round(F.col("_c.x") / F.col("_c.a"), 6), F.round(F.col("_c.y") / F.col("_c.a"), 6)
     return rows.withColumn("cell", tags.cell_token(tags.cell(cx, size), tags.cell(cy, size))).drop("_c")
 
 
@@ -178,10 +172,13 @@ def planar_uvs(points: DataFrame, mesh: str) -> DataFrame:
     return joined.withColumn("u", along(0)).withColumn("v", along(1)).drop("axes")
 
 
-def _union_cell(pdf: pd.DataFrame) -> pd.DataFrame:
-    rings = [kernel.to_ring(r) for row in pdf["parts"] for r in row]
-    merged = [kernel.to_points(p) for p in kernel.disjoint(rings)]
-    return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "parts": [merged], "height_m": [pdf["height_m"].max()]})
+def _union_cell(rows: pa.Table) -> pa.Table:
+    rings = [ring for row in rows["parts"].to_pylist() for ring in kernel.rings_of(row)]
+    merged = kernel.points_of(kernel.disjoint(rings))
+    return pa.table({
+        "cell": rows["cell"].slice(0, 1).combine_chunks(), "parts": pa.array([merged], kernel.PARTS_ARROW),
+        "height_m": pa.array([max(rows["height_m"].to_pylist())], pa.float64()),
+    })
 
 
 def union_footprints(items: DataFrame, size: float) -> DataFrame:
@@ -193,7 +190,7 @@ def union_footprints(items: DataFrame, size: float) -> DataFrame:
 
     celled = overlay.ring_to_parts(buildings.with_lod_cell(items, size))
     once = celled.groupBy("cell", "parts").agg(F.max("height_m").alias("height_m"))
-    return once.groupBy("cell").applyInPandas(_union_cell, T.StructType([
+    return once.groupBy("cell").applyInArrow(_union_cell, T.StructType([
         T.StructField("cell", T.StringType()), T.StructField("parts", lines.PARTS), T.StructField("height_m", T.DoubleType()),
     ]))
 

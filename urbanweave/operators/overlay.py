@@ -19,10 +19,8 @@ def closed_areas(ways: DataFrame) -> DataFrame:
     closed = ways.where(F.col("closed") & (F.size("coords") >= 4))
     rings = kernel.repair_rings(closed.select("osm_id", "ord", "tags", F.col("coords").alias("ring")))
     boxes = rings.where(lines.is_box(F.col("ring"))).select("osm_id", "ord", "tags", F.array("ring").alias("parts"))
-    others = rings.where(~lines.is_box(F.col("ring"))).select(
-        "osm_id", "ord", "tags", kernel.ring_parts(F.col("ring")).alias("parts")
-    )
-    return boxes.unionByName(kernel.settle(others))
+    others = kernel.add(rings.where(~lines.is_box(F.col("ring"))), "parts", kernel.ring_parts, "ring")
+    return boxes.unionByName(others.select("osm_id", "ord", "tags", "parts"))
 
 
 def water_areas(ways: DataFrame) -> DataFrame:
@@ -30,8 +28,9 @@ def water_areas(ways: DataFrame) -> DataFrame:
     areas = closed_areas(ways.where(tags.is_water_area()))
     rivers = ways.where(~tags.is_water_area() & tags.is_waterway() & (F.size("coords") >= 2))
     rivers = rivers.where(lines.length(F.col("coords")) > 0)
-    buffered = kernel.disjoint_parts(lines.buffer_parts(F.col("coords"), tags.waterway_width() / 2))
-    return areas.unionByName(kernel.settle(rivers.select("osm_id", "ord", "tags", buffered.alias("parts"))))
+    buffer = lines.buffer_parts(F.col("coords"), tags.waterway_width() / 2)
+    buffered = kernel.add(rivers, "parts", kernel.disjoint_parts, buffer)
+    return areas.unionByName(buffered.select("osm_id", "ord", "tags", "parts"))
 
 
 def vegetation_areas(ways: DataFrame) -> DataFrame:
@@ -75,9 +74,8 @@ def cut_by(
         by_part, (exploded["osm_id"] == by_part["a_id"]) & (exploded["part_no"] == by_part["part_no"]), "left"
     )
     whole = joined.where(F.col("cutters").isNull()).select("osm_id", F.array("part").alias("left"))
-    cut = joined.where(F.col("cutters").isNotNull()).select(
-        "osm_id", kernel.difference(F.array("part"), F.col("cutters")).alias("left")
-    )
+    cut = kernel.add(joined.where(F.col("cutters").isNotNull()), "left", kernel.difference, F.array("part"), "cutters")
+    cut = cut.select("osm_id", "left")
     remains = whole.unionByName(cut).groupBy("osm_id").agg(F.flatten(F.collect_list("left")).alias("parts"))
     return areas.drop("parts").join(remains, "osm_id").where(F.size("parts") > 0)
 
@@ -89,8 +87,8 @@ def subtract_discs(shapes: DataFrame, discs: DataFrame) -> DataFrame:
 
 def ring_to_parts(items: DataFrame) -> DataFrame:
     boxes = items.where(lines.is_box(F.col("ring"))).withColumn("parts", F.array("ring"))
-    others = items.where(~lines.is_box(F.col("ring"))).withColumn("parts", kernel.ring_parts(F.col("ring")))
-    return boxes.unionByName(kernel.settle(others))
+    others = kernel.add(items.where(~lines.is_box(F.col("ring"))), "parts", kernel.ring_parts, "ring")
+    return boxes.unionByName(others)
 
 
 def nav_layers(

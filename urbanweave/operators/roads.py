@@ -218,7 +218,7 @@ def pavement(ways: DataFrame) -> DataFrame:
     merged = merge_chains(usable, node_degree(ways))
     smooth = bends.smooth(merged).where(lines.length(F.col("coords")) > 0)
     ring = lines.ribbon(F.col("coords"), F.col("widths"))
-    return kernel.settle(smooth.withColumn("parts", kernel.ring_parts(ring)))
+    return kernel.add(smooth, "parts", kernel.ring_parts, ring)
 
 
 def rank_order(ways: DataFrame) -> Column:
@@ -246,9 +246,8 @@ def cut_by_rank(roads: DataFrame, key: str = "ord") -> DataFrame:
     grouped = cutters.groupBy("l_key", "part_no").agg(F.collect_list("r_part").alias("cutters"))
     hit = pieces.join(grouped, (F.col(key) == F.col("l_key")) & (pieces["part_no"] == grouped["part_no"]), "left")
     uncut = hit.where(F.col("cutters").isNull()).select(key, F.array("part").alias("left"))
-    cut = hit.where(F.col("cutters").isNotNull()).select(
-        key, kernel.difference(F.array("part"), F.col("cutters")).alias("left")
-    )
+    cut = kernel.add(hit.where(F.col("cutters").isNotNull()), "left", kernel.difference, F.array("part"), "cutters")
+    cut = cut.select(key, "left")
     remains = uncut.unionByName(cut).groupBy(key).agg(F.flatten(F.collect_list("left")).alias("parts"))
     return roads.drop("parts").join(remains, key)
 

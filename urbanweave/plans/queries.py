@@ -724,8 +724,8 @@ def roundabout_patches(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def road_buffers(spark: SparkSession, sf: str) -> DataFrame:
     """Area of the round-ended motor road buffers."""
-    rows = roads.motor_buffers(fx.ways(spark, sf)).withColumn("parts", kernel.disjoint_parts(F.col("parts")))
-    rows = kernel.settle(rows)
+    buffers = roads.motor_buffers(fx.ways(spark, sf)).withColumnRenamed("parts", "pieces")
+    rows = kernel.add(buffers, "parts", kernel.disjoint_parts, "pieces")
     return rows.select("osm_id", rnd(kernel.parts_area(F.col("parts")), 3).alias("area"))
 
 
