@@ -54,8 +54,12 @@ def carriageway_hits(rings: DataFrame, segments: DataFrame) -> DataFrame:
     )
     right = _boxed(pieces, ends, F.col("half"))
     pairs = spatial.box_join(left, right, BUILDING_CELL_M)
-    near = lines.ring_segment_distance(F.col("ring"), F.col("s")) < F.col("half") - 1e-6
-    return pairs.where(near).select("osm_id").distinct()
+    # the gap of the boxes is a cheap lower bound; the case keeps the exact distance behind it
+    gap_x = F.greatest(F.lit(0.0), F.least("s.x0", "s.x1") - F.col("l_x1"), F.col("l_x0") - F.greatest("s.x0", "s.x1"))
+    gap_y = F.greatest(F.lit(0.0), F.least("s.y0", "s.y1") - F.col("l_y1"), F.col("l_y0") - F.greatest("s.y0", "s.y1"))
+    reach = F.col("half") - 1e-6
+    near = F.when(gap_x * gap_x + gap_y * gap_y < reach * reach, lines.ring_segment_distance(F.col("ring"), F.col("s")) < reach)
+    return pairs.where(F.coalesce(near, F.lit(False))).select("osm_id").distinct()
 
 
 def polygon_hits(rings: DataFrame, roads: DataFrame) -> DataFrame:
