@@ -95,7 +95,7 @@ def test_dashes_and_stripes(spark):
     pieces = pieces.withColumn("piece_widths", F.array_repeat(tags.road_width(), F.size("piece")))
     rows = markings.dash(markings.marking_lines(pieces)).collect()
     dashes = [r for r in rows if r["osm_id"] == 1]
-    assert [(r["line"][0]["x"], r["line"][1]["x"]) for r in sorted(dashes, key=lambda r: r["seq"])] == [(0, 4), (10, 14), (20, 24)]
+    assert [(round(r["line"][0]["x"], 6), round(r["line"][1]["x"], 6)) for r in sorted(dashes, key=lambda r: r["seq"])] == [(0, 4), (10, 14), (20, 24)]
     second = {(r["role"], round(r["line"][0]["y"] - 50, 3)) for r in rows if r["osm_id"] == 2}
     assert second == {("center", 0.09), ("center", -0.09), ("lane", 3.0), ("lane", -3.0), ("edge", 6.0), ("edge", -6.0)}
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from urbanweave.functions import lines
 from urbanweave.operators import buildings, junctions, overlay, raster, roads, spatial
+from urbanweave.plans import city
 from urbanweave.sources import catalog, osm_read, pgm
 
 
@@ -225,7 +226,7 @@ def test_map_file(spark, tmp_path, kind):
     assert [(r["osm_id"], r["tags"]) for r in nodes.collect()] == [(4, {"natural": "tree"})]
     row = bounds.first()
     assert (row["west"], row["north"], row["origin"]["epsg"]) == (pytest.approx(121.5), pytest.approx(25.001), 32651)
-    assert by_id[10]["coords"][0]["x"] == pytest.approx(-50.4, abs=0.2)
+    assert by_id[10]["coords"][0]["x"] == pytest.approx(-51.08, abs=0.01)
 
 
 def test_grey_map_round_trip(spark, tmp_path):
@@ -249,3 +250,32 @@ def test_shards_are_pruned_by_folder(spark, tmp_path):
     catalog.write_shards(rows, str(tmp_path / "shards"))
     back = catalog.read_shards(spark, str(tmp_path / "shards"), "osm_id long, osm_type string, catalog_shard string")
     assert back.where("catalog_shard = 's1'").count() == 167
+
+
+def test_city_plan_builds_every_layer(spark):
+    p = {"highway": "primary", "name": "復興路"}
+    ways = make_ways(spark, [
+        (1, p, [(-150, 0), (0, 0), (150, 0)]), (2, p, [(0, 0), (0, 150)]), (3, {"highway": "residential"}, [(60, 0), (60, -90)]),
+        (4, {"building": "yes", "building:levels": "5"}, box(20, 20, 40, 40)), (5, {"building": "yes"}, box(-5, -3, 5, 3)),
+        (6, {"natural": "water"}, box(15, 15, 50, 50)), (7, {"landuse": "grass"}, box(-100, 40, -60, 90)),
+    ])
+    nodes = spark.createDataFrame([(1, 1, {"natural": "tree"}, 5.0, 80.0)], "osm_id long, ord long, tags map<string,string>, x double, y double")
+    layers = city.build(ways, nodes)
+    count = {r["layer"]: r["n"] for r in city.statistics(layers).collect()}
+    assert count["buildings"] == 1 and count["water"] == 1 and count["vegetation"] == 1 and count["trees"] == 1
+    assert count["roads"] == 3 and count["junctions"] == 1 and count["zebra"] == 5 and count["lamps"] > 4 and count["markings"] > 20
+    grid = raster.Grid.over(-160, -100, 160, 160, 2.0)
+    codes = {r["v"]: r["n"] for r in raster.occupancy_histogram(city.navigation(ways, grid), grid, 0).collect()}
+    assert codes[254] > 500 and sum(codes.values()) == grid.nx * grid.ny
+
+
+def test_markings_stay_on_their_pavement(spark):
+    from urbanweave.functions import kernel
+    from urbanweave.operators import markings
+
+    ways = make_ways(spark, [(1, {"highway": "motorway"}, [(0, 0), (200, 0)]), (2, {"highway": "primary"}, [(100, -80), (100, 80)])])
+    cut = roads.cut_by_rank(roads.pavement(ways))
+    paint = markings.road_markings(cut, roads.node_degree(ways)).where("osm_id = 2")
+    low = paint.select(F.explode(F.flatten("parts")).alias("p")).select(F.min(F.abs("p.y")).alias("m")).first()["m"]
+    assert low == pytest.approx(11.0 - 0.25, abs=1e-6)
+    assert paint.where(kernel.parts_area(F.col("parts")) <= 0).count() == 0

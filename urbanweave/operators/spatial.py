@@ -49,7 +49,7 @@ def _split(cells: DataFrame, levels: DataFrame | None, size: float) -> DataFrame
     if levels is None:
         return cells
     leveled = cells.join(levels, ["cx", "cy"], "left").withColumn("level", F.coalesce("level", F.lit(0)))
-    parts = F.shiftleft(F.lit(1), F.col("level"))
+    parts = F.pow(F.lit(2.0), F.col("level")).cast("long")
 
     def span(lo: str, hi: str, c: str) -> Column:
         def local(v: str) -> Column:
@@ -90,7 +90,7 @@ def box_join(
     pairs = lc.join(rc, keys).where(touching)
     home = (F.col("cx") == F.floor(lower_x / size)) & (F.col("cy") == F.floor(lower_y / size))
     if levels is not None:
-        parts = F.shiftleft(F.lit(1), F.col("level"))
+        parts = F.pow(F.lit(2.0), F.col("level")).cast("long")
 
         def local(v: Column, c: str) -> Column:
             return F.least(F.greatest(F.floor((v / size - F.col(c)) * parts), F.lit(0)), parts - 1)
