@@ -251,7 +251,8 @@ def repair_rings(df: DataFrame) -> DataFrame:
 
     Valid rings, nearly all of them, never leave the JVM.
     """
-    checked = df.withColumn("_bad", ~lines.is_box(F.col("ring")) & has_crossing(F.col("ring")))
+    crossing = F.when(lines.is_box(F.col("ring")), F.lit(False)).otherwise(has_crossing(F.col("ring")))
+    checked = df.withColumn("_bad", crossing)
     good = checked.where("not _bad").drop("_bad").where(lines.ring_area(F.col("ring")) > 0)
     bad = checked.where("_bad").drop("_bad")
     return good.unionByName(bad.mapInPandas(_repair_batches, bad.schema))

@@ -368,8 +368,11 @@ def ring_area_signed(ring: Column) -> Column:
     )
 
 
+@bound
 def ring_area(ring: Column) -> Column:
-    return F.abs(ring_area_signed(ring))
+    p, q = F.get(ring, F.lit(0)), F.get(ring, F.lit(2))
+    box = F.abs(q["x"] - p["x"]) * F.abs(q["y"] - p["y"])
+    return F.when(_is_box(ring), box).otherwise(F.abs(ring_area_signed(ring)))
 
 
 @bound
@@ -393,7 +396,9 @@ def ring_centroid(ring: Column) -> Column:
 
         return pt(base["x"] + share(total["x"]), base["y"] + share(total["y"]))
 
-    return let(F.aggregate(segments(ring), zero, step), centre)
+    p, q = F.get(ring, F.lit(0)), F.get(ring, F.lit(2))
+    middle = pt((p["x"] + q["x"]) / 2, (p["y"] + q["y"]) / 2)
+    return F.when(_is_box(ring), middle).otherwise(let(F.aggregate(segments(ring), zero, step), centre))
 
 
 @bound
@@ -411,10 +416,16 @@ def vertex_mean(coords: Column) -> Column:
 def bounds(coords: Column) -> Column:
     def corners(c: Column) -> Column:
         xs, ys = F.transform(c, lambda p: p["x"]), F.transform(c, lambda p: p["y"])
-        return F.struct(
+        p, q = F.get(c, F.lit(0)), F.get(c, F.lit(2))
+        box = F.struct(
+            F.least(p["x"], q["x"]).alias("x0"), F.least(p["y"], q["y"]).alias("y0"),
+            F.greatest(p["x"], q["x"]).alias("x1"), F.greatest(p["y"], q["y"]).alias("y1"),
+        )
+        general = F.struct(
             F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"),
             F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"),
         )
+        return F.when(_is_box(c), box).otherwise(general)
 
     return let(coords, corners)
 
@@ -428,18 +439,19 @@ def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.array(a, pt(x1, y0), pt(x1, y1), pt(x0, y1), a)
 
 
+def _is_box(c: Column) -> Column:
+    """Four corners whose edges run along the axes in turn; plain comparisons, no lambdas."""
+    p = [F.get(c, F.lit(i)) for i in range(4)]
+    flat_first = (p[0]["y"] == p[1]["y"]) & (p[1]["x"] == p[2]["x"]) & (p[2]["y"] == p[3]["y"]) & (p[3]["x"] == p[0]["x"])
+    tall_first = (p[0]["x"] == p[1]["x"]) & (p[1]["y"] == p[2]["y"]) & (p[2]["x"] == p[3]["x"]) & (p[3]["y"] == p[0]["y"])
+    solid = (p[0]["x"] != p[2]["x"]) & (p[0]["y"] != p[2]["y"])
+    return (F.size(c) == 5) & same_point(p[0], F.get(c, F.lit(4))) & (flat_first | tall_first) & solid
+
+
 @bound
 def is_box(ring: Column) -> Column:
     """The ring is an axis-aligned rectangle of four corners."""
-    def judged(b: Column) -> Column:
-        corners = F.forall(
-            ring,
-            lambda p: ((p["x"] == b["x0"]) | (p["x"] == b["x1"])) & ((p["y"] == b["y0"]) | (p["y"] == b["y1"])),
-        )
-        area = (b["x1"] - b["x0"]) * (b["y1"] - b["y0"])
-        return corners & (F.abs(ring_area(ring) - area) <= 1e-9 * (1 + area))
-
-    return (F.size(ring) == 5) & let(bounds(ring), judged)
+    return _is_box(ring)
 
 
 def _unit_normal(a: Column, b: Column) -> Column:

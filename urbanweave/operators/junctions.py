@@ -241,7 +241,7 @@ def outside_areas(points: DataFrame, areas: DataFrame, margin: float = 0.0) -> D
     near = F.array_min(
         F.transform(lines.segments(F.col("part")), lambda s: lines.point_segment_distance(F.col("px"), F.col("py"), s))
     )
-    pairs = spatial.box_join(left, right, 100.0).where(inside | (near < margin) | (near <= 0))
+    pairs = spatial.box_join(left, right, 100.0).where(F.when(inside, F.lit(True)).otherwise((near < margin) | (near <= 0)))
     held = pairs.select("p_id").distinct()
     return keyed.join(held, keyed["_id"] == held["p_id"], "left_anti").drop("_id")
 

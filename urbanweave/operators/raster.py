@@ -66,7 +66,7 @@ def rasterize(shapes: DataFrame, grid: Grid, all_touched: bool = False) -> DataF
     Every part is cut into pixel rows and every row into a column span, all in the JVM. Pixels may repeat.
     """
     part = shapes.select(F.explode("parts").alias("part"))
-    part = part.withColumn("b", lines.bounds(F.col("part")))
+    part = part.withColumn("b", lines.bounds(F.col("part"))).withColumn("box", lines.is_box(F.col("part")))
     top, bottom = (F.lit(grid.north) - F.col("b.y1")) / grid.res, (F.lit(grid.north) - F.col("b.y0")) / grid.res
     if all_touched:
         low, high = F.floor(top), F.ceil(bottom) - 1
@@ -74,7 +74,9 @@ def rasterize(shapes: DataFrame, grid: Grid, all_touched: bool = False) -> DataF
         low, high = F.ceil(top - 0.5), F.ceil(bottom - 0.5) - 1
     low, high = F.greatest(low, F.lit(0)), F.least(high, F.lit(grid.ny - 1))
     rows = part.withColumn("lo", low).withColumn("hi", high).where("hi >= lo")
-    rows = rows.select("part", F.explode(F.sequence("lo", "hi")).alias("row"))
+    # a rectangle has one span for all its rows and leaves its outline behind
+    outline = F.when(~F.col("box"), F.col("part"))
+    rows = rows.select("b", "box", outline.alias("part"), F.explode(F.sequence("lo", "hi")).alias("row"))
     if all_touched:
         span = _touched_span(F.col("part"), grid, F.col("row"))
         c0, c1 = F.floor((F.col("s.x0") - grid.west) / grid.res), F.ceil((F.col("s.x1") - grid.west) / grid.res) - 1
@@ -83,7 +85,8 @@ def rasterize(shapes: DataFrame, grid: Grid, all_touched: bool = False) -> DataF
         span = _span_at(F.col("part"), y)
         c0 = F.ceil((F.col("s.x0") - grid.west) / grid.res - 0.5)
         c1 = F.ceil((F.col("s.x1") - grid.west) / grid.res - 0.5) - 1
-    spans = rows.select("row", span.alias("s")).where("s.x0 is not null")
+    whole = F.struct(F.col("b.x0").alias("x0"), F.col("b.x1").alias("x1"))
+    spans = rows.select("row", F.when(F.col("box"), whole).otherwise(span).alias("s")).where("s.x0 is not null")
     spans = spans.select(
         "row", F.greatest(c0, F.lit(0)).alias("c0"), F.least(c1, F.lit(grid.nx - 1)).alias("c1")
     ).where("c1 >= c0")
