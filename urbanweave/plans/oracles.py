@@ -344,11 +344,12 @@ ORACLES["square_heights"] = t("px n", _DENSE + """
 r AS (SELECT min(z) AS lo, max(z) AS hi FROM zz),
 q AS (SELECT zz."row" AS qr, zz.col AS qc, CAST(floor(least(greatest((z - lo) / (hi - lo) * 65535.0e0, 0), 65535)) AS INTEGER) AS q FROM zz, r),
 o AS (SELECT unnest(generate_series(0, 2 * n)) AS i, n, (n - 1) / CAST(2 * n AS DOUBLE) AS step FROM n),
-ax AS (SELECT i, n, i * step AS f, CAST(floor(f) AS BIGINT) AS i0, least(i0 + 1, n - 1) AS i1, f - i0 AS wt FROM o)
-SELECT a.i AS "row", b.i AS col, CAST(least(greatest(round_even(round(
-  q00.q * (1 - a.wt) * (1 - b.wt) + q01.q * (1 - a.wt) * b.wt + q10.q * a.wt * (1 - b.wt) + q11.q * a.wt * b.wt, 6), 0), 0), 65535) AS INTEGER) AS q
-FROM ax a, ax b JOIN q q00 ON q00.qr = a.i0 AND q00.qc = b.i0 JOIN q q01 ON q01.qr = a.i0 AND q01.qc = b.i1
-  JOIN q q10 ON q10.qr = a.i1 AND q10.qc = b.i0 JOIN q q11 ON q11.qr = a.i1 AND q11.qc = b.i1""")
+ax AS (SELECT i, n, i * step AS f, CAST(floor(f) AS BIGINT) AS i0, least(i0 + 1, n - 1) AS i1, f - i0 AS wt FROM o),
+rows4 AS (SELECT a.i AS ai, a.wt AS wy, q0.qc, q0.q AS v0, q1.q AS v1
+  FROM ax a JOIN q q0 ON q0.qr = a.i0 JOIN q q1 ON q1.qr = a.i1 AND q1.qc = q0.qc)
+SELECT l.ai AS "row", b.i AS col, CAST(least(greatest(round_even(round(
+  l.v0 * (1 - l.wy) * (1 - b.wt) + r.v0 * (1 - l.wy) * b.wt + l.v1 * l.wy * (1 - b.wt) + r.v1 * l.wy * b.wt, 6), 0), 0), 65535) AS INTEGER) AS q
+FROM ax b JOIN rows4 l ON l.qc = b.i0 JOIN rows4 r ON r.qc = b.i1 AND r.ai = l.ai""")
 ORACLES["reproject_elevation"] = t("px n", """
 AND tgt AS (SELECT i // m AS tr, i % m AS tc, n, 32651 AS epsg, 348700.0e0 + (tc + 0.5e0) * 10 AS east, 2772300.0e0 - (tr + 0.5e0) * 10 AS north
   FROM (SELECT unnest(generate_series(0, m * m - 1)) AS i, m, n FROM (SELECT n // 2 * 2 + 1 AS m, n FROM n))),
