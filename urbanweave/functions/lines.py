@@ -500,7 +500,15 @@ def inset_ring(ring: Column, distance: float) -> Column:
                       lambda v: (v["a"] * v["b"] > 0) & (F.abs(v["b"]) < F.abs(v["a"])))
         return F.when((F.size(closed) >= 4) & smaller & forward, closed)
 
-    return let(let(F.slice(ring, F.lit(1), F.size(ring) - 1), inner), checked)
+    # a rectangle moves its corners towards the middle
+    p, q = F.get(ring, F.lit(0)), F.get(ring, F.lit(2))
+    cx, cy = (p["x"] + q["x"]) / 2, (p["y"] + q["y"]) / 2
+    corners = F.transform(
+        ring, lambda c: pt(c["x"] + distance * F.signum(cx - c["x"]), c["y"] + distance * F.signum(cy - c["y"]))
+    )
+    wide = (F.abs(q["x"] - p["x"]) > 2 * distance) & (F.abs(q["y"] - p["y"]) > 2 * distance)
+    general = let(let(F.slice(ring, F.lit(1), F.size(ring) - 1), inner), checked)
+    return F.when(_is_box(ring), F.when(wide, corners)).otherwise(general)
 
 
 def point_in_ring(x: Column, y: Column, ring: Column) -> Column:
