@@ -14,10 +14,10 @@ SYMBOLS = "#*$%&|<>"
 SHARE = 0.75  # of a group's rows that the estimate rests on
 CONSISTENCY = 1.485  # for 4 dimensions and that share: 0.75 / P(chi2 with 6 degrees < the 0.75 quantile with 4)
 DIMS = ("v1", "v2", "v3", "v4")
-FLOORS = (0.10, 0.25, 0.35, 0.35)  # smallest standard deviations, for statistics that hardly vary
+FLOORS = (0.15, 0.25, 1.2, 1.2)  # smallest standard deviations: a repeated line or two is no fault by itself
 PRIOR_ROWS = 50.0  # weight of the whole corpus in the estimate of a group
 STEPS = 4
-CUTOFF = 60.0
+CUTOFF = 30.0
 UNIT = 1024.0  # vectors are rounded to this part, so sums of doubles do not depend on their order
 
 

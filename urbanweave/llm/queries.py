@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanweave.llm import chat_format, line_dedup, quality_rules
+from urbanweave.llm import chat_format, embedding_dedup, html_text, line_dedup, packing, quality_model, quality_rules, token_counts
 from urbanweave.llm.common import table
 
 QUERIES: dict = {}
@@ -76,3 +77,36 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, sf, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
     )
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of each document under the pieces of the public vocabulary, taken as a unigram model."""
+    return token_counts.count_tokens(table(spark, sf, "documents"), spark, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf, "documents"), spark, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op1_quality_model(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality score of each document; the model learns outside the test fold."""
+    docs = table(spark, sf, "documents")
+    model = quality_model.train(docs, table(spark, sf, "labels"))
+    thin = docs.select("doc_id", "text")
+    return quality_model.score_quality(thin, model).select(F.col("row.doc_id").alias("doc_id"), "held_out", "score", "predicted")
+
+
+@query
+def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of each page."""
+    return html_text.extract(table(spark, sf, "pages"))
+
+
+@query
+def op7_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Links and groups of near-equal vectors within a label."""
+    return embedding_dedup.near_vectors(table(spark, sf, "embeddings"))
