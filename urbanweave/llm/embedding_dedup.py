@@ -76,7 +76,12 @@ def near_vectors(
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
     fine = F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists("v", lambda e: e != 0.0)
     usable = F.coalesce(fine & F.col("label").isNotNull() & F.col("vec_id").isNotNull(), F.lit(False))
-    rows = rows.withColumn("ok", usable).withColumn("h1", F.when("ok", F.xxhash64("label", "v"))).withColumn("h2", F.when("ok", F.xxhash64(F.lit(7), "v", "label")))
+    rows = rows.withColumn("ok", usable)
+    rows = rows.select(  # rows that link with nothing get a key of their own, so that they spread
+        "vec_id", "label", "v", "ok",
+        F.when(F.col("ok"), F.xxhash64("label", "v")).otherwise(F.xxhash64("vec_id")).alias("h1"),
+        F.when(F.col("ok"), F.xxhash64(F.lit(7), "v", "label")).alias("h2"),
+    )
     classes = rows.where("ok").groupBy("h1", "h2").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("label").alias("label"), F.first("v").alias("v")
     )
@@ -107,12 +112,13 @@ def near_vectors(
     span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = seats.select("label", "cell", part("lefts").alias("a"), span("rights").alias("b"), "rep", "weight", "v")
     right = seats.where("home").select("label", "cell", span("lefts").alias("a"), part("rights").alias("b"), "rep", "weight", "v")
+    right = right.toDF(*[f"{c}_" for c in right.columns])  # both sides come from one frame: new names
 
     def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"rep": [], "links": [], "other": []}).astype("int64")
-        other, ids = stack(b["v"], dims), b["rep"].to_numpy()
-        weights, out = b["weight"].to_numpy(), []
+        other, ids = stack(b["v_"], dims), b["rep_"].to_numpy()
+        weights, out = b["weight_"].to_numpy(), []
         label = np.arange(len(b))  # smallest place in b that a place is linked with through this block
         hits = []
         for k in range(0, len(a), 512):
@@ -137,7 +143,7 @@ def near_vectors(
         return found[(found["links"] > 0) | (found["rep"] != found["other"])].astype("int64")
 
     keys = ["label", "cell", "a", "b"]
-    met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "rep long, links long, other long")
+    met = left.groupBy(*keys).cogroup(right.groupBy(*[f"{c}_" for c in keys])).applyInPandas(compare, "rep long, links long, other long")
     met = cut_lineage(met)
     links = met.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = components(met.where("rep <> other"), "rep", "other").withColumnRenamed("node", "rep")
