@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanweave.llm import chat_format, embedding_dedup, html_text, line_dedup, packing, quality_model, quality_rules, token_counts
+from urbanweave.llm import (
+    chat_format, embedding_dedup, html_text, line_dedup, minhash_dedup, packing, quality_model, quality_rules, token_counts,
+)
 from urbanweave.llm.common import table
 
 QUERIES: dict = {}
@@ -110,3 +112,10 @@ def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
 def op7_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Links and groups of near-equal vectors within a label."""
     return embedding_dedup.near_vectors(table(spark, sf, "embeddings"))
+
+
+@query
+def op6_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of near-equal documents on three-word shingles at 0.85."""
+    rule = minhash_dedup.Rule(width=3, percent=85)
+    return minhash_dedup.near_documents(table(spark, sf, "documents"), rule=rule).drop("t")
