@@ -38,14 +38,14 @@ def digest(*values: Column) -> Column:
     return F.struct(F.xxhash64(*values).alias("h1"), F.xxhash64(F.lit(7), *values).alias("h2"))
 
 
-def with_group(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join of many rows with a materialised table that has one row per key.
+def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join of many rows with a materialised table that has one row per key.
 
     A small table is broadcast after counting it. Beyond ``BROADCAST_ROWS`` each key is split over ``SALTS`` copies,
     so a key with a third of all rows is still shared by many tasks.
     """
     if groups.count() <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(groups), keys)
+        return rows.join(F.broadcast(groups), keys, how)
     salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns if c not in keys]), F.lit(SALTS)).cast("int")
-    return rows.withColumn("_salt", salt).join(salted, [*keys, "_salt"]).drop("_salt")
+    return rows.withColumn("_salt", salt).join(salted, [*keys, "_salt"], how).drop("_salt")

@@ -167,10 +167,9 @@ def fit_groups(stats: DataFrame, steps: int = STEPS) -> DataFrame:
 def judge(stats: DataFrame, groups: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """Statistics with ``distance`` (null where the base rules reject) and ``kept``."""
     # a group without a row that passes the base rules has no estimate, and needs none
-    failed = stats.where("base_failed").withColumn("distance", F.lit(None).cast("double"))
-    passed = with_group(stats.where("not base_failed"), groups, ["g1", "g2"]).withColumn("distance", _distance())
-    both = passed.select(*failed.columns).unionByName(failed)
-    return both.withColumn("kept", F.coalesce(~F.col("base_failed") & (F.col("distance") <= cutoff), F.lit(False)))
+    judged = with_group(stats, groups, ["g1", "g2"], "left").withColumn("distance", _distance())
+    judged = judged.withColumn("distance", F.when(~F.col("base_failed"), F.col("distance")))
+    return judged.withColumn("kept", F.coalesce(F.col("distance") <= cutoff, F.lit(False)))
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
