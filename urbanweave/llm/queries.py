@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanweave.llm import (
-    chat_format, embedding_dedup, html_text, line_dedup, minhash_dedup, packing, quality_model, quality_rules, token_counts,
+    byte_bpe, chat_format, embedding_dedup, html_text, line_dedup, minhash_dedup, packing, quality_model, quality_rules, token_counts,
 )
 from urbanweave.llm.common import table
 
@@ -119,3 +119,14 @@ def op6_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Groups of near-equal documents on three-word shingles at 0.85."""
     rule = minhash_dedup.Rule(width=3, percent=85)
     return minhash_dedup.near_documents(table(spark, sf, "documents"), rule=rule).drop("t")
+
+
+@query
+def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Byte-level BPE ids of each document, and the bytes that they decode to."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    out = byte_bpe.decode(byte_bpe.encode(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return out.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
