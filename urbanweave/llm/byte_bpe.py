@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from urbanweave.llm.common import text_of
 
 BLOCK_BYTES = 32 << 20  # of text whose distinct words are encoded together
-BUCKETS = 1 << 16
-NONE = 1 << 30
+BUCKETS = 1 << 14
+NONE, PLACES = 1 << 30, 1 << 32
 
 # Unicode white space, which the splitting pattern calls \s.
 SPACE = "\\t-\\r \\u0085\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
@@ -55,20 +55,22 @@ def encode_word(word: Column, ranks: Column) -> Column:
 
     def merge(state: Column, _step: Column) -> Column:
         parts = state["parts"]
-        pairs = F.transform(
+        pairs = F.transform(  # rank and place in one number, so that the least is the leftmost of the lowest rank
             F.sequence(F.lit(0), F.size(parts) - 2),
-            lambda i: F.coalesce(rank(F.concat(F.get(parts, i), F.get(parts, i + 1))), F.lit(NONE)),
+            lambda i: F.coalesce(rank(F.concat(F.get(parts, i), F.get(parts, i + 1))), F.lit(NONE)).cast("long") * PLACES + i,
         )
 
-        def best(found: Column) -> Column:
-            at = F.array_position(found, F.array_min(found)).cast("int")
-            joined = F.concat(
-                F.slice(parts, 1, at - 1), F.array(F.concat(F.get(parts, at - 1), F.get(parts, at))), F.slice(parts, at + 2, F.size(parts))
-            )
-            ended = F.array_min(found) == NONE
-            return F.struct(F.when(ended, parts).otherwise(joined).alias("parts"), (ended | (F.size(parts) <= 2)).alias("done"))
+        def best(least: Column) -> Column:
+            def cut(at: Column) -> Column:
+                return F.concat(
+                    F.slice(parts, 1, at), F.array(F.concat(F.get(parts, at), F.get(parts, at + 1))), F.slice(parts, at + 3, F.size(parts))
+                )
 
-        return F.when(state["done"], state).otherwise(let(pairs, best))
+            ended = least >= NONE * PLACES
+            merged = F.when(ended, parts).otherwise(let((least % PLACES).cast("int"), cut))
+            return F.struct(merged.alias("parts"), (ended | (F.size(parts) <= 2)).alias("done"))
+
+        return F.when(state["done"], state).otherwise(let(F.array_min(pairs), best))
 
     def fold(text: Column) -> Column:
         n = F.length(text)
