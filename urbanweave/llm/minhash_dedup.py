@@ -122,77 +122,104 @@ def verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     return both.where((100 * F.col("shared") >= rule.percent * union) & (F.col("shared") > 0)).select("a", "b")
 
 
-def crossing(pairs: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """Pairs between different components."""
-    if groups is None:
-        return pairs
-    for k in ("a", "b"):
-        pairs = pairs.join(groups.select(F.col("node").alias(k), F.col("component").alias(f"c{k}")), k, "left")
-        pairs = pairs.withColumn(f"c{k}", F.coalesce(f"c{k}", k))
-    return pairs.where("ca <> cb").drop("ca", "cb")
-
-
-def links_of(pairs: DataFrame, texts: DataFrame, links: DataFrame | None, rule: Rule) -> tuple[DataFrame | None, DataFrame | None]:
-    """Verified links that give the components of all pairs: the best pairs of each document, then what they leave open."""
-    groups = None if links is None else cut_lineage(components(links, "a", "b"))
-    open_pairs = cut_lineage(crossing(pairs, groups))
-    for step in range(2):
-        if open_pairs.isEmpty():
-            break
-        now = open_pairs
-        if step == 0:
-            ends = open_pairs.select("a", "b", "estimate", F.explode(F.array("a", "b")).alias("end"))
-            best = F.row_number().over(W.partitionBy("end").orderBy(F.desc("estimate"), F.xxhash64("a", "b"), "a", "b"))
-            now = cut_lineage(ends.withColumn("place", best).where(F.col("place") <= FIRST).select("a", "b").distinct())
-        found = verified(now, texts, rule)
-        links = cut_lineage(found if links is None else links.unionByName(found))
-        if step == 0:
-            groups = cut_lineage(components(links, "a", "b"))
-            open_pairs = cut_lineage(crossing(open_pairs.join(now, ["a", "b"], "left_anti"), groups))
-    return links, groups
-
-
-def open_list_pairs(lists: DataFrame, sets: DataFrame, groups: DataFrame | None, rule: Rule) -> DataFrame:
-    """Pairs of long lists that no component joins yet and whose sketches share enough values.
-
-    In each list the members outside its largest component meet all members, block by block; a block emits only pairs
-    with enough shared values. A list within one component has none left.
+def best_links(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """Verified links among the ``FIRST`` best pairs of each document."""
+    ends = pairs.select("a", "b", "estimate", F.explode(F.array("a", "b")).alias("end"))
+    place = F.row_number().over(W.partitionBy("end").orderBy(F.desc("estimate"), F.xxhash64("a", "b"), "a", "b"))
+    best = ends.withColumn("place", place).where(F.col("place") <= FIRST).select("a", "b").distinct()
+    return cut_lineage(verified(cut_lineage(best), texts, rule))
+
+
+def spanning(left: np.ndarray, right: np.ndarray, mask: np.ndarray) -> pd.DataFrame:
+    """Edges of a forest over the pairs of a block, so a block emits fewer rows than it has members."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    edges = []
+    for i, j in zip(*(k.tolist() for k in np.nonzero(mask)), strict=True):
+        a, b = find(int(left[i])), find(int(right[j]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            edges.append((min(left[i], right[j]), max(left[i], right[j])))
+    return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Common values of each pair of sets, by products of incidence matrices over a bounded number of values at a time."""
+    sizes = np.array([len(x) for x in [*left, *right]])
+    codes = np.unique(np.concatenate([*left, *right]), return_inverse=True)[1]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(codes, kind="stable")
+    codes, owner = codes[order], owner[order]
+    shared = np.zeros((len(left), len(right)), "float32")
+    for low in range(0, int(codes[-1]) + 1 if len(codes) else 0, 4096):
+        a, b = np.searchsorted(codes, [low, low + 4096])
+        seats = np.zeros((len(sizes), 4096), "float32")
+        seats[owner[a:b], codes[a:b] - low] = 1.0
+        shared += seats[: len(left)] @ seats[len(left) :].T
+    return shared, sizes[: len(left)][:, None], sizes[len(left) :][None, :]
+
+
+def met_in_blocks(members: DataFrame, enough) -> DataFrame:
+    """Pairs ``a``, ``b`` that ``enough`` accepts among ``members`` (``g``, ``id``, ``c``, ``values``) of one group ``g`` and different ``c``.
+
+    The members outside the largest part ``c`` of their group meet all its members, block by block; a group within one
+    part is done. Groups are split on both sides, and blocks emit forests, not pairs.
     """
-    far = lists.where(F.col("len") > SMALL).select("v", "id", "h1")
-    if groups is None:
-        far = far.withColumn("c", F.col("id"))
-    else:
-        far = far.join(groups.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
-    far = cut_lineage(far)
-    parts = far.groupBy("v", "c").agg(F.count("*").alias("k")).groupBy("v").agg(
-        F.max(F.struct("k", "c"))["c"].alias("most"), F.count("*").alias("n_parts"), F.sum("k").alias("len")
+    members = cut_lineage(members)
+    parts = members.groupBy("g", "c").agg(F.count("*").alias("k")).groupBy("g").agg(
+        F.max(F.struct("k", "c"))["c"].alias("most"), F.count("*").alias("n_parts"), F.sum("k").alias("size")
     )
-    far = far.join(cut_lineage(parts.where("n_parts > 1")), "v")
-    far = far.join(sets.select("id", "h1", "sketch"), ["id", "h1"])
-    blocks = F.ceil(F.col("len") / BLOCK).cast("int")
-    part = F.pmod(F.xxhash64("id", "v"), blocks).cast("int")
+    members = members.join(cut_lineage(parts.where("n_parts > 1")), "g")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    part = F.pmod(F.xxhash64("id", "g"), blocks).cast("int")
     span = F.explode(F.sequence(F.lit(0), blocks - 1))
-    stray = far.where("c <> most").select("v", part.alias("x"), span.alias("y"), "id", "c", "sketch")
-    member = far.select("v", span.alias("x"), part.alias("y"), "id", "c", "sketch")
-    member = member.toDF(*[f"{k}_" for k in member.columns])
-    least = int(math.floor(rule.share * KEPT - SIGMAS * math.sqrt(KEPT * rule.share * (1 - rule.share))))
+    stray = members.where("c <> most").select("g", part.alias("x"), span.alias("y"), "id", "c", "values")
+    other = members.select("g", span.alias("x"), part.alias("y"), "id", "c", "values")
+    other = other.toDF(*[f"{k}_" for k in other.columns])
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        values, codes = np.unique(np.concatenate([*left["sketch"], *right["sketch_"]]), return_inverse=True)
-        seats = np.zeros((len(left) + len(right), len(values)), "float32")
-        sizes = np.array([len(s) for s in [*left["sketch"], *right["sketch_"]]])
-        seats[np.repeat(np.arange(len(sizes)), sizes), codes] = 1.0
-        shared = seats[: len(left)] @ seats[len(left) :].T
-        small = np.minimum(sizes[: len(left)][:, None], sizes[len(left) :][None, :])
-        wanted = np.minimum(least, np.floor(rule.share * small))
-        i, j = np.nonzero((shared >= wanted) & (left["c"].to_numpy()[:, None] != right["c_"].to_numpy()[None, :]))
-        a, b = left["id"].to_numpy()[i], right["id_"].to_numpy()[j]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        counts = shared_counts(list(left["values"]), list(right["values_"]))
+        apart = left["c"].to_numpy()[:, None] != right["c_"].to_numpy()[None, :]
+        return spanning(left["id"].to_numpy(), right["id_"].to_numpy(), enough(*counts) & apart)
+
+    met = stray.groupBy("g", "x", "y").cogroup(other.groupBy("g_", "x_", "y_")).applyInPandas(meet, "a long, b long")
+    return cut_lineage(met)
+
+
+def named(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+    """``nodes`` with the component of each id under ``edges`` (its own id where it has none)."""
+    groups = components(edges, "a", "b").select(F.col("node").alias("id"), F.col("component").alias(name))
+    return nodes.join(groups, "id", "left").withColumn(name, F.coalesce(name, "id"))
+
+
+def candidate_edges(lists: DataFrame, sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """Edges whose components hold every pair that may be linked.
+
+    These are the estimated pairs and, in lists that they leave in several parts, pairs across the parts whose
+    sketches share as many values as partners do.
+    """
+    least = int(math.floor(rule.share * KEPT - SIGMAS * math.sqrt(KEPT * rule.share * (1 - rule.share))))
+    enough = lambda shared, n, m: shared >= np.maximum(np.minimum(least, np.floor(rule.share * np.minimum(n, m))), 1)
+    far = lists.where(F.col("len") > SMALL).select(F.col("v").alias("g"), "id", "h1")
+    far = named(far, pairs, "c").join(sets.select("id", "h1", F.col("sketch").alias("values")), ["id", "h1"])
+    return pairs.select("a", "b").unionByName(met_in_blocks(far.select("g", "id", "c", "values"), enough))
+
 
-    met = stray.groupBy("v", "x", "y").cogroup(member.groupBy("v_", "x_", "y_")).applyInPandas(meet, "a long, b long")
-    return met.distinct()
+def remaining_links(edges: DataFrame, links: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """Links between parts of a candidate component that the first links leave apart, on full sets."""
+    enough = lambda shared, n, m: (100 * shared >= rule.percent * (n + m - shared)) & (shared > 0)
+    nodes = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    nodes = named(named(nodes, edges, "g"), links, "c")
+    rows = nodes.join(texts, "id").select("g", "id", "c", shingles(F.col("text"), rule.width).alias("values"))
+    return met_in_blocks(rows, enough)
 
 
 def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
@@ -202,8 +229,8 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     links with nothing, has a null component and is kept. An empty table gives an empty one; other columns are not read.
 
     Documents with equal sets form one class, whatever their number, and classes are compared. Long inverted lists are
-    not expanded: members meet the list's first and their neighbour, and only where components stay apart do the
-    members outside the largest one meet the others, in blocks. All links are confirmed on full sets.
+    not expanded: members meet the list's first and their neighbour, and only where parts stay apart do the members
+    outside the largest one meet the others, in blocks that emit forests. All links are confirmed on full sets.
     """
     all_rows = cut_lineage(sketches(docs, id_col, text_col, rule))
     sets = all_rows.where("n > 0 and id is not null").groupBy("h1", "h2").agg(
@@ -216,16 +243,10 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.col(id_col).cast("long").alias("id"), ascii_lower(text_of(text_col)).alias("text"), F.xxhash64(text_of(text_col)).alias("t"))
     texts = cut_lineage(texts.join(wanted, ["id", "t"]).groupBy("id", "t").agg(F.first("text").alias("text")).select("id", "text"))
     pairs = cut_lineage(estimated(first_pairs(lists), near, rule))
-    links, groups = links_of(pairs, texts, None, rule)
-    rest = cut_lineage(open_list_pairs(lists, near, groups, rule))
-    if not rest.isEmpty():
-        links, _ = links_of(cut_lineage(estimated(rest, near, rule)), texts, links, rule)
-    own = sets.select("h1", "h2", "id")
-    if links is not None:
-        final = components(links, "a", "b").select(F.col("node").alias("id"), "component")
-        own = own.join(final, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    else:
-        own = own.withColumn("component", F.col("id"))
+    edges = cut_lineage(candidate_edges(lists, near, pairs, rule))
+    links = best_links(pairs, texts, rule)
+    links = cut_lineage(links.unionByName(remaining_links(edges, links, texts, rule)))
+    own = named(sets.select("h1", "h2", "id"), links, "component")
     # a set of one document is its own class: only shared and linked ones travel back
     moved = cut_lineage(own.select("h1", "h2", "component"))
     out = all_rows.select("id", "t", "n", "h1", "h2").join(moved, ["h1", "h2"], "left")
