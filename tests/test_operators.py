@@ -140,7 +140,7 @@ def test_thin_arrows_matches_one_pass(spark):
 def test_water_is_cut_by_a_slanted_building(spark):
     water = overlay.water_areas(make_ways(spark, [(1, {"natural": "water"}, box(0, 0, 10, 10)), (2, {"waterway": "river"}, [(100, 0), (150, 0)])]))
     cutter = make_ways(spark, [(9, {"building": "yes"}, [(0, 0), (10, 0), (0, 10), (0, 0)])])
-    cut = overlay.cut_by(water, overlay.closed_areas(cutter), None, None)
+    cut = overlay.cut_by(water, overlay.closed_areas(cutter))
     from urbanweave.functions import kernel
 
     area = {r["osm_id"]: r["a"] for r in cut.select("osm_id", kernel.parts_area(F.col("parts")).alias("a")).collect()}

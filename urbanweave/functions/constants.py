@@ -53,7 +53,6 @@ METRES_PATTERN = r"(?i)^\s*([\d.]+)\s*(?:m|meters?)?\s*$"
 NAME_KEYS = ["name:zh-Hans", "name:zh", "name", "name:zh-Hant", "name:zh-TW", "name:en", "ref"]
 SAME_ROAD_KEYS = ["ref", "name:zh", "name", "name:en"]
 SIGN_LABEL_CHARS = 14
-MAX_SIGN_NAMES = 80
 
 # Roads, markings and placements, in metres and radians.
 MARKING_BUFFER_M = 0.08
@@ -179,8 +178,6 @@ WATERWAY_WIDTH_M = {"river": 8.0, "stream": 3.0, "canal": 5.0}
 WATERWAY_WIDTH_DEFAULT_M = 4.0
 WATERWAY_KINDS = ["river", "stream", "canal"]
 VEGETATION_LANDUSE = ["grass", "forest", "meadow"]
-MAX_LOCAL_CUTTERS = 80
-MAX_CITY_CUTTERS = 5000
 
 # Layer heights and draw distances, in metres.
 LAYER_Z_M = {"water": -0.02, "vegetation": 0.05, "roads": 0.08, "buildings": 0.04}
@@ -208,7 +205,6 @@ RGBA_OCCUPIED = (220, 40, 40, 100)
 RGBA_UNKNOWN = (180, 180, 180, 40)
 HEIGHT_SIDE_PX = 2049
 SQUARE_SIDE_PX = 2017
-MAX_RIDGE_PX = 64.0
 
 # WGS84 ellipsoid and the transverse Mercator grid of the UTM zones.
 WGS84_A = 6378137.0

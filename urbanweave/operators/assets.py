@@ -200,7 +200,7 @@ def searched_photos(rows: DataFrame) -> DataFrame:
     sign = F.col("query").contains("sign") | portrait
     token = F.regexp_replace(F.regexp_replace("title", "File:", ""), r"[^a-zA-Z0-9]+", "_")
     return first.select(
-        F.concat(F.lit("wiki_"), F.regexp_replace(F.substring(token, 1, 60), r"^_+|_+$", "")).alias("id"), "title",
+        F.concat(F.lit("wiki_"), F.regexp_replace(token, r"^_+|_+$", "")).alias("id"), "title",
         F.when(sign, "signage").otherwise("sheets").alias("bucket"),
         F.when(sign, F.when(portrait, "vertical").otherwise("horizontal")).otherwise("full").alias("role"),
         F.when(sign, "decal").otherwise("facade").alias("part"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanweave.functions import constants as K
 from urbanweave.functions import kernel, lines, tags
 from urbanweave.operators import buildings, roads, spatial
 from urbanweave.operators.buildings import _boxed
@@ -37,20 +36,8 @@ def vegetation_areas(ways: DataFrame) -> DataFrame:
     return closed_areas(ways.where(tags.is_vegetation()))
 
 
-def cut_by(
-    areas: DataFrame, cutters: DataFrame, max_local: int | None = K.MAX_LOCAL_CUTTERS,
-    max_city: int | None = K.MAX_CITY_CUTTERS,
-) -> DataFrame:
-    """Areas minus the cutters that touch them; emptied areas drop out.
-
-    The results are defined with two limits: an area touched by more than ``max_local`` cutters stays whole, and with
-    more than ``max_city`` cutters in all nothing is cut. Pass None for either to always cut exactly. Cutters are counted
-    per area before any is gathered, so the gathered lists keep the local limit.
-    """
-    if max_city is not None:
-        n = cutters.count()
-        if n == 0 or n > max_city:
-            return areas
+def touching(areas: DataFrame, cutters: DataFrame) -> DataFrame:
+    """Cutters that touch a part of an area: ``(a_id, part_no, c_id, c_part, overlaps)``."""
     pieces = cutters.select(F.col("osm_id").alias("c_id"), F.explode("parts").alias("c_part"))
     right = _boxed(pieces, lines.bounds(F.col("c_part")))
     parts = areas.select(F.col("osm_id").alias("a_id"), F.posexplode("parts").alias("part_no", "part"))
@@ -63,10 +50,12 @@ def cut_by(
     boxes = lines.is_box(F.col("part")) & lines.is_box(F.col("c_part"))
     inside = lines.point_in_ring(lines.first(F.col("part"))["x"], lines.first(F.col("part"))["y"], F.col("c_part"))
     meets = F.when(boxes, F.lit(True)).otherwise((apart <= 0) | inside)
-    hits = cut_lineage(pairs.where(meets).select("a_id", "part_no", "c_id", "c_part", open_box.alias("overlaps")))
-    if max_local is not None:
-        counts = hits.groupBy("a_id").agg(F.count_distinct("c_id").alias("n"))
-        hits = hits.join(counts.where(F.col("n") <= max_local).select("a_id"), "a_id")
+    return pairs.where(meets).select("a_id", "part_no", "c_id", "c_part", open_box.alias("overlaps"))
+
+
+def cut_by(areas: DataFrame, cutters: DataFrame) -> DataFrame:
+    """Areas minus all cutters that touch them; emptied areas drop out."""
+    hits = touching(areas, cutters)
     by_part = hits.where("overlaps").select("a_id", "part_no", "c_part").distinct()
     by_part = by_part.groupBy("a_id", "part_no").agg(F.collect_list("c_part").alias("cutters"))
     exploded = areas.select("osm_id", F.posexplode("parts").alias("part_no", "part"))
@@ -81,8 +70,8 @@ def cut_by(
 
 
 def subtract_discs(shapes: DataFrame, discs: DataFrame) -> DataFrame:
-    """Shapes minus every disc (or other parts) that touches them, without limits."""
-    return cut_by(shapes, discs, None, None)
+    """Shapes minus every disc (or other parts) that touches them."""
+    return cut_by(shapes, discs)
 
 
 def ring_to_parts(items: DataFrame) -> DataFrame:

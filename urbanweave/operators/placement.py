@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from urbanweave.functions import constants as K
 from urbanweave.functions import frame, lines, tags
+from urbanweave.session import cut_lineage
 
 
 def tree_instances(nodes: DataFrame) -> DataFrame:
@@ -52,13 +53,18 @@ def sign_placements(
     )
 
 
-def sign_names(signs: DataFrame, top: int = K.MAX_SIGN_NAMES, table: tuple[str, str] | None = None) -> DataFrame:
-    """Most used sign labels with their rank from zero: ``(rank, label, n)``; ties go by label."""
-    counts = signs.select(tags.sign_label(F.col("name"), table).alias("label")).where("label <> ''")
-    best = counts.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(top)
-    # the window sees at most ``top`` rows
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "label")) - 1
-    return best.select(rank.alias("rank"), "label", "n")
+def sign_names(signs: DataFrame, table: tuple[str, str] | None = None) -> DataFrame:
+    """All sign names with their rank from zero, most used first: ``(rank, label, n)``; ties go by name.
+
+    The names are sorted into ranges; a rank is the number of names in the ranges before plus the place in its own.
+    """
+    names = signs.select(tags.to_simplified(F.trim("name"), table).alias("label")).where("label <> ''")
+    ranges = names.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label")
+    ranges = cut_lineage(ranges.withColumn("part", F.spark_partition_id()))
+    sizes = ranges.groupBy("part").agg(F.count("*").alias("held"))  # one row per range
+    sizes = sizes.select("part", (F.sum("held").over(Window.orderBy("part")) - F.col("held")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("n"), "label")) - 1
+    return ranges.join(sizes, "part").select((F.col("before") + place).alias("rank"), "label", "n")
 
 
 def instance_transforms(instances: DataFrame) -> DataFrame:

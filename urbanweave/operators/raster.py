@@ -308,7 +308,7 @@ def widen_corridors(px: DataFrame, ncols: int, scale: float) -> DataFrame:
         if limit is None:
             return px
         ridge = F.col("h") >= max(1.0, limit)
-    nearest = nearest_sites(top, ridge, ncols, carry="h").select("row", "col", F.least("carried", F.lit(K.MAX_RIDGE_PX)).alias("half"))
+    nearest = nearest_sites(top, ridge, ncols, carry="h").select("row", "col", F.col("carried").alias("half"))
     away = nearest_sites(px, F.col("free"), ncols).select("row", "col", F.sqrt("d2").alias("away"))
     grown = nearest.join(away, ["row", "col"])
     free = F.col("away") <= (scale - 1.0) * F.col("half")
@@ -433,11 +433,10 @@ def square_meta(width: float, height: float, low: float, high: float, side: int)
 
 
 def ortho_bands(px: DataFrame) -> DataFrame:
-    """8-bit image bands: at most three, the last one repeated up to three, scaled down if any value exceeds 255."""
-    bands = px.where("band <= 3")
-    last, top = bands.agg(F.max("band"), F.max("value")).first()
-    copies = F.when(F.col("band") == last, F.sequence(F.lit(last), F.lit(3))).otherwise(F.array(F.col("band").cast("int")))
-    full = bands.withColumn("band", F.explode(copies))
+    """8-bit image bands: all of them, the last one repeated where there are under three, scaled down if any value exceeds 255."""
+    last, top = px.agg(F.max("band"), F.max("value")).first()
+    copies = F.when(F.col("band") == last, F.sequence(F.lit(last), F.greatest(F.lit(last), F.lit(3)))).otherwise(F.array(F.col("band").cast("int")))
+    full = px.withColumn("band", F.explode(copies))
     value = F.col("value") / top * 255.0 if top is not None and top > 255.0 else F.col("value")
     byte = F.floor(F.least(F.greatest(F.coalesce(F.nanvl(value, F.lit(0.0)), F.lit(0.0)), F.lit(0.0)), F.lit(255.0)))
     return full.withColumn("value", byte.cast("int"))

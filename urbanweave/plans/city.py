@@ -16,19 +16,14 @@ from urbanweave.session import cut_lineage
 from urbanweave.sources import catalog
 
 
-def build(ways: DataFrame, nodes: DataFrame, exact_overlay: bool = False) -> dict[str, DataFrame]:
-    """Every city layer by name.
-
-    ``exact_overlay`` always cuts water and vegetation by the buildings; otherwise the two size limits that define the
-    usual result hold (see ``overlay.cut_by``).
-    """
+def build(ways: DataFrame, nodes: DataFrame) -> dict[str, DataFrame]:
+    """Every city layer by name; water and vegetation are cut by all buildings that touch them."""
     highways = cut_lineage(ways.where(tags.highway() != ""))
     degree = cut_lineage(roads.node_degree(highways))
     pavement = cut_lineage(roads.cut_by_rank(cut_lineage(roads.pavement(highways))))
     crossings = cut_lineage(junctions.typed_junctions(highways, degree))
     houses = cut_lineage(buildings.build(ways))
     cutters = overlay.ring_to_parts(houses).select("osm_id", "parts")
-    limits = (None, None) if exact_overlay else (K.MAX_LOCAL_CUTTERS, K.MAX_CITY_CUTTERS)
     return {
         "roads": pavement,
         "junctions": crossings,
@@ -36,8 +31,8 @@ def build(ways: DataFrame, nodes: DataFrame, exact_overlay: bool = False) -> dic
         "markings": markings.road_markings(pavement, degree),
         "arrows": junctions.junction_arrows(pavement, degree, crossings),
         "buildings": houses,
-        "water": overlay.cut_by(overlay.water_areas(ways), cutters, *limits),
-        "vegetation": overlay.cut_by(overlay.vegetation_areas(ways), cutters, *limits),
+        "water": overlay.cut_by(overlay.water_areas(ways), cutters),
+        "vegetation": overlay.cut_by(overlay.vegetation_areas(ways), cutters),
         "trees": placement.tree_instances(nodes),
         "lamps": placement.lamp_instances(highways),
         "signs": placement.sign_placements(highways),

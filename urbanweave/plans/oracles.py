@@ -196,8 +196,8 @@ ORACLES["signs"] = t("roads segs", _SIGNS + """
 SELECT osm_id, CAST(seq AS BIGINT) AS seq, round(x, 4) + 0.0 AS x, round(y, 4) + 0.0 AS y, round(yaw, 6) + 0.0 AS yaw, name
 FROM sign""")
 ORACLES["sign_names"] = t("roads segs", _SIGNS + """
-, c AS (SELECT left(name, 14) AS label, count(*) AS n FROM sign GROUP BY 1)
-SELECT row_number() OVER (ORDER BY n DESC, label) - 1 AS sign_rank, label, n FROM c ORDER BY n DESC, label LIMIT 80""")
+, c AS (SELECT name AS label, count(*) AS n FROM sign GROUP BY 1)
+SELECT row_number() OVER (ORDER BY n DESC, label) - 1 AS sign_rank, label, n FROM c""")
 ORACLES["tree_transforms"] = t("trees", """
 SELECT osm_id, x * 100.0e0 AS x_cm, y * 100.0e0 AS y_cm, 1.0e0 AS qw, 0.0e0 AS qz, 400.0e0 AS start_m, 800.0e0 AS end_m,
   40000.0e0 AS start_cm, 80000.0e0 AS end_cm FROM trees WHERE event_type = 'view'""")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,23 @@ def build_session(app: str = "urbanweave", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per session, so that they need no installed copy."""
+    context = spark.sparkContext
+    if getattr(context, "_urbanweave_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="urbanweave-"), "urbanweave.zip")  # the driver serves it from here
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as packed:
+        for folder, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    packed.write(path, os.path.relpath(path, os.path.dirname(home)))
+    context.addPyFile(target)
+    context._urbanweave_shipped = True
+
+
 def use_checkpoint_dir(spark: SparkSession) -> None:
     """Make sure ``checkpoint()`` has a folder: the session's own one, or a scratch folder in local mode only."""
     context = spark.sparkContext
