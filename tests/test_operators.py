@@ -103,6 +103,38 @@ def test_junction_types_and_zebra(spark):
     assert sorted(r["count"] for r in stripes) == [5, 20]
 
 
+def test_dual_carriageways_meet_in_one_cross(spark):
+    p = {"highway": "primary"}
+    circle = [(500 + 20 * np.cos(k * np.pi / 4), 20 * np.sin(k * np.pi / 4)) for k in range(8)]
+    ways = make_ways(spark, [
+        (1, p, [(76, 16), (16, 16), (0, 16), (-60, 16)]), (2, p, [(-60, 0), (0, 0), (16, 0), (76, 0)]),
+        (3, p, [(0, 76), (0, 16), (0, 0), (0, -60)]), (4, p, [(16, -60), (16, 0), (16, 16), (16, 76)]),
+        (5, p | {"junction": "roundabout"}, [(float(x), float(y)) for x, y in [*circle, circle[0]]]),
+    ])
+    found = junctions.typed_junctions(ways, roads.node_degree(ways))
+    got = {r["kind"]: r for r in found.collect()}
+    assert sorted(got) == ["cross", "roundabout"] and (got["cross"]["x"], got["cross"]["y"]) == (8.0, 8.0)
+    # the node that way 1 visits first gives the first arms
+    assert got["cross"]["arms"] == pytest.approx([0.0, np.pi, -np.pi / 2, np.pi / 2])
+    assert [(n["x"], n["y"]) for n in got["cross"]["nodes"]] == [(16.0, 16.0), (0.0, 16.0), (0.0, 0.0), (16.0, 0.0)]
+    assert junctions.zebra_stripes(found).count() == 20
+    spots = [(0, 8.0, 8.0), (1, 8.0, -2.0), (2, 8.0, 40.0), (3, 40.0, 8.0), (4, 520.0, 0.0)]
+    spots = spark.createDataFrame([(k, 0, 0, x, y) for k, x, y in spots], "ord long, pos int, step int, x double, y double")
+    assert sorted(r["ord"] for r in junctions.outside_areas(spots, found).collect()) == [2, 3]
+
+
+def test_convex_hull_matches_half_planes(spark):
+    rnd = random.Random(12)
+    sets = [[(rnd.randrange(7), rnd.randrange(7)) for _ in range(n)] for n in range(1, 25)] + [[(0, 0), (1, 1), (3, 3), (2, 2)], [(5, 5)] * 3]
+    rows = [(k, [(float(x), float(y)) for x, y in s]) for k, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "k int, pts array<struct<x:double,y:double>>")
+    for r in df.select("k", lines.convex_hull(F.col("pts")).alias("ring")).collect():
+        pts, ring = set(sets[r["k"]]), [(q["x"], q["y"]) for q in r["ring"]]
+        assert ring[0] == ring[-1] == min(pts)
+        corners = {a for a in pts if any(all(np.dot((a[0] - b[0], a[1] - b[1]), (np.cos(t), np.sin(t))) > 0 for b in pts if b != a) for t in np.linspace(0.001, 2 * np.pi, 721))}
+        assert set(ring) == corners and len(ring) == max(len(corners) + (len(corners) > 1), 1)
+
+
 def test_clusters_match_pairwise_distance(spark):
     rnd = random.Random(9)
     pts = [(rnd.randrange(0, 400_000), rnd.randrange(0, 400_000)) for _ in range(250)]

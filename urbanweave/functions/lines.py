@@ -413,6 +413,25 @@ def vertex_mean(coords: Column) -> Column:
     return let(total, lambda s: pt(s["x"] / n, s["y"] / n))
 
 
+def convex_hull(points: Column) -> Column:
+    """Closed convex ring of points, counter-clockwise from the lowest ``x, y``; there and back for points on one line."""
+
+    def left_turn(a: Column, b: Column, c: Column) -> Column:
+        return (b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"]) > 0
+
+    def add(chain: Column, p: Column) -> Column:
+        # the corners that a later point leaves in place are always the front ones
+        stay = F.filter(chain, lambda q, i: (i == 0) | left_turn(F.get(chain, i - 1), q, p))
+        return F.concat(stay, F.array(p))
+
+    def ring(ordered: Column) -> Column:
+        none = F.array().cast("array<struct<x:double,y:double>>")
+        back = F.aggregate(F.reverse(ordered), none, add)
+        return F.concat(F.aggregate(ordered, none, add), F.slice(back, F.lit(2), F.size(ordered)))
+
+    return let(F.array_sort(F.array_distinct(points)), ring)
+
+
 def bounds(coords: Column) -> Column:
     def corners(c: Column) -> Column:
         xs, ys = F.transform(c, lambda p: p["x"]), F.transform(c, lambda p: p["y"])

@@ -49,7 +49,7 @@ def node_arms(vertices: DataFrame) -> DataFrame:
 def junction_candidates(ways: DataFrame, degree: DataFrame) -> DataFrame:
     """Way visits of junction nodes: degree of at least three, two ways, two of them primary, not on a roundabout.
 
-    ``(nx, ny, ord, osm_id, width, arms)``, one row per way at a node.
+    ``(nx, ny, ord, pos, osm_id, width, arms)``, one row per way at a node; ``pos`` is the way's first vertex there.
     """
     vertices = way_vertices(ways.where(F.size("coords") >= 2), "osm_id", "ord", "tags")
     ring_nodes = vertices.where(tags.is_roundabout() & tags.is_primary_junction()).select("nx", "ny").distinct()
@@ -57,13 +57,13 @@ def junction_candidates(ways: DataFrame, degree: DataFrame) -> DataFrame:
     motor = vertices.where(tags.is_motor() & ~tags.is_roundabout())
     at = cut_lineage(motor.join(busy, ["nx", "ny"]).join(ring_nodes, ["nx", "ny"], "left_anti"))
     visits = at.groupBy("nx", "ny", "ord").agg(
-        F.first("osm_id").alias("osm_id"), F.first("tags").alias("tags"),
+        F.first("osm_id").alias("osm_id"), F.first("tags").alias("tags"), F.min("pos").alias("pos"),
     )
     primary = F.count_if(tags.is_primary_junction())
     fit = visits.groupBy("nx", "ny").agg(F.count_distinct("osm_id").alias("n_ids"), primary.alias("n_primary"))
     fit = fit.where("n_ids >= 2 and n_primary >= 2").select("nx", "ny")
     rows = visits.join(fit, ["nx", "ny"]).join(node_arms(at), ["nx", "ny", "ord"])
-    return rows.select("nx", "ny", "ord", "osm_id", tags.road_width().alias("width"), "arms")
+    return rows.select("nx", "ny", "ord", "pos", "osm_id", tags.road_width().alias("width"), "arms")
 
 
 def cluster_nodes(nodes: DataFrame, reach: float = K.JUNCTION_CLUSTER_M) -> DataFrame:
@@ -92,33 +92,47 @@ def cluster_nodes(nodes: DataFrame, reach: float = K.JUNCTION_CLUSTER_M) -> Data
 
 
 def typed_junctions(ways: DataFrame, degree: DataFrame) -> DataFrame:
-    """tee, wye and cross junctions: ``(cluster, kind, x, y, width, clip_r, arms, nodes)``.
+    """tee, wye, cross and roundabout junctions: ``(cluster, kind, x, y, width, clip_r, arms, nodes, parts)``.
 
-    Equal headings are merged before they are collected: a repeated heading never changes the arms found.
+    The nodes of a cluster follow their first visit in way order, and so do the headings that arms are found from.
+    Equal headings are merged before they are collected: a repeated heading never changes the arms found. ``parts`` is
+    the patch that clips markings and arrows. A roundabout of the primary roads has its own area as patch, no arms, no
+    nodes and a null width.
     """
     visits = cut_lineage(junction_candidates(ways, degree))
-    clusters = cluster_nodes(visits.select("nx", "ny").distinct())
-    placed = cut_lineage(visits.join(clusters, ["nx", "ny"]))
-    nodes = placed.select("cluster", "nx", "ny").distinct()
+    seen = cut_lineage(visits.groupBy("nx", "ny").agg(F.min(F.struct("ord", "pos")).alias("visit")))
+    clusters = cluster_nodes(seen).join(seen, ["nx", "ny"])
+    placed = cut_lineage(visits.drop("pos").join(clusters, ["nx", "ny"]))
+    nodes = placed.select("cluster", "nx", "ny", "visit").distinct()
+    node = F.struct("visit", lines.pt(F.col("nx") / 1000, F.col("ny") / 1000).alias("p"))
     center = nodes.groupBy("cluster").agg(
-        (F.avg("nx") / 1000).alias("x"), (F.avg("ny") / 1000).alias("y"),
-        F.collect_list(lines.pt(F.col("nx") / 1000, F.col("ny") / 1000)).alias("nodes"),
-    )
+        (F.avg("nx") / 1000).alias("x"), (F.avg("ny") / 1000).alias("y"), F.array_sort(F.collect_list(node)).alias("nodes"),
+    ).withColumn("nodes", F.transform("nodes", lambda n: n["p"]))
     sizes = placed.groupBy("cluster").agg(F.count_distinct("ord").alias("n_ways"), F.max("width").alias("width"))
-    raw = placed.select("cluster", "nx", "ny", "ord", F.posexplode("arms").alias("i", "arm"))
-    place = F.struct("nx", "ny", "ord", "i")
+    raw = placed.select("cluster", "visit", "ord", F.posexplode("arms").alias("i", "arm"))
+    place = F.struct("visit", "ord", "i")
     once = raw.groupBy("cluster", "arm").agg(F.min(place).alias("place"))
     arms = once.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("place", "arm"))).alias("raw"))
     arms = arms.select("cluster", lines.cluster_headings(F.transform("raw", lambda r: r["arm"])).alias("arms"))
     joined = center.join(sizes, "cluster").join(arms, "cluster").where("n_ways >= 2")
     typed = joined.withColumn("kind", lines.junction_kind(F.col("arms"))).where(F.col("kind").isin("tee", "wye", "cross"))
     clip = F.greatest(F.lit(4.0), F.col("width") / 2 + 0.8)
-    return typed.select("cluster", "kind", "x", "y", "width", clip.alias("clip_r"), "arms", "nodes")
+    typed = typed.withColumn("clip_r", clip)
+    typed = typed.select(
+        "cluster", "kind", "x", "y", "width", "clip_r", "arms", "nodes", patch_parts(F.col("nodes"), F.col("clip_r")).alias("parts"),
+    )
+    rings = roundabout_patches(ways, primary_only=True).select(
+        F.xxhash64(F.lit("roundabout"), "osm_id").alias("cluster"), F.lit("roundabout").alias("kind"), "x", "y",
+        F.lit(None).cast("double").alias("width"), F.lit(None).cast("double").alias("clip_r"),
+        F.array().cast("array<double>").alias("arms"), F.array().cast("array<struct<x:double,y:double>>").alias("nodes"), "parts",
+    )
+    return typed.unionByName(rings)
 
 
 def zebra_stripes(junctions: DataFrame) -> DataFrame:
-    """Five crossing stripes per arm (only the stem of a tee): ``(cluster, arm, stripe, ring)``."""
+    """Five crossing stripes per arm (only the stem of a tee, none at roundabouts): ``(cluster, arm, stripe, ring)``."""
     arms = F.col("arms")
+    junctions = junctions.where("kind <> 'roundabout'")
     index = F.sequence(F.lit(0), F.size(arms) - 1)
     through = F.filter(
         index,
@@ -145,19 +159,15 @@ def zebra_stripes(junctions: DataFrame) -> DataFrame:
     return rows.select("cluster", "arm", "stripe", cx.alias("x"), cy.alias("y"), ring.alias("ring"))
 
 
-def junction_patches(junctions: DataFrame) -> DataFrame:
-    """Marking windows of the junctions as discs around their nodes joined by bars: ``(cluster, parts)``.
+def patch_parts(nodes: Column, r: Column) -> Column:
+    """The buffered convex hull of the nodes: discs on its corners, bars along its edges, and the hull itself."""
 
-    A point lies in the buffered hull of the nodes when it is near the hull; for the usual one or two nodes discs and
-    bars are exactly that buffer, for more the bars run between all corners of the hull's outline.
-    """
-    nodes, r = F.col("nodes"), F.col("clip_r")
-    discs = F.transform(nodes, lambda n: lines.disc(n, r))
-    bars = lines.segment_boxes(F.concat(nodes, F.slice(nodes, 1, 1)), r)
-    hull = F.when(F.size(nodes) >= 3, F.array(F.concat(nodes, F.slice(nodes, 1, 1)))).otherwise(
-        F.array().cast("array<array<struct<x:double,y:double>>>")
-    )
-    return junctions.select("cluster", F.concat(discs, bars, hull).alias("parts"))
+    def parts(ring: Column) -> Column:
+        discs = F.transform(F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(1))), lambda n: lines.disc(n, r))
+        hull = F.when(F.size(ring) >= 4, F.array(ring)).otherwise(F.array().cast("array<array<struct<x:double,y:double>>>"))
+        return F.concat(discs, lines.segment_boxes(ring, r), hull)
+
+    return lines.let(lines.convex_hull(nodes), parts)
 
 
 # ---- arrows
@@ -250,7 +260,7 @@ def junction_arrows(ways: DataFrame, degree: DataFrame, junctions: DataFrame | N
     """Arrows on the approaches, none on roundabouts, thinned, none inside junction patches."""
     arrows = outside_areas(approach_arrows(ways, degree), roundabout_patches(ways), 0.4)
     kept = thin_arrows(cut_lineage(first_per_spot(arrows)))
-    return kept if junctions is None else outside_areas(kept, junction_patches(junctions))
+    return kept if junctions is None else outside_areas(kept, junctions)
 
 
 def arrow_ring() -> Column:
