@@ -1,6 +1,7 @@
 """The text operators against brute force, round trips, held-out accuracy and awkward rows."""
 
 import base64
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -181,6 +182,21 @@ def test_packing_covers_each_id_once(spark, docs, sample):
     assert packing.pack(docs.limit(0), spark, path).count() == 0
 
 
+def test_words_encode_as_the_library():
+    from tokenizers import Tokenizer
+
+    path, pick = P.path("word_bpe_49k.json"), random.Random(5)
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    with open(path, "rb") as f:
+        encoder = packing.word_encoder(f.read())
+    marks = ["'s", "'t", "'re", "'LL", "'", "<|startoftext|>", "</w>", "\t", "\r", "\x1c", "\x00", "zz", "Hello", "12", "e\u0301", " ", "\n", " "]
+    alphabet = [*marks, *map(chr, range(0x80, 0x260)), "\u03a3", "\u2003", "\U0001f600"]
+    for _ in range(5_000):
+        text = "".join(pick.choices(alphabet, k=pick.randint(0, 9)))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def set_of(text, width):
     words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text))
     return frozenset(map(tuple, [words[k : k + width] for k in range(len(words) - width + 1)] or ([words] if words else [])))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,36 +25,73 @@ GAP = 2e-3  # the linear program stops this close to its bound
 ROUNDS = 4000
 CACHED_WORDS = 400_000
 
+# Latin characters up to here are in composed form already and lower-cased one by one.
+LATIN_END = "\u0180"
+LATIN = list(map(chr, range(ord(LATIN_END))))
+LETTERS = "".join(c for c in LATIN if c.isalpha())
+NUMBERS = "".join(c for c in LATIN if unicodedata.category(c)[0] == "N")
+# The splitting pattern of the vocabulary, for lower-cased Latin text.
+STEMS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\t-\r \x85\xa0{LETTERS}{NUMBERS}]+").findall
+
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task long, class int, rank long"
 
 
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
     """Token ids of a text as little-endian bytes, word by word through a cache.
 
     Spaces and newlines always end a word of this vocabulary (its splitter drops white space), so the text is cut only
-    there and every cut word goes through the tokenizer itself. The cache is emptied when full.
+    there. A Latin word is cut further where the splitter cuts it and its stems go straight to the merges, so a stem is
+    encoded once for all words that hold it. Other words, which the normaliser may change, go through the whole
+    tokenizer. Both caches are emptied when full.
     """
 
     def __init__(self, model: bytes):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         tokenizer = Tokenizer.from_str(model.decode())
         tokenizer.encode_special_tokens = True
+        merges = tokenizer.model
+        by_byte = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        written = {ord(c): by_byte.pre_tokenize_str(c)[0][0] for c in LATIN}
+
+        class Stems(dict):
+            def __missing__(self, stem: str) -> bytes:
+                if len(self) >= CACHED_WORDS:
+                    self.clear()
+                ids = packed([t.id for t in merges.tokenize(stem.translate(written))])
+                self[stem] = ids
+                return ids
+
+        class Words(dict):
+            def __init__(self, stems: Stems):
+                self.stems = stems
 
-        class Cache(dict):
             def __missing__(self, word: str) -> bytes:
                 if len(self) >= CACHED_WORDS:
                     self.clear()
-                ids = np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+                if word.isascii() or (max(word) < LATIN_END and "\u0130" not in word):  # that letter becomes two
+                    ids = b"".join([self.stems[stem] for stem in STEMS(word.lower())])
+                else:
+                    ids = packed(tokenizer.encode(word, add_special_tokens=False).ids)
                 self[word] = ids
                 return ids
 
-        self.cache = Cache()
+        self.cache = Words(Stems())
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.cache.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+@lru_cache(maxsize=1)
+def word_encoder(model: bytes) -> WordEncoder:
+    """One encoder per Python worker, so that its caches serve all tasks that the worker runs."""
+    return WordEncoder(model)
+
+
 def tokenised_pieces(docs: DataFrame, spark: SparkSession, model: str, id_col: str, text_col: str, capacity: int) -> DataFrame:
     """Pieces of every document: as many full ones as fit, then the rest with its length class.
 
@@ -64,7 +105,7 @@ def tokenised_pieces(docs: DataFrame, spark: SparkSession, model: str, id_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, task = WordEncoder(shared.value), TaskContext.get().partitionId()
+        encoder, task = word_encoder(shared.value), TaskContext.get().partitionId()
         ranks = np.zeros(capacity // STEP + 2, "int64")
         for batch in batches:
             out: list[tuple] = []
