@@ -20,6 +20,7 @@ DIMS, NONZERO = 48, 6  # of a random index vector
 SHAPES = 16  # hashed dimensions of word shapes
 STATS = 5
 WIDTH = DIMS + SHAPES
+SEEDS = [k * 0x9E3779B1 & 0xFFFFFFFF for k in range(NONZERO)]
 REACH = 2  # words of context on either side
 SAMPLE_DOCS = 6_000  # labelled documents that the model is fitted on, at most
 VOCABULARY = 8_192  # words of the sample that get a context vector, at most
@@ -32,16 +33,18 @@ CUT = 0.3
 MARKS = re.compile(r"[#*$%&|<>]")
 
 
-def index_vector(word: str) -> np.ndarray:
-    """The sparse ternary vector of a word, from its bytes alone."""
-    out, data = np.zeros(DIMS, "float32"), word.encode("utf-8", "replace")
-    for k in range(NONZERO):
-        h = zlib.crc32(data, k * 0x9E3779B1 & 0xFFFFFFFF)
-        out[h % DIMS] += 1.0 if (h >> 16) & 1 else -1.0
+def index_vectors(words: list[str]) -> np.ndarray:
+    """The sparse ternary vectors of words, from their bytes alone."""
+    data = [w.encode("utf-8", "replace") for w in words]
+    h = np.array([zlib.crc32(d, seed) for d in data for seed in SEEDS], "int64").reshape(len(words), NONZERO)
+    out = np.zeros((len(words), DIMS), "float32")
+    np.add.at(out, (np.arange(len(words))[:, None], h % DIMS), np.where((h >> 16) & 1, 1.0, -1.0).astype("float32"))
     return out
 
 
 def shape_of(word: str) -> str:
+    if word.isascii() and word.isalpha():
+        return f"{'A' if len(word) > 1 and word.isupper() else 'a'}{len(word) // 6}"
     letters = [c for c in word if c.isalpha()]
     case = "0" if not letters else "A" if len(letters) > 1 and all(c.isupper() for c in letters) else "a"
     tail = "".join(sorted(set(word) - set(letters)))[:2] if len(letters) < len(word) else ""
@@ -59,16 +62,20 @@ class WordVectors:
         self.rows: dict[str, int] = {}
         self.matrix = np.zeros((1024, WIDTH), "float32")
 
-    def row(self, word: str) -> int:
-        k = len(self.rows)
-        if k == len(self.matrix):
+    def add(self, words: list[str]) -> None:
+        """Rows for words that have none yet, computed together."""
+        start, end = len(self.rows), len(self.rows) + len(words)
+        while end > len(self.matrix):
             self.matrix = np.vstack([self.matrix, np.zeros_like(self.matrix)])
-        vector = self.context.get(word.lower())
-        vector = index_vector(word.lower()) if vector is None else vector
-        self.matrix[k, :DIMS] = vector / (np.linalg.norm(vector) + 1e-9)
-        self.matrix[k, DIMS + zlib.crc32(shape_of(word).encode()) % SHAPES] = 1.0
-        self.rows[word] = k
-        return k
+        lower = [w.lower() for w in words]
+        vectors, new = index_vectors(lower), self.matrix[start:end]
+        for k, word in enumerate(lower):
+            known = self.context.get(word)
+            if known is not None:
+                vectors[k] = known
+        new[:, :DIMS] = vectors / (np.linalg.norm(vectors, axis=1, keepdims=True) + 1e-9)
+        new[np.arange(len(words)), [DIMS + zlib.crc32(shape_of(w).encode()) % SHAPES for w in words]] = 1.0
+        self.rows.update(zip(words, range(start, end), strict=True))
 
     def pooled(self, text: str) -> np.ndarray:
         """Mean of the word vectors and some ratios of the whole text; zeros for a text without words."""
@@ -78,8 +85,10 @@ class WordVectors:
             return out
         if len(self.rows) > CACHED_WORDS:
             self.clear()
-        rows = self.rows
-        ids = np.fromiter((rows[w] if w in rows else self.row(w) for w in words), "int64", len(words))
+        new = [w for w in dict.fromkeys(words) if w not in self.rows]
+        if new:
+            self.add(new)
+        ids = np.fromiter(map(self.rows.__getitem__, words), "int64", len(words))
         kinds, counts = np.unique(ids, return_counts=True)
         out[:WIDTH] = counts.astype("float32") @ self.matrix[kinds] / len(words)
         n = len(words)
@@ -174,11 +183,10 @@ def context_vectors(sample: DataFrame, spark: SparkSession) -> dict[str, np.ndar
         for frame in frames:
             for text in frame["text"]:
                 words = text.lower().split()
-                for w in words:
-                    if w not in cache:
-                        cache[w] = index_vector(w)
                 if not words:
                     continue
+                new = [w for w in dict.fromkeys(words) if w not in cache]
+                cache.update(zip(new, index_vectors(new), strict=True))
                 near = np.stack([cache[w] for w in words])
                 ids = np.array([known.get(w, -1) for w in words])
                 around = np.zeros_like(near)
