@@ -99,8 +99,10 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     rows = rows.repartition(blocks, "block")
     rows = rows.select("block", "doc_id", F.regexp_extract_all("text", F.lit(java_pattern(pattern)), F.lit(0)).alias("words"))
-    distinct = rows.select("block", F.explode(F.array_distinct("words")).alias("word")).groupBy("block", "word").agg(F.count("*").alias("n"))
-    encoded = distinct.select(F.col("block").alias("block_"), F.col("word").alias("word_"), encode_word(F.col("word"), ranks).alias("ids_"))
+    # the id travels along so that both branches need the same columns and share one shuffle
+    distinct = rows.select("block", "doc_id", F.explode(F.array_distinct("words")).alias("word"))
+    distinct = distinct.groupBy("block", "word").agg(F.min("doc_id").alias("first_"))
+    encoded = distinct.select(F.col("block").alias("block_"), F.col("word").alias("word_"), encode_word(F.col("word"), ranks).alias("ids_"), "first_")
 
     def assemble(texts: pa.Table, words: pa.Table) -> pa.Table:
         known: dict[str, bytes] = {}
