@@ -100,6 +100,29 @@ def test_rules_against_brute_force(spark, docs, sample):
     assert quality_rules.quality_rules(docs.limit(0)).count() == 0
 
 
+def test_rules_reject_planted_repetition(spark):
+    pick = random.Random(3)
+    word = lambda: "".join(pick.choices("abcdefghijklmnopqrst", k=pick.randint(2, 8)))
+    plain = lambda n: "\n".join(" ".join(word() for _ in range(10)) for _ in range(n))
+    rows = [(k, plain(12)) for k in range(200)]
+    rows += [(1000, plain(10) + "\nRead more" * 20)]  # most lines and more than a quarter of the words
+    rows += [(1001, "\n".join(f"{' '.join(word() for _ in range(4))}\nMore" for _ in range(40)))]  # lines alone
+    once, twice = plain(8).replace("\n", " "), plain(3).replace("\n", " ")
+    rows += [(1002, f"{twice} {once} {twice}")]  # words alone, all on one line
+    same = plain(1)
+    rows += [(1003, "\n".join([plain(1), same, plain(1), plain(1), plain(1), plain(1), same]))]  # one repeated line is no fault
+    df = spark.createDataFrame([(i, t, "en", "a") for i, t in rows], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality_rules.quality_verdicts(df).collect()}
+    assert all(got[k]["kept"] for k in [*range(200), 1003])
+    assert not any(got[k]["kept"] for k in (1000, 1001, 1002))
+    assert not any(got[k]["base_failed"] for k in (1000, 1001, 1002))
+    # 24% of a group that lies together pulls the mean of the whole group, not the estimate that is kept
+    bad = [(2000 + k, plain(10) + f"\n{' '.join(f'{word()}#$%' for _ in range(30))}") for k in range(63)]
+    df = spark.createDataFrame([(i, t, "en", "a") for i, t in rows[:200] + bad], df.schema)
+    kept = {r["doc_id"] for r in quality_rules.quality_verdicts(df).where("kept").collect()}
+    assert kept == set(range(200))
+
+
 def test_classifier_on_held_out_rows(spark, docs):
     sf = SF.replace("0.001", "0.01")
     raw, labels = table(spark, sf, "documents"), table(spark, sf, "labels")

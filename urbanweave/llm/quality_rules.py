@@ -14,9 +14,13 @@ SYMBOLS = "#*$%&|<>"
 SHARE = 0.75  # of a group's rows that the estimate rests on
 CONSISTENCY = 1.485  # for 4 dimensions and that share: 0.75 / P(chi2 with 6 degrees < the 0.75 quantile with 4)
 DIMS = ("v1", "v2", "v3", "v4")
-FLOORS = (0.15, 0.25, 1.2, 1.2)  # smallest standard deviations: a repeated line or two is no fault by itself
+FLOORS = (0.15, 0.25, 0.69, 0.69)  # smallest standard deviations: a repeated line or two is no fault by itself
+TOGETHER = 0.7  # correlation within the floors of v3 and v4, as repeated lines repeat their words
 PRIOR_ROWS = 50.0  # weight of the whole corpus in the estimate of a group
 STEPS = 4
+STARTS = (0, 1, 2)  # of the concentration steps: whole group, median and median deviation, values clipped around the median
+BINS = 64.0  # parts of a unit in which medians are counted
+CLIP = 1.5
 CUTOFF = 30.0
 UNIT = 1024.0  # vectors are rounded to this part, so sums of doubles do not depend on their order
 
@@ -89,6 +93,7 @@ def rule_stats(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     )
 
 
+KEYS = ["g1", "g2", "start"]
 PAIRS = [(a, b) for i, a in enumerate(DIMS) for b in DIMS[: i + 1]]
 
 
@@ -99,22 +104,27 @@ def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _floor(a: str, b: str) -> float:
+    both = FLOORS[DIMS.index(a)] * FLOORS[DIMS.index(b)]
+    return both if a == b else TOGETHER * both if {a, b} == {"v3", "v4"} else 0.0
+
+
 def _estimate(moments: DataFrame, scale: float) -> DataFrame:
-    """Mean ``m_*`` and Cholesky factor ``l_*`` per group, shrunk towards the whole corpus and floored."""
+    """Mean ``m_*`` and Cholesky factor ``l_*`` per group and start, shrunk towards the whole corpus and floored."""
     names = [c for c in moments.columns if c[:2] in ("s_", "q_")]
-    whole = moments.agg(F.sum("n").alias("wn"), *[F.sum(c).alias(f"w{c}") for c in names])
-    both = moments.crossJoin(F.broadcast(whole))  # one row
+    whole = moments.groupBy("start").agg(F.sum("n").alias("wn"), *[F.sum(c).alias(f"w{c}") for c in names])
+    both = moments.join(F.broadcast(whole), "start")  # one row per start
     w = F.lit(PRIOR_ROWS) / F.col("wn")
     total = F.col("n") + PRIOR_ROWS
     both = both.select(
-        "g1", "g2", total.alias("t"), *[(F.col(c) + w * F.col(f"w{c}")).alias(c) for c in names]
+        *KEYS, total.alias("t"), *[(F.col(c) + w * F.col(f"w{c}")).alias(c) for c in names]
     )
     both = both.withColumns({f"m_{a}": F.col(f"s_{a}") / F.col("t") for a in DIMS})
     cov = {
         (a, b): scale * F.greatest(F.col(f"q_{a}{b}") / F.col("t") - F.col(f"m_{a}") * F.col(f"m_{b}"), F.lit(0.0))
-        + FLOORS[DIMS.index(a)] ** 2
+        + _floor(a, b)
         if a == b
-        else scale * (F.col(f"q_{a}{b}") / F.col("t") - F.col(f"m_{a}") * F.col(f"m_{b}"))
+        else scale * (F.col(f"q_{a}{b}") / F.col("t") - F.col(f"m_{a}") * F.col(f"m_{b}")) + _floor(a, b)
         for a, b in PAIRS
     }
     both = both.withColumns({f"c_{a}{b}": c for (a, b), c in cov.items()})
@@ -124,7 +134,41 @@ def _estimate(moments: DataFrame, scale: float) -> DataFrame:
             for c in DIMS[:j]:
                 rest = rest - F.col(f"l_{a}{c}") * F.col(f"l_{b}{c}")
             both = both.withColumn(f"l_{a}{b}", F.sqrt(F.greatest(rest, F.lit(1e-6))) if a == b else rest / F.col(f"l_{b}{b}"))
-    return both.select("g1", "g2", *[f"m_{a}" for a in DIMS], *[f"l_{a}{b}" for a, b in PAIRS])
+    return both.select(*KEYS, *[f"m_{a}" for a in DIMS], *[f"l_{a}{b}" for a, b in PAIRS])
+
+
+def _middles(rows: DataFrame) -> DataFrame:
+    """Median ``m_*`` and scaled median deviation ``d_*`` (floored) per group, from counts per bin of ``1 / BINS``."""
+    long = rows.select("g1", "g2", F.explode(F.array(*[F.struct(F.lit(a).alias("dim"), F.round(F.col(a) * BINS).cast("int").alias("bin")) for a in DIMS])).alias("x"))
+    bins = long.groupBy("g1", "g2", "x.dim", "x.bin").agg(F.count("*").alias("n"))
+    group = W.partitionBy("g1", "g2", "dim")
+
+    def middle(counts: DataFrame, value: str, name: str) -> DataFrame:
+        upto = F.sum("n").over(group.orderBy(value).rangeBetween(W.unboundedPreceding, 0))
+        reached = 2 * upto >= F.sum("n").over(group)
+        counts = counts.withColumn("reached", reached)
+        return counts.withColumn(name, F.min(F.when(F.col("reached"), F.col(value))).over(group)).drop("reached")
+
+    bins = middle(bins, "bin", "m").withColumn("off", F.abs(F.col("bin") - F.col("m")))
+    bins = middle(bins, "off", "d")
+    pick = lambda c, a: F.max(F.when(F.col("dim") == a, F.col(c))) / BINS
+    out = bins.groupBy("g1", "g2").agg(*[pick("m", a).alias(f"m_{a}") for a in DIMS], *[pick("d", a).alias(f"d_{a}") for a in DIMS])
+    return out.withColumns({f"d_{a}": F.greatest(1.4826 * F.col(f"d_{a}"), F.lit(f)) for a, f in zip(DIMS, FLOORS, strict=True)})
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """The estimates that the concentration steps of each group set out from, one per number of ``STARTS``."""
+    middles = cut_lineage(_middles(rows))
+    near = with_group(rows, middles, ["g1", "g2"])
+    clipped = near.withColumns(
+        {
+            a: F.round(F.greatest(F.least(F.col(a), F.col(f"m_{a}") + CLIP * F.col(f"d_{a}")), F.col(f"m_{a}") - CLIP * F.col(f"d_{a}")) * UNIT) / UNIT
+            for a in DIMS
+        }
+    ).select("g1", "g2", *DIMS)
+    moments = _moments(rows.withColumn("start", F.lit(0)).unionByName(clipped.withColumn("start", F.lit(2))), KEYS)
+    diagonal = {f"l_{a}{b}": F.col(f"d_{a}") if a == b else F.lit(0.0) for a, b in PAIRS}
+    return _estimate(moments, 1.0).unionByName(middles.withColumn("start", F.lit(1)).select(*KEYS, *[f"m_{a}" for a in DIMS], *[c.alias(k) for k, c in diagonal.items()]))
 
 
 def _distance() -> Column:
@@ -144,24 +188,31 @@ def _distance() -> Column:
 def fit_groups(stats: DataFrame, steps: int = STEPS) -> DataFrame:
     """Minimum-covariance-determinant estimate per group of a materialised table of statistics.
 
-    Concentration steps from the whole group: distances, the ``SHARE`` of the rows that are closest, their mean and
-    covariance. The share is cut at a bin of the logarithm of the distance, counted with map-side combining, so no
-    group is sorted or gathered. Small groups lean on the whole corpus.
+    Concentration steps from each of ``STARTS``: distances, the ``SHARE`` of the rows that are closest, their mean and
+    covariance. Of the estimates that a group ends with, the one of least determinant stays. The share is cut at a bin
+    of the logarithm of the distance, counted with map-side combining, so no group is sorted or gathered. Small groups
+    lean on the whole corpus.
     """
     rows = stats.where(~F.col("base_failed")).select("g1", "g2", *DIMS)
-    groups = cut_lineage(_estimate(_moments(rows, ["g1", "g2"]), 1.0))
+    groups = cut_lineage(_starts(rows))
+    every = rows.withColumn("start", F.explode(F.array(*map(F.lit, STARTS))))
     for _ in range(steps):
-        far = with_group(rows, groups, ["g1", "g2"])
-        far = far.withColumn("bin", F.floor(16 * F.log1p(_distance())).cast("int")).select("g1", "g2", *DIMS, "bin")
-        bins = far.groupBy("g1", "g2", "bin").agg(F.count("*").alias("n"))
-        group = W.partitionBy("g1", "g2")
+        far = with_group(every, groups, KEYS)
+        far = far.withColumn("bin", F.floor(16 * F.log1p(_distance())).cast("int")).select(*KEYS, *DIMS, "bin")
+        bins = far.groupBy(*KEYS, "bin").agg(F.count("*").alias("n"))
+        group = W.partitionBy(*KEYS)
         below = F.coalesce(F.sum("n").over(group.orderBy("bin").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
         inner = bins.withColumn("below", below).withColumn("all", F.sum("n").over(group))
-        inner = inner.where(F.col("below") < SHARE * F.col("all")).groupBy("g1", "g2").agg(F.max("bin").alias("last"))
+        inner = inner.where(F.col("below") < SHARE * F.col("all")).groupBy(*KEYS).agg(F.max("bin").alias("last"))
         inner = cut_lineage(inner)
-        core = with_group(far, inner, ["g1", "g2"]).where(F.col("bin") <= F.col("last"))
-        groups = cut_lineage(_estimate(_moments(core, ["g1", "g2"]), CONSISTENCY))
-    return groups
+        core = with_group(far, inner, KEYS).where(F.col("bin") <= F.col("last"))
+        groups = cut_lineage(_estimate(_moments(core, KEYS), CONSISTENCY))
+    spread = F.lit(1.0)
+    for a in DIMS:
+        spread = spread * F.col(f"l_{a}{a}")
+    least = groups.groupBy("g1", "g2").agg(F.min(F.struct(spread.alias("spread"), "start")).alias("least"))
+    least = least.select("g1", "g2", F.col("least.start").alias("start"))
+    return cut_lineage(groups.join(least, KEYS).drop("start"))
 
 
 def judge(stats: DataFrame, groups: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
