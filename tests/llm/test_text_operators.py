@@ -297,6 +297,23 @@ def test_page_text(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+STORY = "<h2>Head</h2><p>" + "A long line of the story, with some commas, goes on here. " * 6 + "</p><p>Short end.</p>"
+
+
+def test_page_text_is_not_chosen_by_names():
+    text = "Head\n" + "A long line of the story, with some commas, goes on here. " * 5 + "A long line of the story, with some commas, goes on here.\nShort end."
+    side = '<div class="sidebar">Side, of it.</div>'
+    for page in (
+        f'<div class="layout with-sidebar"><article>{STORY}</article>{side}</div>',
+        f'<div class="entry-content paywall">{STORY}</div>{side}',
+        f'<div class="post-meta">May</div><div>{STORY}</div>{side}',
+        f'<form id="aspnetForm"><main>{STORY}</main>{side}</form>',
+        f'<article>{STORY}</article><div id="comments"><p>{"I think so too, really, yes. " * 90}</p></div>',
+    ):
+        got = html_text.main_text(f"<html><body><nav>Menu</nav>{page}<footer>Foot</footer></body></html>")
+        assert got.removeprefix("May\n") == text, page
+
+
 def test_pipeline(spark, sample):
     raw = table(spark, SF, "documents")
     docs, sizes = raw, [raw.count()]

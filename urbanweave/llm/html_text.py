@@ -19,7 +19,7 @@ BLOCKS = frozenset(
     "summary table tbody td tfoot th thead tr ul".split()
 )
 PARAGRAPH_ENDS = BLOCKS - {"option", "optgroup", "legend", "caption"}
-FURNITURE = frozenset("nav header footer aside form menu button select dialog head fieldset figcaption label input dir".split())
+FURNITURE = frozenset("nav header footer aside menu button select dialog head fieldset figcaption label input dir".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
 #: Words of class and id names that mark furniture.
 MARKS = frozenset(
@@ -39,13 +39,15 @@ SPACES = re.compile(r"\s+")
 
 SMOOTH = 1.0  # standard deviation, in paths, of the Gaussian over neighbouring paths
 THRESHOLD = 0.1  # of the mean fused ratio
+CONTENT_WEIGHT, MARK_WEIGHT = 4.0, 0.001  # of paths below a content name, and below a furniture name
+MOST = 0.5  # share of the page's text from which a wrapper is no furniture, whatever its name
 
 
 class Path:
-    """One root-to-leaf tag path: whether furniture is on it, and what it holds."""
+    """One root-to-leaf tag path: whether furniture is on it, which paths on it have furniture or content names, and what it holds."""
 
-    def __init__(self, name: str, furniture: bool, content: bool):
-        self.name, self.furniture, self.content = name, furniture, content
+    def __init__(self, name: str, furniture: bool, wrappers: tuple[str, ...], content: tuple[str, ...], article: bool):
+        self.name, self.furniture, self.wrappers, self.content, self.article = name, furniture, wrappers, content, article
         self.chars = self.marks = self.nodes = 0
 
 
@@ -62,19 +64,14 @@ def _is_furniture(tag: str, attributes: str) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id") and any(p.lower() in MARKS for p in NAME_PARTS.findall(value)):
-            # "post-with-sidebar" names a page by what stands beside it
-            if tag in ("html", "body", "main", "article"):
-                continue
-            return True
     return False
 
 
 def read_blocks(page: str) -> list[tuple[Path, str]]:
     """Text blocks in page order, each with the tag path of its text."""
     stack: list[tuple[str, Path]] = []
-    paths: dict[tuple[str, bool, bool], Path] = {}
-    root = Path("", False, False)
+    paths: dict[tuple, Path] = {}
+    root = Path("", False, (), (), False)
     blocks: list[tuple[Path, str]] = []
     held: list[str] = []
     owner: Path | None = None
@@ -103,7 +100,7 @@ def read_blocks(page: str) -> list[tuple[Path, str]]:
         if chunk:
             here = stack[-1][1] if stack else root
             if chunk.strip():
-                if owner is not None and owner.furniture != here.furniture:
+                if owner is not None and (owner.furniture, owner.wrappers) != (here.furniture, here.wrappers):
                     close_block()
                 if owner is None:
                     owner = here
@@ -155,9 +152,12 @@ def read_blocks(page: str) -> list[tuple[Path, str]]:
         above = stack[-1][1] if stack else root
         names = {p.lower() for name, v in ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id") for p in NAME_PARTS.findall(v)}
         bad = above.furniture or _is_furniture(tag, attributes)
-        good = above.content or tag in ("article", "main") or bool(names & CONTENT and tag in ("div", "section", "td"))
-        label = tag + "".join("." + x for x in sorted(names))
-        key = (f"{above.name}/{label}", bad, good)
+        label = f"{above.name}/{tag}" + "".join("." + x for x in sorted(names))
+        article = tag in ("article", "main")
+        # "post-with-sidebar" names a page by what stands beside it
+        marked = tag == "form" or bool(names & MARKS and not article and tag not in ("html", "body"))
+        named = article or bool(names & CONTENT and tag in ("div", "section", "td"))
+        key = (label, bad, above.wrappers + (label,) * marked, above.content + (label,) * named, above.article or article)
         if key not in paths:
             paths[key] = Path(*key)
         stack.append((tag, paths[key]))
@@ -186,11 +186,13 @@ def main_text(page: str | None) -> str:
     """The blocks of the content paths, in page order, one per line.
 
     Text length and punctuation are summed per tag path over the nodes that carry it; both ratios are smoothed over the
-    order in which paths appear and fused with a third one, the place of the path: 0 on furniture (menus, headers,
-    footers, sidebars, notices, adverts, forms, comments) and, where the page marks its content (article, main or a
-    content container), 0 outside of it. A path counts whose fused score is above 0 and, unless it stands in marked
-    content, at least ``THRESHOLD`` of the mean: a short heading inside the article is text, a short stray line outside of any is
-    not. An empty or null page, and one without text, gives the empty text.
+    order in which paths appear and fused with a third one, the weight of the path: 0 on furniture (menus, headers,
+    footers, hidden text), ``MARK_WEIGHT`` below a form or a name of sidebars, notices, adverts or comments,
+    ``CONTENT_WEIGHT`` below article, main or a content name, else 1. A name does not count against a wrapper that holds
+    more than ``MOST`` of the page's text, unless an article or main stands beside it. A path counts whose fused score is
+    at least ``THRESHOLD`` of the mean; below a content name that such a path shares, shorter ones without a furniture
+    name count too: a short heading inside the article is text, a short stray line outside of any is not. An empty or
+    null page, and one without text, gives the empty text.
     """
     blocks = read_blocks(page) if page else []
     paths = list({id(p): p for p, _ in blocks}.values())
@@ -198,11 +200,26 @@ def main_text(page: str | None) -> str:
         path.chars += len(text)
         path.marks += len(PUNCTUATION.findall(text))
         path.nodes += 1
-    marked = any(p.content and not p.furniture for p in paths)
-    place = [float(not p.furniture and (p.content or not marked)) for p in paths]
-    scores = [s * w for s, w in zip(fused_scores(paths), place, strict=True)]
-    limit = THRESHOLD * sum(scores) / max(sum(place), 1.0)
-    chosen = {id(p) for p, s in zip(paths, scores, strict=True) if s > 0 and (marked or s >= limit)}
+    shown = [p for p in paths if not p.furniture]
+    total = sum(p.chars for p in shown)
+    held: dict[str, int] = {}
+    for p in shown:
+        for w in dict.fromkeys(p.wrappers):
+            held[w] = held.get(w, 0) + p.chars
+    most = {w for w, n in held.items() if n > MOST * total and not any(p.article and w not in p.wrappers for p in shown)}
+    marked = [any(w not in most for w in p.wrappers) for p in paths]
+    weight = [
+        0.0 if p.furniture else MARK_WEIGHT if m else CONTENT_WEIGHT if p.content else 1.0 for p, m in zip(paths, marked, strict=True)
+    ]
+    scores = [s * w for s, w in zip(fused_scores(paths), weight, strict=True)]
+    limit = THRESHOLD * sum(scores) / max(len(shown), 1)
+    first = [s > 0 and s >= limit for s in scores]
+    roots = {c for p, m, f in zip(paths, marked, first, strict=True) if f and not m for c in p.content}
+    chosen = {
+        id(p)
+        for p, s, m, f in zip(paths, scores, marked, first, strict=True)
+        if f or (s > 0 and not m and any(c in roots for c in p.content))
+    }
     return "\n".join(text for path, text in blocks if id(path) in chosen)
 
 
