@@ -314,6 +314,22 @@ def test_page_text_is_not_chosen_by_names():
         assert got.removeprefix("May\n") == text, page
 
 
+def test_page_text_keeps_whole_elements():
+    wrap = lambda x: html_text.main_text(f"<html><body><nav>Menu</nav><article>{STORY}{x}</article><footer>Foot</footer></body></html>")
+    story = wrap("")
+    for x, more in (
+        ("<figure><img src=a><figcaption>A caption.</figcaption></figure>", "A caption."),
+        ("<p>Sum <math><mi>x</mi><mo>+</mo><mi>y</mi></math> holds.</p>", "Sum x+y holds."),
+        ("<dir><li>one<li>two</dir>", "one\ntwo"),
+        ("<noscript><p>Without script.</p></noscript>", "Without script."),
+        ("<p><object data=a>Instead of it.</object></p>", "Instead of it."),
+        ("<xmp>a <b> c</xmp>", "a <b> c"),
+        ("<script>no</script><template><p>Not shown.</p></template><p>Shown.", "Shown."),
+        *((f"<p>Open <{tag}>end</p><p>The rest, in full.</p>", "Open end\nThe rest, in full.") for tag in ("svg", "math", "object", "canvas")),
+    ):
+        assert wrap(x) == f"{story}\n{more}", x
+
+
 def test_pipeline(spark, sample):
     raw = table(spark, SF, "documents")
     docs, sizes = raw, [raw.count()]

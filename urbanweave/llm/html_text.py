@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 
 # Fixed values of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math canvas object".split())
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())  # their text holds no tags
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select "
     "summary table tbody td tfoot th thead tr ul".split()
 )
 PARAGRAPH_ENDS = BLOCKS - {"option", "optgroup", "legend", "caption"}
-FURNITURE = frozenset("nav header footer aside menu button select dialog head fieldset figcaption label input dir".split())
+FURNITURE = frozenset("nav header footer aside menu button select dialog head fieldset label input template".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
 #: Words of class and id names that mark furniture.
 MARKS = frozenset(
@@ -135,6 +135,10 @@ def read_blocks(page: str) -> list[tuple[Path, str]]:
             continue
         if tag in RAW and not attributes.rstrip().endswith("/"):
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if tag == "xmp":  # shown as it stands
+                close_block()
+                text(html.escape(page[at : end.start() if end else n]))
+                close_block()
             at = end.end() if end else n
             continue
         if tag in BLOCKS:
