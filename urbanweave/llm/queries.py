@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanweave.llm import (
-    byte_bpe, chat_format, embedding_dedup, html_text, line_dedup, minhash_dedup, packing, quality_model, quality_rules, token_counts,
+    byte_bpe, chat_format, embedding_dedup, hard_negatives, html_text, line_dedup, lm_score, minhash_dedup, packing, phrases, quality_model, quality_rules,
+    token_counts,
 )
 from urbanweave.llm.common import table
 
@@ -130,3 +131,68 @@ def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op11_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document under the n-gram model of those outside the held-out fold."""
+    return lm_score.score_corpus(table(spark, sf, "documents"))
+
+
+@query
+def op12_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    """Fixed phrases of each language."""
+    return phrases.collocations(table(spark, sf, "documents"))
+
+
+ORACLES["op12_phrases"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang, string_split(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ.,:;!?' || chr(10) || chr(11) || chr(12) || chr(13) || chr(9),
+             'abcdefghijklmnopqrstuvwxyz' || repeat(chr(10), 10) || ' '), chr(10)) AS ps FROM documents),
+p AS (SELECT rid, lang, unnest(ps) AS piece, generate_subscripts(ps, 1) AS pno FROM d),
+s AS (SELECT rid, lang, pno, string_split(piece, ' ') AS ws FROM p),
+t AS (SELECT rid, lang, pno, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM s),
+u AS (SELECT lang, w AS w1, lead(w, 1) OVER x AS w2, lead(w, 2) OVER x AS w3, lead(w, 3) OVER x AS w4
+      FROM t WHERE w <> '' WINDOW x AS (PARTITION BY rid, pno ORDER BY pos)),
+tot AS (SELECT lang, count(*) AS n FROM u GROUP BY lang),
+g AS (SELECT lang, 1 AS k, w1, NULL AS w2, NULL AS w3, NULL AS w4, count(*) AS a FROM u GROUP BY lang, w1 HAVING count(*) >= 30
+      UNION ALL SELECT lang, 2, w1, w2, NULL, NULL, count(*) FROM u WHERE w2 IS NOT NULL GROUP BY lang, w1, w2 HAVING count(*) >= 30
+      UNION ALL SELECT lang, 3, w1, w2, w3, NULL, count(*) FROM u WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3 HAVING count(*) >= 30
+      UNION ALL SELECT lang, 4, w1, w2, w3, w4, count(*) FROM u WHERE w4 IS NOT NULL GROUP BY lang, w1, w2, w3, w4 HAVING count(*) >= 30),
+f AS (SELECT lang, k, w1, w2, w3, w4, a, concat_ws(' ', w1, w2, w3, w4) AS phrase FROM g),
+inner_ AS (SELECT lang, a, w1 || ' ' || w2 AS phrase FROM f WHERE k >= 3 UNION ALL SELECT lang, a, w2 || ' ' || w3 FROM f WHERE k >= 3
+           UNION ALL SELECT lang, a, w3 || ' ' || w4 FROM f WHERE k = 4
+           UNION ALL SELECT lang, a, w1 || ' ' || w2 || ' ' || w3 FROM f WHERE k = 4 UNION ALL SELECT lang, a, w2 || ' ' || w3 || ' ' || w4 FROM f WHERE k = 4),
+m AS (SELECT lang, phrase, max(a) AS longer FROM inner_ GROUP BY lang, phrase),
+c AS (SELECT f.lang, f.phrase, f.a, f.k, f.w1, f.w2, f.w3, f.w4 FROM f LEFT JOIN m ON f.lang = m.lang AND f.phrase = m.phrase
+      WHERE f.k > 1 AND (m.longer IS NULL OR 100 * m.longer < 80 * f.a)),
+cut AS (SELECT lang, phrase, a, 1 AS j, w1 AS head, concat_ws(' ', w2, w3, w4) AS tail FROM c
+        UNION ALL SELECT lang, phrase, a, 2, w1 || ' ' || w2, concat_ws(' ', w3, w4) FROM c WHERE k >= 3
+        UNION ALL SELECT lang, phrase, a, 3, w1 || ' ' || w2 || ' ' || w3, w4 FROM c WHERE k = 4),
+sc AS (SELECT cut.lang, cut.phrase, cut.a, cut.j, h.a AS l, t.a AS r, CAST(2000000 * CAST(cut.a AS HUGEINT) // (CAST(h.a AS HUGEINT) + t.a) AS BIGINT) AS score
+       FROM cut JOIN f h ON h.lang = cut.lang AND h.phrase = cut.head JOIN f t ON t.lang = cut.lang AND t.phrase = cut.tail),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS rn FROM sc),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score FROM best WHERE rn = 1)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN tot ON tot.lang = ranked.lang WHERE rank <= 2000
+"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Hard negatives of each anchor and positive."""
+    return hard_negatives.hard_negatives(table(spark, sf, "embeddings"))
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL),
+x AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS d, CAST(floor(256 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS q FROM e),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(sum(a.q * b.q) AS BIGINT) AS score
+      FROM x a JOIN x b ON a.d = b.d WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id GROUP BY a.vec_id, b.vec_id, a.label = b.label),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM s WHERE same),
+n AS (SELECT p.anchor_id, p.positive_id, p.positive_score, s.id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+      WHERE p.place <= 5 AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
