@@ -157,11 +157,10 @@ def nodes_of(stream: Stream, ids: np.ndarray, reader: Reader, level: int, lower:
         pairs, inverse = np.unique(back * width + stream.codes[at], return_inverse=True)
         found, disc, backoff = reader.search(k, parent[pairs // width], ids[pairs % width])
         node[at] = found[inverse]
-        if p is not None:
+        if p is not None:  # a pair with an unseen context keeps the shorter one's probability
+            scale = np.where(backoff > 0, backoff, 1.0)
             p = p.copy()
-            seen = backoff > 0
-            mixed_p = np.where(seen[inverse], disc[inverse] + backoff[inverse] * p[at], p[at])
-            p[at] = mixed_p
+            p[at] = disc[inverse] + scale[inverse] * p[at]
     return node, p
 
 

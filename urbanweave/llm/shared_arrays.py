@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 
 from urbanweave.session import use_checkpoint_dir
 
-BLOCK_BYTES = 16 << 20  # of text that one block gathers
+BLOCK_BYTES = 6 << 20  # of text that one block gathers
 ALIGN = 64
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
