@@ -11,14 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from urbanweave.llm.common import ascii_lower, text_of, words_of
+from urbanweave.llm.common import ascii_lower, stored, text_of, words_of
 from urbanweave.operators.spatial import components
 from urbanweave.session import cut_lineage
 
 KEPT = 64  # values of a sketch
 SIGMAS = 5.0
 SMALL = 24  # a list up to this long gives all its pairs
-FIRST = 2  # pairs per document that are verified first
+FIRST = 2  # orders that name a list's first members, and pairs per document that are verified first
 BLOCK = 256
 
 
@@ -90,13 +90,18 @@ def inverted_lists(sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def first_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of short lists; in long ones each member with the first and with the one before, in a random order."""
+    """All pairs of short lists; in long ones each member with the first of the list, in ``FIRST`` orders of all ids.
+
+    The orders are the same in every list and the firsts are minima (combined map-side), so the lists that a group of
+    near copies shares name the same few firsts, and a member keeps a few edges however many lists it is in.
+    """
     short = lists.where(F.col("len") <= SMALL).select("v", "id", "h1")
     other = short.toDF("v", "id2", "h2")
     pairs = short.join(other, "v").where("id < id2").select(F.col("id").alias("a"), F.col("id2").alias("b"))
-    order = W.partitionBy("v").orderBy(F.xxhash64("v", "id"), "id")
-    far = lists.where(F.col("len") > SMALL).select("id", F.lag("id").over(order).alias("before"), F.first("id").over(order).alias("first"))
-    far = far.select("id", F.explode(F.array("before", "first")).alias("o")).where("o is not null and o <> id")
+    far = lists.where(F.col("len") > SMALL)
+    firsts = [F.min(F.struct(F.xxhash64(F.lit(k), "id").alias("order"), "id"))["id"] for k in range(FIRST)]
+    far = far.join(far.groupBy("v").agg(F.array_distinct(F.array(*firsts)).alias("firsts")), "v")
+    far = far.select("id", F.explode("firsts").alias("o")).where("o <> id").distinct()
     return pairs.unionByName(far.select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b"))).distinct()
 
 
@@ -229,10 +234,10 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     links with nothing, has a null component and is kept. An empty table gives an empty one; other columns are not read.
 
     Documents with equal sets form one class, whatever their number, and classes are compared. Long inverted lists are
-    not expanded: members meet the list's first and their neighbour, and only where parts stay apart do the members
+    not expanded: members meet the list's first ones, and only where parts stay apart do the members
     outside the largest one meet the others, in blocks that emit forests. All links are confirmed on full sets.
     """
-    all_rows = cut_lineage(sketches(docs, id_col, text_col, rule))
+    all_rows = stored(sketches(docs, id_col, text_col, rule))
     sets = all_rows.where("n > 0 and id is not null").groupBy("h1", "h2").agg(
         F.min(F.struct("id", "t")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("copies")
     )
@@ -241,7 +246,7 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     near = cut_lineage(lists.select("id", "h1").distinct().join(sets, ["id", "h1"]).select("id", "h1", "t", "n", "sketch"))
     wanted = near.select("id", "t")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), ascii_lower(text_of(text_col)).alias("text"), F.xxhash64(text_of(text_col)).alias("t"))
-    texts = cut_lineage(texts.join(wanted, ["id", "t"]).groupBy("id", "t").agg(F.first("text").alias("text")).select("id", "text"))
+    texts = stored(texts.join(wanted, ["id", "t"]).groupBy("id", "t").agg(F.first("text").alias("text")).select("id", "text"))
     pairs = cut_lineage(estimated(first_pairs(lists), near, rule))
     edges = cut_lineage(candidate_edges(lists, near, pairs, rule))
     links = best_links(pairs, texts, rule)
