@@ -136,7 +136,7 @@ def best_links(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
 
 
 def spanning(left: np.ndarray, right: np.ndarray, mask: np.ndarray) -> pd.DataFrame:
-    """Edges of a forest over the pairs of a block, so a block emits fewer rows than it has members."""
+    """Edges of a forest over the parts that meet in a block, so a block emits fewer rows than it has members."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -171,21 +171,44 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.n
 
 
 def met_in_blocks(members: DataFrame, enough) -> DataFrame:
-    """Pairs ``a``, ``b`` that ``enough`` accepts among ``members`` (``g``, ``id``, ``c``, ``values``) of one group ``g`` and different ``c``.
+    """Edges ``a``, ``b`` between parts ``c`` that have a pair which ``enough`` accepts in a group ``g`` of ``members`` (``g``, ``id``, ``c``, ``values``).
 
-    The members outside the largest part ``c`` of their group meet all its members, block by block; a group within one
-    part is done. Groups are split on both sides, and blocks emit forests, not pairs.
+    A part is named by one of its ids, the same in all groups. The members outside the largest part of their group meet
+    all its members, block by block, in rounds: the first meets one block, each next one twice as many, and members
+    that a round joins to the largest part meet no more. Blocks emit forests of parts, so what a round makes follows the
+    members that are still apart, not the pairs. A group of one block is done in one round.
     """
-    members = cut_lineage(members)
-    parts = members.groupBy("g", "c").agg(F.count("*").alias("k")).groupBy("g").agg(
-        F.max(F.struct("k", "c"))["c"].alias("most"), F.count("*").alias("n_parts"), F.sum("k").alias("size")
-    )
-    members = members.join(cut_lineage(parts.where("n_parts > 1")), "g")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    part = F.pmod(F.xxhash64("id", "g"), blocks).cast("int")
-    span = F.explode(F.sequence(F.lit(0), blocks - 1))
-    stray = members.where("c <> most").select("g", part.alias("x"), span.alias("y"), "id", "c", "values")
-    other = members.select("g", span.alias("x"), part.alias("y"), "id", "c", "values")
+    members = stored(members)
+    now = cut_lineage(members.select("id", "c").distinct())
+    found, low, high = None, 0, 1
+    while True:
+        rows = members.drop("c").join(now, "id")
+        parts = rows.groupBy("g", "c").agg(F.count("*").alias("k")).groupBy("g").agg(
+            F.max(F.struct("k", "c"))["c"].alias("most"), F.count("*").alias("n_parts"), F.sum("k").alias("size")
+        )
+        parts = parts.where("n_parts > 1").select("g", "most", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+        parts = cut_lineage(parts.where(F.col("blocks") > low))
+        most = parts.agg(F.max("blocks")).first()[0]
+        if most is None:
+            break
+        new = cut_lineage(round_of(rows.join(parts, "g"), low, high, enough))
+        found = new if found is None else found.unionByName(new)
+        if most <= high:
+            break
+        now = cut_lineage(named(now.toDF("node", "id"), new, "c").select(F.col("node").alias("id"), "c"))
+        low, high = high, 2 * high + 1
+    return found if found is not None else now.select(F.col("id").alias("a"), F.col("c").alias("b")).limit(0)
+
+
+def round_of(members: DataFrame, low: int, high: int, enough) -> DataFrame:
+    """The meetings of one round: block x of the members that are apart with the blocks x + ``low`` to x + ``high`` - 1."""
+    blocks = F.col("blocks")
+    own = F.pmod(F.xxhash64("id", "g"), blocks).cast("int")
+    step = F.explode(F.sequence(F.lit(low), F.least(blocks, F.lit(high)) - 1))
+    stray = members.where("c <> most").select("g", own.alias("x"), "blocks", step.alias("step"), "id", "c", "values")
+    stray = stray.select("g", "x", F.pmod(F.col("x") + F.col("step"), blocks).alias("y"), "id", "c", "values")
+    other = members.select("g", own.alias("y"), "blocks", step.alias("step"), "id", "c", "values")
+    other = other.select("g", F.pmod(F.col("y") - F.col("step"), blocks).alias("x"), "y", "id", "c", "values")
     other = other.toDF(*[f"{k}_" for k in other.columns])
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -193,10 +216,9 @@ def met_in_blocks(members: DataFrame, enough) -> DataFrame:
             return pd.DataFrame({"a": [], "b": []}).astype("int64")
         counts = shared_counts(list(left["values"]), list(right["values_"]))
         apart = left["c"].to_numpy()[:, None] != right["c_"].to_numpy()[None, :]
-        return spanning(left["id"].to_numpy(), right["id_"].to_numpy(), enough(*counts) & apart)
+        return spanning(left["c"].to_numpy(), right["c_"].to_numpy(), enough(*counts) & apart)
 
-    met = stray.groupBy("g", "x", "y").cogroup(other.groupBy("g_", "x_", "y_")).applyInPandas(meet, "a long, b long")
-    return cut_lineage(met)
+    return stray.groupBy("g", "x", "y").cogroup(other.groupBy("g_", "x_", "y_")).applyInPandas(meet, "a long, b long")
 
 
 def named(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
