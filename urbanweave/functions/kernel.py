@@ -6,9 +6,8 @@ is at most one convex piece per cutter edge.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -198,8 +197,8 @@ def overlap_area(a: pa.Array, b: pa.Array) -> pa.Array:
 
 @F.arrow_udf(lines.PARTS)
 def ring_parts(rings: pa.Array) -> pa.Array:
-    """Convex parts of a closed ring."""
-    return pa.array([points_of(convex_parts([to_ring(r)])) for r in rings.to_pylist()], PARTS_ARROW)
+    """Convex parts of a closed ring; none for null."""
+    return pa.array([[] if r is None else points_of(convex_parts([to_ring(r)])) for r in rings.to_pylist()], PARTS_ARROW)
 
 
 @F.arrow_udf(lines.PARTS)
@@ -232,8 +231,9 @@ def parts_area(parts: Column) -> Column:
 
 @lines.bound
 def has_crossing(ring: Column) -> Column:
-    """The ring crosses itself (two edges meet inside both), or has no area."""
+    """The ring meets itself: two edges cross, a vertex comes twice, or one lies on another edge."""
     edges = F.filter(lines.segments(ring), lambda s: s["len"] > 0)
+    body = F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(0)))
 
     def side(s: Column, x: Column, y: Column) -> Column:
         return (s["x1"] - s["x0"]) * (y - s["y0"]) - (s["y1"] - s["y0"]) * (x - s["x0"])
@@ -243,62 +243,110 @@ def has_crossing(ring: Column) -> Column:
             side(b, a["x0"], a["y0"]) * side(b, a["x1"], a["y1"]) < 0
         )
 
-    return F.exists(edges, lambda a: F.exists(edges, lambda b: crosses(a, b)))
+    def touches(a: Column, b: Column) -> Column:
+        along = (b["x0"] - a["x0"]) * (b["x0"] - a["x1"]) + (b["y0"] - a["y0"]) * (b["y0"] - a["y1"])
+        return (side(a, b["x0"], b["y0"]) == 0) & (along < 0)
+
+    met = F.exists(edges, lambda a: F.exists(edges, lambda b: crosses(a, b) | touches(a, b)))
+    return met | (F.size(F.array_distinct(body)) < F.size(body))
 
 
 def repair_rings(df: DataFrame) -> DataFrame:
-    """Replace a ``ring`` that crosses itself by its largest valid part's outline; drop rings without area.
+    """Replace a ``ring`` that meets itself by its valid parts, one row each with ``part_no`` and the area of the ``others``.
 
-    Valid rings, nearly all of them, never leave the JVM.
+    Valid rings, nearly all of them, are one part; rings without area drop out. One pass: Python sees null for a valid
+    ring.
     """
-    crossing = F.when(lines.is_box(F.col("ring")), F.lit(False)).otherwise(has_crossing(F.col("ring")))
-    checked = df.withColumn("_bad", crossing)
-    good = checked.where("not _bad").drop("_bad").where(lines.ring_area(F.col("ring")) > 0)
-    bad = checked.where("_bad").drop("_bad")
-    return good.unionByName(bad.mapInPandas(_repair_batches, bad.schema))
-
-
-def outlines(ring: Ring) -> list[Ring]:
-    """Simple outlines that a self-crossing ring falls into, cut at its crossings."""
-    loops, pending = [], [ring]
-    while pending:
-        loop = pending.pop()
-        n = len(loop)
-        found = None
-        for i in range(n):
-            a, b = loop[i], loop[(i + 1) % n]
-            for j in range(i + 2, n):
-                if (j + 1) % n == i:
-                    continue
-                c, d = loop[j], loop[(j + 1) % n]
-                rx, ry, sx, sy = b[0] - a[0], b[1] - a[1], d[0] - c[0], d[1] - c[1]
-                den = rx * sy - ry * sx
-                if abs(den) <= EPS:
-                    continue
-                t = ((c[0] - a[0]) * sy - (c[1] - a[1]) * sx) / den
-                u = ((c[0] - a[0]) * ry - (c[1] - a[1]) * rx) / den
-                if EPS < t < 1 - EPS and EPS < u < 1 - EPS:
-                    found = (i, j, (a[0] + t * rx, a[1] + t * ry))
-                    break
-            if found:
-                break
-        if found is None:
-            loops.append(loop)
-        else:
-            i, j, p = found
-            pending.append([p, *loop[i + 1 : j + 1]])
-            pending.append([*loop[: i + 1], p, *loop[j + 1 :]])
-    return [r if area2(r) > 0 else r[::-1] for r in loops if len(r) >= 3 and abs(area2(r)) > EPS]
-
-
-def _repair_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        keep, rings = [], []
-        for i, points in enumerate(pdf["ring"]):
-            loops = outlines(to_ring(points))
-            if loops:
-                keep.append(i)
-                rings.append(to_points(max(loops, key=area2)))
-        out = pdf.iloc[keep].copy()
-        out["ring"] = pd.Series(rings, index=out.index, dtype="object")
-        yield out
+    bad = F.when(lines.is_box(F.col("ring")), F.lit(False)).otherwise(has_crossing(F.col("ring")))
+    marked = df.withColumn("_bad", bad)
+    parts = add(marked, "_parts", valid_parts, F.when(F.col("_bad"), F.col("ring")))
+    parts = parts.withColumn("_parts", F.when(F.col("_bad"), F.col("_parts")).otherwise(F.array("ring")))
+    total = F.aggregate("_parts", F.lit(0.0), lambda acc, r: acc + lines.ring_area(r))
+    columns = [c for c in df.columns if c != "ring"]
+    rows = parts.withColumn("_total", total).select(*columns, "_total", F.posexplode("_parts").alias("part_no", "ring"))
+    rows = rows.where(lines.ring_area(F.col("ring")) > 0).withColumn("others", F.col("_total") - lines.ring_area(F.col("ring")))
+    return rows.select(*df.columns, "part_no", "others")
+
+
+@F.arrow_udf(lines.PARTS)
+def valid_parts(rings: pa.Array) -> pa.Array:
+    """Valid parts of a ring that meets itself; none for null."""
+    return pa.array([[] if r is None else points_of(odd_faces(to_ring(r))) for r in rings.to_pylist()], PARTS_ARROW)
+
+
+def noded(ring: Ring) -> list[tuple[float, float]]:
+    """The closed walk of a ring with a vertex wherever it meets itself, rounded so that equal places are equal."""
+    n, at = len(ring), [[(0.0, ring[i])] for i in range(len(ring))]
+
+    def place(i: int, p: tuple[float, float]) -> float:
+        (ax, ay), (bx, by) = ring[i], ring[(i + 1) % n]
+        size = (bx - ax) ** 2 + (by - ay) ** 2
+        return ((p[0] - ax) * (bx - ax) + (p[1] - ay) * (by - ay)) / size if size else 0.0
+
+    for i in range(n):
+        (ax, ay), (bx, by) = ring[i], ring[(i + 1) % n]
+        rx, ry = bx - ax, by - ay
+        size = (rx * rx + ry * ry) ** 0.5
+        if not size:
+            continue
+        for j in range(n):
+            if j == i:
+                continue
+            (cx, cy), (dx, dy) = ring[j], ring[(j + 1) % n]
+            if abs(rx * (cy - ay) - ry * (cx - ax)) <= EPS * size and 0.0 < place(i, (cx, cy)) < 1.0:
+                at[i].append((place(i, (cx, cy)), (cx, cy)))
+            den = rx * (dy - cy) - ry * (dx - cx)
+            if j > i and abs(den) > EPS:
+                t = ((cx - ax) * (dy - cy) - (cy - ay) * (dx - cx)) / den
+                u = ((cx - ax) * ry - (cy - ay) * rx) / den
+                if 0.0 < t < 1.0 and 0.0 < u < 1.0:
+                    p = (ax + t * rx, ay + t * ry)
+                    at[i].append((t, p))
+                    at[j].append((u, p))
+    walk = [(round(x, 7), round(y, 7)) for marks in at for _, (x, y) in sorted(marks)]
+    return [p for p, q in zip(walk, walk[1:] + walk[:1]) if p != q]
+
+
+def odd_faces(ring: Ring) -> list[Ring]:
+    """Outlines of the faces that a ring encloses an odd number of times (the even-odd rule).
+
+    The walk is a connected planar graph, so each bounded face has one outline: at every node the walk around a face
+    takes the next edge clockwise. Crossing an edge changes the winding by the times the ring runs along it.
+    """
+    walk = noded(ring)
+    times: dict[tuple, int] = {}
+    for p, q in zip(walk, walk[1:] + walk[:1]):
+        times[p, q] = times.get((p, q), 0) + 1
+        times[q, p] = times.get((q, p), 0) - 1
+    around: dict[tuple, list] = {}
+    for p, q in times:
+        around.setdefault(p, []).append(q)
+    before = {}
+    for p, ends in around.items():
+        ends.sort(key=lambda q: math.atan2(q[1] - p[1], q[0] - p[0]))
+        before |= {(p, q): ends[k - 1] for k, q in enumerate(ends)}
+    face: dict[tuple, int] = {}
+    cycles = []
+    for edge in times:
+        if edge not in face:
+            cycle = []
+            while edge not in face:
+                face[edge] = len(cycles)
+                cycle.append(edge[0])
+                edge = (edge[1], before[edge[1], edge[0]])
+            cycles.append(cycle)
+    if not cycles:
+        return []
+    areas = [area2(c) for c in cycles]
+    beside: dict[int, list] = {}
+    for (p, q), k in times.items():
+        beside.setdefault(face[q, p], []).append((face[p, q], k))  # left of p-q, seen from its right
+    start = min(range(len(cycles)), key=areas.__getitem__)  # the unbounded face runs clockwise
+    winding, todo = {start: 0}, [start]
+    while todo:
+        here = todo.pop()
+        for other, k in beside.get(here, []):
+            if other not in winding:
+                winding[other] = winding[here] + k
+                todo.append(other)
+    return [c for k, c in enumerate(cycles) if winding[k] % 2 and areas[k] > EPS]

@@ -28,7 +28,10 @@ def carriageway_segments(ways: DataFrame, scale: float = 1.0, step: float = K.CA
 
 
 def footprints(building_ways: DataFrame) -> DataFrame:
-    """Closed building ways with a valid ring: ``(osm_id, ord, tags, ring)``; invalid rings are repaired."""
+    """Closed building ways with a valid ring: ``(osm_id, ord, tags, ring, part_no, others)``.
+
+    An outline that meets itself gives a row per valid part, with the area of its other parts.
+    """
     closed = building_ways.where(tags.has_tag("building") & F.col("closed") & (F.size("coords") >= 4))
     return kernel.repair_rings(closed.select("osm_id", "ord", "tags", F.col("coords").alias("ring")))
 
@@ -76,10 +79,11 @@ def polygon_hits(rings: DataFrame, roads: DataFrame) -> DataFrame:
 
 
 def inset(rings: DataFrame) -> DataFrame:
-    """Move the walls inwards a little; keep the ring where that fails; drop footprints that are too small."""
+    """Move the walls inwards a little; keep the ring where that fails; drop footprints that are too small with all their parts."""
     inner = F.coalesce(lines.inset_ring(F.col("ring"), K.FOOTPRINT_INSET_M), F.col("ring"))
     sized = rings.withColumn("ring", inner).withColumn("area", lines.ring_area(F.col("ring")))
-    return sized.where(F.col("area") >= K.MIN_FOOTPRINT_AREA_M2)
+    others = F.col("others") if "others" in rings.columns else F.lit(0.0)
+    return sized.where(F.col("area") + others >= K.MIN_FOOTPRINT_AREA_M2)
 
 
 def footprints_after_roads(building_ways: DataFrame, segments: DataFrame) -> DataFrame:
@@ -118,7 +122,8 @@ def enclosed_ids(items: DataFrame) -> DataFrame:
 
     Copies of one outline form a shape first, so copies never pair with each other. A member of a shape can only
     stay if no larger cover comes later in the file, hence only the first member after the last larger cover is a
-    candidate; every other member is dropped. Candidates then block each other in file order.
+    candidate; every other member is dropped. Candidates then block each other in file order. A building of several
+    parts stays with all of them if one stays.
     """
     shape = F.md5(F.col("ring").cast("string"))
     keyed = cut_lineage(items.select("osm_id", "ord", "ring", "area", shape.alias("shape")))

@@ -14,12 +14,10 @@ AREA_CELL_M = 100.0
 
 
 def closed_areas(ways: DataFrame) -> DataFrame:
-    """Closed ways as convex parts; outlines that cross themselves are repaired."""
+    """Closed ways as convex parts: all that an outline encloses an odd number of times, also where it crosses itself."""
     closed = ways.where(F.col("closed") & (F.size("coords") >= 4))
-    rings = kernel.repair_rings(closed.select("osm_id", "ord", "tags", F.col("coords").alias("ring")))
-    boxes = rings.where(lines.is_box(F.col("ring"))).select("osm_id", "ord", "tags", F.array("ring").alias("parts"))
-    others = kernel.add(rings.where(~lines.is_box(F.col("ring"))), "parts", kernel.ring_parts, "ring")
-    return boxes.unionByName(others.select("osm_id", "ord", "tags", "parts"))
+    parts = ring_to_parts(closed.select("osm_id", "ord", "tags", F.col("coords").alias("ring")))
+    return parts.where(F.size("parts") > 0).select("osm_id", "ord", "tags", "parts")
 
 
 def water_areas(ways: DataFrame) -> DataFrame:
@@ -75,9 +73,10 @@ def subtract_discs(shapes: DataFrame, discs: DataFrame) -> DataFrame:
 
 
 def ring_to_parts(items: DataFrame) -> DataFrame:
-    boxes = items.where(lines.is_box(F.col("ring"))).withColumn("parts", F.array("ring"))
-    others = kernel.add(items.where(~lines.is_box(F.col("ring"))), "parts", kernel.ring_parts, "ring")
-    return boxes.unionByName(others)
+    """Add the convex ``parts`` of each ``ring``. One pass: Python sees null for a rectangle."""
+    other = F.when(~lines.is_box(F.col("ring")), F.col("ring"))
+    cut = kernel.add(items.withColumn("_other", other), "parts", kernel.ring_parts, "_other")
+    return cut.withColumn("parts", F.when(F.col("_other").isNull(), F.array("ring")).otherwise(F.col("parts"))).drop("_other")
 
 
 def nav_layers(

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from urbanweave.functions import bends, kernel, lines, tags
-from urbanweave.operators import spatial
+from urbanweave.functions import kernel, lines, tags
+from urbanweave.operators import ribbons, spatial
 from urbanweave.operators.buildings import _boxed
 from urbanweave.session import cut_lineage
 
@@ -216,9 +216,12 @@ def pavement(ways: DataFrame) -> DataFrame:
     """Pavement of highway ways: merged chains with rounded bends as convex ``parts``."""
     usable = ways.where(tags.is_bufferable())
     merged = merge_chains(usable, node_degree(ways))
-    smooth = bends.smooth(merged).where(lines.length(F.col("coords")) > 0)
-    ring = lines.ribbon(F.col("coords"), F.col("widths"))
-    return kernel.add(smooth, "parts", kernel.ring_parts, ring)
+    chains = cut_lineage(merged.where(lines.length(F.col("coords")) > 0))
+    vertices = cut_lineage(ribbons.smooth_vertices(chains))
+    rows = vertices.groupBy("ord").agg(F.array_sort(F.collect_list(F.struct(*ribbons.ORDER, "x", "y", "w"))).alias("s"))
+    line, wide = F.transform("s", lambda q: lines.pt(q["x"], q["y"])), F.transform("s", lambda q: q["w"])
+    smooth = chains.drop("coords", "widths").join(rows.select("ord", line.alias("coords"), wide.alias("widths")), "ord")
+    return ribbons.with_parts(smooth.select(*chains.columns), vertices)
 
 
 def rank_order(ways: DataFrame) -> Column:

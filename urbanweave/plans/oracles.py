@@ -612,6 +612,31 @@ c AS (SELECT CASE WHEN style LIKE '%yellow%' THEN 'y' ELSE 'w' END AS color, b -
   CAST(floor((sx + ux * (a + b) / 2 - uy * off) / 400) AS BIGINT) AS ix, CAST(floor((sy + uy * (a + b) / 2 + ux * off) / 400) AS BIGINT) AS iy FROM paint)
 SELECT color, 'c' || CASE WHEN ix < 0 THEN 'n' ELSE '' END || CAST(abs(ix) AS VARCHAR) || '_' || CASE WHEN iy < 0 THEN 'n' ELSE '' END
   || CAST(abs(iy) AS VARCHAR) AS cell, count(*) AS n, round(sum(ln * 0.16e0), 2) AS area FROM c GROUP BY color, ix, iy""")
+ORACLES["blended_widths"] = t("way_nodes sizes", """
+AND v AS (SELECT way_id, seq, n_vertices, 6.0e0 + (seq % 2) * (way_id % 13) AS w, CAST(way_id % 13 AS DOUBLE) AS change FROM way_nodes JOIN sizes USING (way_id)),
+st AS (SELECT way_id, change, seq AS j, w FROM v WHERE change = 0
+  UNION ALL SELECT way_id, change, 0, w FROM v WHERE change > 0 AND seq = 0
+  UNION ALL SELECT way_id, change, 25 * (seq - 1) + m, w FROM v, (SELECT unnest(range(1, 26)) AS m) s WHERE change > 0 AND seq > 0),
+cum AS (SELECT *, CAST(floor(least(20.0e0, greatest(10.0e0, 2 * change)) / 2) AS BIGINT) AS r,
+  sum(w) OVER (PARTITION BY way_id ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s, max(j) OVER (PARTITION BY way_id) AS last FROM st),
+mean AS (SELECT c.way_id, CASE WHEN c.change = 0 THEN c.w ELSE (hi.s - coalesce(lo.s, 0.0e0)) / (least(c.j + c.r, c.last) - greatest(c.j - c.r, 0) + 1) END AS w
+  FROM cum c JOIN cum hi ON hi.way_id = c.way_id AND hi.j = least(c.j + c.r, c.last) LEFT JOIN cum lo ON lo.way_id = c.way_id AND lo.j = c.j - c.r - 1)
+SELECT way_id AS osm_id, count(*) AS n_stations, round(sum(w), 3) AS sum_width, round(min(w), 4) AS least, round(max(w), 4) AS most FROM mean GROUP BY way_id""")
+ORACLES["ribbon_area"] = t("way_nodes roads", """
+AND way AS (SELECT way_id, n_vertices, width, least(16.0e0, greatest(4.0e0, width * 0.9e0)) AS r, way_id % 3 = 0 AND n_vertices > 3 AS bent FROM roads),
+sized AS (SELECT *, greatest(16, CAST(ceil(r * (pi() / 2) / 0.35e0) AS BIGINT)) AS steps FROM way),
+pts AS (
+  SELECT s.way_id, seq AS i, CAST(0 AS BIGINT) AS k, 50.0e0 * CASE WHEN bent THEN least(seq, 2) ELSE seq END AS x,
+    50.0e0 * CASE WHEN bent THEN greatest(seq - 2, 0) ELSE 0 END AS y FROM sized s JOIN way_nodes v USING (way_id) WHERE NOT (bent AND seq = 2)
+  UNION ALL SELECT way_id, 2, k, 100.0e0 - r + r * sin(pi() / 2 * k / steps), r - r * cos(pi() / 2 * k / steps)
+    FROM sized, (SELECT unnest(range(0, 200)) AS k) g WHERE bent AND k <= steps),
+nb AS (SELECT *, coalesce(lead(x) OVER o, x) - coalesce(lag(x) OVER o, x) AS dx, coalesce(lead(y) OVER o, y) - coalesce(lag(y) OVER o, y) AS dy
+  FROM pts WINDOW o AS (PARTITION BY way_id ORDER BY i, k)),
+edge AS (SELECT nb.way_id, i, k, x - dy / sqrt(dx * dx + dy * dy) * h AS lx, y + dx / sqrt(dx * dx + dy * dy) * h AS ly,
+    x + dy / sqrt(dx * dx + dy * dy) * h AS rx, y - dx / sqrt(dx * dx + dy * dy) * h AS ry
+  FROM nb JOIN (SELECT way_id, greatest(width, 0.8e0) / 2 AS h FROM sized) USING (way_id)),
+quad AS (SELECT *, lag(lx) OVER o AS px, lag(ly) OVER o AS py, lag(rx) OVER o AS qx, lag(ry) OVER o AS qy FROM edge WINDOW o AS (PARTITION BY way_id ORDER BY i, k))
+SELECT way_id AS osm_id, count(*) AS n_strips, round(sum((rx - px) * (ly - qy) - (lx - qx) * (ry - py)) / 2, 2) AS area FROM quad WHERE px IS NOT NULL GROUP BY way_id""")
 ORACLES["pieces_between_junctions"] = t("way_nodes roads segs degree", """
 AND win AS (
   SELECT r.way_id, r.len, r.n_vertices, greatest(0.0e0, 50.0e0 * seq - greatest(3.0e0, width * 0.45e0)) AS a,
@@ -628,6 +653,11 @@ SELECT p.way_id AS osm_id, round(p.b - p.a, 3) AS len,
   round(e.xa + (e.xb - e.xa) * (p.b - 50.0e0 * e.seq) / 50.0e0, 3) + 0.0 AS x1, round(e.ya + (e.yb - e.ya) * (p.b - 50.0e0 * e.seq) / 50.0e0, 3) + 0.0 AS y1
 FROM pc p JOIN segs s ON s.way_id = p.way_id AND s.seq = CAST(floor(p.a / 50) AS BIGINT)
   JOIN segs e ON e.way_id = p.way_id AND e.seq = CAST(ceil(p.b / 50) AS BIGINT) - 1""")
+ORACLES["pieces_off_vertices"] = ORACLES["pieces_between_junctions"]
+ORACLES["repaired_outlines"] = t("buildings", """
+AND b AS (SELECT osm_id, (x1 - x0) * (y1 - y0) AS area, CASE WHEN osm_id % 3 = 2 THEN 1 ELSE 2 END AS n FROM buildings)
+SELECT osm_id, CAST(unnest(range(0, n)) AS INTEGER) AS part_no, round(area / (n * n * 1.0e0), 3) AS area,
+  round(CASE WHEN n = 1 THEN 0.0e0 ELSE area / 4.0e0 END, 3) AS others FROM b""")
 ORACLES["junction_candidates"] = t("way_nodes roads segs degree", """
 AND ring AS (SELECT DISTINCT x, y FROM way_nodes JOIN roads USING (way_id) WHERE junction IS NOT NULL AND highway IN ('motorway', 'primary')),
 visit AS (SELECT v.x, v.y, way_id, width, highway IN ('motorway', 'primary') AS prim,

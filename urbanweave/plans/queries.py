@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from urbanweave.functions import constants as K
 from urbanweave.functions import frame, kernel, lines, tags
-from urbanweave.operators import assets, buildings, extent, junctions, markings, mesh, osm, overlay, placement, raster, roads
+from urbanweave.operators import assets, buildings, extent, junctions, markings, mesh, osm, overlay, placement, raster, ribbons, roads
 from urbanweave.plans import fixtures as fx
 
 QUERIES: dict = {}
@@ -637,9 +637,26 @@ def pavement_area(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def pieces_between_junctions(spark: SparkSession, sf: str) -> DataFrame:
-    ways = fx.ways(spark, sf)
-    rows = markings.split_at_junctions(ways, roads.node_degree(ways))
+def blended_widths(spark: SparkSession, sf: str) -> DataFrame:
+    """Stations of ways whose vertices alternate between two widths."""
+    w = F.transform("coords", lambda p, i: F.lit(6.0) + i % 2 * (F.col("osm_id") % 13))
+    rows = fx.ways(spark, sf).select("osm_id", "ord", F.posexplode(F.arrays_zip("coords", w.alias("w"))).alias("i", "v"))
+    rows = rows.select("ord", "i", F.lit(0).alias("k"), "v.coords.x", "v.coords.y", "v.w")
+    out = ribbons.blended(rows).groupBy("ord").agg(
+        F.count("*").alias("n_stations"), rnd(F.sum("w"), 3).alias("sum_width"), rnd(F.min("w"), 4).alias("least"), rnd(F.max("w"), 4).alias("most")
+    )
+    return out.withColumnRenamed("ord", "osm_id")
+
+
+@query
+def ribbon_area(spark: SparkSession, sf: str) -> DataFrame:
+    """Strips and area of each single way with its corner rounded."""
+    ways = fx.ways(spark, sf).withColumn("widths", F.array_repeat(tags.road_width(), F.size("coords")))
+    rows = ribbons.strips(ribbons.rounded(ways).withColumn("m", F.lit(1)))
+    return rows.groupBy(F.col("ord").alias("osm_id")).agg(F.count("*").alias("n_strips"), rnd(F.sum(lines.ring_area(F.col("part"))), 2).alias("area"))
+
+
+def piece_ends(rows: DataFrame) -> DataFrame:
     p = F.col("piece")
     return rows.select(
         "osm_id", rnd(lines.length(p), 3).alias("len"), rnd(lines.first(p)["x"], 3).alias("x0"), rnd(lines.first(p)["y"], 3).alias("y0"),
@@ -647,6 +664,34 @@ def pieces_between_junctions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def pieces_between_junctions(spark: SparkSession, sf: str) -> DataFrame:
+    ways = fx.ways(spark, sf)
+    return piece_ends(markings.split_at_junctions(ways, roads.node_degree(ways)))
+
+
+@query
+def pieces_off_vertices(spark: SparkSession, sf: str) -> DataFrame:
+    """The same ways without the vertices on their straight runs, so most junction nodes lie between vertices."""
+    ways = fx.ways(spark, sf)
+    bare = ways.withColumn("coords", lines.merge_straight(F.col("coords")))
+    return piece_ends(markings.split_at_junctions(bare, roads.node_degree(ways)))
+
+
+@query
+def repaired_outlines(spark: SparkSession, sf: str) -> DataFrame:
+    """Valid parts of outlines that cross themselves (bow ties), touch themselves at a vertex, or do neither."""
+    x0, y0, x1, y1 = (F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1"))
+    mx, my = (x0 + x1) / 2, (y0 + y1) / 2
+    box = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+    bow = [(x0, y0), (x1, y1), (x1, y0), (x0, y1), (x0, y0)]
+    eight = [(x0, y0), (mx, my), (x0, y1), (x1, y1), (mx, my), (x1, y0), (x0, y0)]
+    shape = lambda points: F.array(*[lines.pt(x, y) for x, y in points])
+    ring = F.when(F.col("osm_id") % 3 == 0, shape(bow)).when(F.col("osm_id") % 3 == 1, shape(eight)).otherwise(shape(box))
+    rows = kernel.repair_rings(fx.building_boxes(spark, sf).select("osm_id", ring.alias("ring")))
+    return rows.select("osm_id", F.col("part_no").cast("int").alias("part_no"), rnd(lines.ring_area(F.col("ring")), 3).alias("area"), rnd("others", 3).alias("others"))
+
+
 def straight_stripes(spark: SparkSession, sf: str) -> DataFrame:
     """Stripes of all ways' straight runs (one piece per run)."""
     ways = fx.ways(spark, sf).withColumn("coords", lines.merge_straight(F.col("coords")))
