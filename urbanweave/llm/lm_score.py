@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanweave.llm.ngram_trie import Level, level_arrays, restored
@@ -264,13 +264,13 @@ def train(docs: DataFrame, text: str = "text", order: int = ORDER) -> Model:
     return model
 
 
-def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Scores of each row: ``SCORES``, with ``held_out`` null where ``docs`` has no such column of its own.
+def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", held: Column | None = None) -> DataFrame:
+    """Scores of each row: ``SCORES``, with ``held`` as ``held_out`` (null without it); other columns are not read.
 
     A null text is an empty one and scores its end alone; repeated rows are scored alike. Words share a code if their
     64-bit hashes are equal. With no training text at all every token has probability 1, as ``(0 + 1) / (0 + 0 + 1)``.
     """
-    held = F.col("held_out") if "held_out" in docs.columns else F.lit(None).cast("boolean")
+    held = F.lit(None).cast("boolean") if held is None else held
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,4 +298,4 @@ def score_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", or
     """Scores of all rows under a model of those outside the held-out fold; a row without id is in no fold and is learned."""
     fold = F.pmod(F.crc32(F.col(doc_id).cast("long").cast("string").cast("binary")), F.lit(FOLDS)) == HELD_FOLD
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(fold, F.lit(False)).alias("held_out"))
-    return score(rows, train(rows.where(~F.col("held_out")), order=order))
+    return score(rows, train(rows.where(~F.col("held_out")), order=order), held=F.col("held_out"))

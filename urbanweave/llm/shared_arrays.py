@@ -124,9 +124,7 @@ def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
 
 def shard_rows(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
     """``shard, packed keys, packed counts`` of ascending ``keys``."""
-    order = np.argsort(shard, kind="stable")
-    names, starts = np.unique(shard[order], return_index=True)
-    for name, part in zip(names.tolist(), np.split(order, starts[1:]), strict=True):
+    for name, part in by_shard(shard):
         yield name, packed_keys(keys[part]), byte_planes(counts[part])
 
 
