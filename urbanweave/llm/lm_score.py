@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanweave.llm.ngram_trie import Level, level_arrays, restored
+from urbanweave.llm.ngram_trie import Level, level_arrays, restored, runs
 from urbanweave.llm.shared_arrays import (
     by_shard, byte_planes, found_in, from_planes, load, merged, mixed, new_folder, raw_texts, save, shard_count, shard_rows, text_blocks, word_hashes,
 )
@@ -84,7 +84,7 @@ class Reader:
         """Node (-1: not seen), discounted probability and backoff of ascending pairs of contexts and words (-1: unknown word)."""
         m = self.model
         node, p, backoff = np.full(len(parents), -1, "i8"), np.zeros(len(parents)), np.zeros(len(parents))
-        contexts, inverse = np.unique(parents, return_inverse=True)
+        contexts, inverse = runs(parents)
         place, is_heavy = found_in(contexts, m.heavy[level - 2][0])
         gamma = np.zeros(len(contexts))
         gamma[is_heavy] = self.heavy_backoff(level)[place[is_heavy]]
@@ -96,7 +96,7 @@ class Reader:
         for shard, at in by_shard(shard_of(parents[known], words[known], is_heavy[inverse[known]], m.shards)):
             if m.starts[level - 1][shard + 1] > m.starts[level - 1][shard]:
                 f, at = self.file(level, shard), known[at]
-                mine, back = np.unique(parents[at], return_inverse=True)
+                mine, back = runs(parents[at])
                 rank, there = f.contexts(mine)
                 at, rank = at[there[back]], rank[back][there[back]]
                 child, seen = f.children(rank, words[at])
