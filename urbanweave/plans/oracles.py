@@ -575,10 +575,8 @@ meet AS (SELECT DISTINCT a.id, b.osm_id AS b_id, greatest(a.x0, b.x0) AS cx0, le
 """
 ORACLES["areas_cut_by_buildings"] = t("areas buildings", _CUTTERS + _left_area("it", "meet") + """
 SELECT id AS osm_id, round(area, 3) AS area FROM remains WHERE area > 0""")
-ORACLES["areas_cut_locally"] = t("areas buildings", _CUTTERS + """
-few AS (SELECT * FROM meet QUALIFY count(*) OVER (PARTITION BY id) <= 5),
-""" + _left_area("it", "few") + """
-SELECT id AS osm_id, round(area, 3) AS area FROM remains WHERE area > 0""")
+ORACLES["area_cutters"] = t("areas buildings", _CUTTERS.rstrip().rstrip(",") + """
+SELECT id AS osm_id, count(DISTINCT b_id) AS n_buildings FROM meet GROUP BY id""")
 ORACLES["cell_masses"] = t("buildings", """
 AND b AS (SELECT *, CAST(floor((x0 + x1) / 2.0e0 / 100) AS BIGINT) AS ix, CAST(floor((y0 + y1) / 2.0e0 / 100) AS BIGINT) AS iy FROM buildings),
 k AS (SELECT *, 'c' || CASE WHEN ix < 0 THEN 'n' ELSE '' END || CAST(abs(ix) AS VARCHAR) || '_' || CASE WHEN iy < 0 THEN 'n' ELSE '' END

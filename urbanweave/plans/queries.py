@@ -787,16 +787,12 @@ def areas_cut_by_buildings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def areas_cut_locally(spark: SparkSession, sf: str) -> DataFrame:
-    """The same where an area touched by more than five buildings stays whole."""
+def area_cutters(spark: SparkSession, sf: str) -> DataFrame:
+    """How many buildings touch each water or vegetation area."""
     ways = fx.boxes_to_ways(fx.area_boxes(spark, sf))
     areas = overlay.water_areas(ways).unionByName(overlay.vegetation_areas(ways))
-    cutters = box_parts(fx.building_boxes(spark, sf))
-    many = overlay.touching(areas, cutters).groupBy("a_id").agg(F.count_distinct("c_id").alias("n")).where("n > 5")
-    many = many.select(F.col("a_id").alias("osm_id"))
-    few, whole = areas.join(many, "osm_id", "left_anti"), areas.join(many, "osm_id", "left_semi")
-    cut = overlay.cut_by(few, cutters).select("osm_id", "parts").unionByName(whole.select("osm_id", "parts"))
-    return cut.select("osm_id", rnd(kernel.parts_area(F.col("parts")), 3).alias("area"))
+    hits = overlay.touching(areas, box_parts(fx.building_boxes(spark, sf)))
+    return hits.groupBy(F.col("a_id").alias("osm_id")).agg(F.count_distinct("c_id").alias("n_buildings"))
 
 
 @query
