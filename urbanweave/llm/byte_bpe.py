@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import json
-import math
 import zlib
 from collections.abc import Iterator
 
@@ -14,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanweave.llm.common import text_of
+from urbanweave.llm.shared_arrays import by_shard, found_in, load, new_folder, save, shard_count, word_hashes
 
-BLOCK_BYTES = 32 << 20  # of text whose distinct words are encoded together
-BUCKETS = 1 << 14
-NONE, PLACES = 1 << 30, 1 << 32
+PIECE_WORDS = 1 << 20  # that are put together at once
+BUCKETS = 1 << 15
+NONE = 1 << 30
 
 # Unicode white space, which the splitting pattern calls \s.
 SPACE = "\\t-\\r \\u0085\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
@@ -46,36 +46,53 @@ def rank_map(ranks: dict[bytes, int]) -> Column:
 
 
 def encode_word(word: Column, ranks: Column) -> Column:
-    """Token ids of one word: its own rank if it has one, else its bytes with the lowest-ranked pair merged until none is left."""
-    def rank(piece: Column) -> Column:
-        return F.element_at(F.get(ranks, (F.crc32(piece.cast("binary")) % BUCKETS).cast("int")), piece)
+    """Token ids of one word: its own rank if it has one, else its bytes with the lowest-ranked pair merged until none is left.
 
+    The state carries the rank of each neighbouring pair; a merge looks up the two pairs beside it only. The rank map is
+    bound to one variable, so that the plan that every task reads holds it once.
+    """
     def let(value: Column, body) -> Column:
         return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    def merge(state: Column, _step: Column) -> Column:
-        parts = state["parts"]
-        pairs = F.transform(  # rank and place in one number, so that the least is the leftmost of the lowest rank
-            F.sequence(F.lit(0), F.size(parts) - 2),
-            lambda i: F.coalesce(rank(F.concat(F.get(parts, i), F.get(parts, i + 1))), F.lit(NONE)).cast("long") * PLACES + i,
-        )
+    return let(ranks, lambda known: merged_ids(word, known, let))
 
-        def best(least: Column) -> Column:
-            def cut(at: Column) -> Column:
-                return F.concat(
-                    F.slice(parts, 1, at), F.array(F.concat(F.get(parts, at), F.get(parts, at + 1))), F.slice(parts, at + 3, F.size(parts))
+
+def merged_ids(word: Column, known: Column, let) -> Column:
+    def rank(piece: Column) -> Column:
+        return F.element_at(F.get(known, (F.crc32(piece.cast("binary")) % BUCKETS).cast("int")), piece)
+
+    def pair_rank(left: Column, right: Column) -> Column:
+        return F.coalesce(rank(F.concat(left, right)), F.lit(NONE))  # null on one side: no pair
+
+    def merge(state: Column, _step: Column) -> Column:
+        parts, pairs = state["parts"], state["pairs"]
+
+        def cut(at: Column) -> Column:  # the place of the leftmost pair of the lowest rank, from 0
+            def joined(piece: Column) -> Column:
+                before = F.when(at > 0, F.concat(F.slice(pairs, 1, at - 1), F.array(pair_rank(F.get(parts, at - 1), piece))))
+                after = F.when(at + 2 < F.size(parts), F.concat(F.array(pair_rank(piece, F.get(parts, at + 2))), F.slice(pairs, at + 3, F.size(pairs))))
+                none = F.slice(pairs, 1, 0)
+                return F.struct(
+                    F.concat(F.slice(parts, 1, at), F.array(piece), F.slice(parts, at + 3, F.size(parts))).alias("parts"),
+                    F.concat(F.coalesce(before, none), F.coalesce(after, none)).alias("pairs"),
                 )
 
-            ended = least >= NONE * PLACES
-            merged = F.when(ended, parts).otherwise(let((least % PLACES).cast("int"), cut))
-            return F.struct(merged.alias("parts"), (ended | (F.size(parts) <= 2)).alias("done"))
+            return let(F.concat(F.get(parts, at), F.get(parts, at + 1)), joined)
 
-        return F.when(state["done"], state).otherwise(let(F.array_min(pairs), best))
+        def best(least: Column) -> Column:
+            return F.when(least >= NONE, F.struct(parts.alias("parts"), F.slice(pairs, 1, 0).alias("pairs"))).otherwise(
+                let((F.array_position(pairs, least) - 1).cast("int"), cut)
+            )
+
+        return F.when(F.size(pairs) == 0, state).otherwise(let(F.array_min(pairs), best))
 
     def fold(text: Column) -> Column:
         n = F.length(text)
         single = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(text, i, F.lit(1)))
-        start = F.struct(single.alias("parts"), (n < 2).alias("done"))
+        pairs = F.when(n < 2, F.array().cast("array<int>")).otherwise(
+            F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.coalesce(rank(F.substring(text, i, F.lit(2))), F.lit(NONE)))
+        )
+        start = F.struct(single.alias("parts"), pairs.alias("pairs"))
         merged = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), start, merge)
         return let(rank(text), lambda own: F.when(own.isNotNull(), F.array(own)).otherwise(F.transform(merged["parts"], rank)))
 
@@ -89,45 +106,109 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     table gives an empty one; other columns are not read. ``vocabulary`` is the path of the rank file, whose size bounds
     the literal; it is read once on the driver.
 
-    Documents are dealt to blocks of about ``BLOCK_BYTES``. The one shuffle by block serves the distinct words of the
-    block, which are encoded once each on the JVM, and the documents, which are put together from them.
+    The first pass finds the distinct words of the table, encodes each once on the JVM and writes them by shard of their
+    hash to the shared checkpoint folder. The second pass splits the texts again, maps those files into memory and joins
+    the ids of its words; no text is shuffled. Words with equal 64-bit hashes would end the job with an error.
     """
+    spark = docs.sparkSession
     ranks = rank_map(read_ranks(vocabulary))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / BLOCK_BYTES))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    rows = rows.repartition(blocks, "block")
-    rows = rows.select("block", "doc_id", F.regexp_extract_all("text", F.lit(java_pattern(pattern)), F.lit(0)).alias("words"))
-    # the id travels along so that both branches need the same columns and share one shuffle
-    distinct = rows.select("block", "doc_id", F.explode(F.array_distinct("words")).alias("word"))
-    distinct = distinct.groupBy("block", "word").agg(F.min("doc_id").alias("first_"))
-    encoded = distinct.select(F.col("block").alias("block_"), F.col("word").alias("word_"), encode_word(F.col("word"), ranks).alias("ids_"), "first_")
-
-    def assemble(texts: pa.Table, words: pa.Table) -> pa.Table:
-        known: dict[str, bytes] = {}
-        for batch in words.to_batches():
-            ids = batch.column("ids_")
-            data = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-            edges = ids.offsets.to_pylist()
-            for word, a, b in zip(batch.column("word_").to_pylist(), edges, edges[1:], strict=False):
-                known[word] = data[4 * a : 4 * b]
-        out = [b"".join(map(known.__getitem__, w)) for batch in texts.to_batches() for w in batch.column("words").to_pylist()]
-        return pa.table({"doc_id": texts.column("doc_id"), "ids": pa.array(out, pa.binary())})
-
-    return rows.groupBy("block").cogroup(encoded.groupBy("block_")).applyInArrow(assemble, "doc_id long, ids binary")
+    rows = rows.select("doc_id", F.regexp_extract_all("text", F.lit(java_pattern(pattern)), F.lit(0)).alias("words"))
+    folder, shards = new_folder(spark, "words"), shard_count(spark)
+
+    def write(words: pa.Table) -> pa.Table:
+        shard = words.column("shard")[0].as_py()
+        keys, ids = word_hashes(words.column("word").cast(pa.binary()).to_pylist()), words.column("ids").combine_chunks()
+        order = np.argsort(keys)
+        if (np.diff(keys[order]) == 0).any():
+            raise ValueError("two words have one 64-bit hash")
+        found, ends = gather(ids.flatten().to_numpy(zero_copy_only=False).astype("<u4"), run_edges(ids), order)
+        save(folder, f"shard-{shard}", {"keys": keys[order], "ids": found, "edges": ends})
+        return pa.table({"shard": pa.array([shard], pa.int32())})
+
+    distinct = rows.select(F.explode("words").alias("word")).distinct()
+    distinct = distinct.withColumn("shard", F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(shards)).cast("int")).repartition(shards, "shard")
+    encoded = distinct.select("shard", "word", encode_word(F.col("word"), ranks).alias("ids"))
+    encoded.groupBy("shard").applyInArrow(write, "shard int").count()
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files: dict[int, dict[str, np.ndarray]] = {}
+        for batch in batches:
+            ends = run_edges(batch.column("words"))
+            start = 0
+            while start < batch.num_rows:  # pieces of about as many words, a text whole
+                stop = max(start + 1, int(np.searchsorted(ends, ends[start] + PIECE_WORDS)) - 1)
+                piece = batch.slice(start, stop - start)
+                words = pa.compute.dictionary_encode(piece.column("words").flatten())
+                values, edges = ids_of(words.dictionary, files, folder, shards)
+                at = words.indices.to_numpy(zero_copy_only=False)
+                ids = joined_runs(values, edges, at, run_edges(piece.column("words")))
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), ids], ["doc_id", "ids"])
+                start = stop
+
+    return rows.mapInArrow(assemble, "doc_id long, ids binary")
+
+
+def ids_of(words: pa.Array, files: dict[int, dict[str, np.ndarray]], folder: str, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of distinct words one after another, and where those of each word begin, from the files of their shards."""
+    data = words.cast(pa.binary()).to_pylist()
+    keys = word_hashes(data)
+    found, sizes, order = [np.zeros(0, "<u4")], [], []
+    for shard, part in by_shard(np.array([zlib.crc32(w) % shards for w in data], "i8")):
+        if shard not in files:
+            files[shard] = load(folder, f"shard-{shard}")
+        known = files[shard]
+        at, there = found_in(keys[part], known["keys"])
+        if not there.all():
+            raise ValueError("a word was not encoded; the table changed between the passes")
+        body, ends = gather(known["ids"], known["edges"], at)
+        found.append(body)
+        sizes.append(np.diff(ends))
+        order.append(part)
+    if not order:
+        return found[0], np.zeros(1, "i8")
+    places, size = np.concatenate(order), np.concatenate(sizes)
+    values, edges = np.concatenate(found), np.concatenate([[0], np.cumsum(size)])
+    back = np.empty(len(places), "i8")
+    back[places] = np.arange(len(places))
+    return gather(values, edges, back)
+
+
+def run_edges(lists: pa.Array) -> np.ndarray:
+    """Where the values of each list begin in the flattened array, and the end; null lists are empty."""
+    sizes = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.cumsum(sizes, dtype="i8")])
+
+
+def gather(values: np.ndarray, edges: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``values[edges[k]:edges[k + 1]]`` of each ``k`` in ``at`` one after another, and where each begins, and the end."""
+    sizes = edges[at + 1] - edges[at]
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype="i8")])
+    return values[np.repeat(edges[at] - ends[:-1], sizes) + np.arange(ends[-1])], ends
+
+
+def joined_runs(values: np.ndarray, edges: np.ndarray, at: np.ndarray, rows: np.ndarray) -> pa.Array:
+    """A binary per row: the runs of its places, which are ``at[rows[i]:rows[i + 1]]``."""
+    body, ends = gather(values, edges, at.astype("i8"))
+    places = (ends[rows] * values.itemsize).astype("i8")
+    return pa.Array.from_buffers(pa.large_binary(), len(rows) - 1, [None, pa.py_buffer(places), pa.py_buffer(body)]).cast(pa.binary())
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """``encoded`` with ``decoded``: the binary pieces of its ids, one after another."""
     pieces = {rank: piece for piece, rank in read_ranks(vocabulary).items()}
-    shared = encoded.sparkSession.sparkContext.broadcast(pieces)
+    sizes = [len(pieces.get(rank, b"")) for rank in range(max(pieces) + 1)]
+    table = np.frombuffer(b"".join(pieces[rank] for rank in sorted(pieces)), "u1"), np.concatenate([[0], np.cumsum(sizes, dtype="i8")])
+    shared = encoded.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        values, edges = shared.value
         for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            out = [b"".join(map(known.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
+            out = []
+            for one in batch.column("ids"):  # row by row: a text may be long
+                ids = np.frombuffer(one.as_buffer(), "<u4")
+                out.append(joined_runs(values, edges, ids, np.array([0, len(ids)])))
+            decoded = pa.concat_arrays(out) if out else pa.array([], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), decoded], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
