@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ from urbanweave.llm.shared_arrays import by_shard, found_in, load, new_folder, s
 
 PIECE_WORDS = 1 << 20  # that are put together at once
 BUCKETS = 1 << 15
-NONE = 1 << 30
+NONE, PLACES = 1 << 30, 1 << 32
 
 # Unicode white space, which the splitting pattern calls \s.
 SPACE = "\\t-\\r \\u0085\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
@@ -48,53 +48,57 @@ def rank_map(ranks: dict[bytes, int]) -> Column:
 def encode_word(word: Column, ranks: Column) -> Column:
     """Token ids of one word: its own rank if it has one, else its bytes with the lowest-ranked pair merged until none is left.
 
-    The state carries the rank of each neighbouring pair; a merge looks up the two pairs beside it only. The rank map is
-    bound to one variable, so that the plan that every task reads holds it once.
+    The fold's state holds the places where pieces begin, and for each byte the rank of the pair that begins there with its
+    place in one number, so that the least is the leftmost of the lowest rank. A merge takes out one place and looks up the
+    two pairs beside it only. Arrays are not concatenated, which is slow when interpreted. The rank map is bound to one
+    variable, so that the plan that every task reads holds it once.
     """
-    def let(value: Column, body) -> Column:
-        return F.get(F.transform(F.array(value), body), F.lit(0))
+    return let(ranks, lambda known: merged_ids(word, known))
 
-    return let(ranks, lambda known: merged_ids(word, known, let))
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-def merged_ids(word: Column, known: Column, let) -> Column:
+
+def merged_ids(word: Column, known: Column) -> Column:
     def rank(piece: Column) -> Column:
         return F.element_at(F.get(known, (F.crc32(piece.cast("binary")) % BUCKETS).cast("int")), piece)
 
-    def pair_rank(left: Column, right: Column) -> Column:
-        return F.coalesce(rank(F.concat(left, right)), F.lit(NONE))  # null on one side: no pair
-
-    def merge(state: Column, _step: Column) -> Column:
-        parts, pairs = state["parts"], state["pairs"]
-
-        def cut(at: Column) -> Column:  # the place of the leftmost pair of the lowest rank, from 0
-            def joined(piece: Column) -> Column:
-                before = F.when(at > 0, F.concat(F.slice(pairs, 1, at - 1), F.array(pair_rank(F.get(parts, at - 1), piece))))
-                after = F.when(at + 2 < F.size(parts), F.concat(F.array(pair_rank(piece, F.get(parts, at + 2))), F.slice(pairs, at + 3, F.size(pairs))))
-                none = F.slice(pairs, 1, 0)
-                return F.struct(
-                    F.concat(F.slice(parts, 1, at), F.array(piece), F.slice(parts, at + 3, F.size(parts))).alias("parts"),
-                    F.concat(F.coalesce(before, none), F.coalesce(after, none)).alias("pairs"),
+    def fold(text: Column) -> Column:
+        def ranked(start: Column, end: Column) -> Column:  # of the pair in these bytes; without one of its ends there is none
+            found = F.coalesce(rank(F.substring(text, start + 1, end - start)), F.lit(NONE))
+            return found.cast("long") * PLACES + start
+
+        def merge(state: Column, _step: Column) -> Column:
+            def with_value(value: Column, body: Callable[[Column], Column]) -> Column:  # a fold of one step does not copy its result
+                return F.aggregate(F.array(value), state, lambda _, x: body(x))
+
+            def at_place(least: Column) -> Column:
+                place = (least % PLACES).cast("int")
+                return F.when(least >= NONE * PLACES, state).otherwise(with_value(F.array_position(state["cuts"], place).cast("int"), around))
+
+            def around(i: Column) -> Column:  # the places of the piece before, the pair, the piece after and its end
+                near = [F.get(state["cuts"], i + k).alias(name) for k, name in zip(range(-2, 3), "apqrt", strict=True)]
+                return with_value(F.struct(*near), cut)
+
+            def cut(near: Column) -> Column:
+                a, p, q, r, t = (near[name] for name in "apqrt")
+                renewed = F.transform(
+                    state["pairs"],
+                    lambda x, j: F.when(j == p, ranked(p, t)).when(j == a, ranked(a, r)).when(j == q, NONE * PLACES + j).otherwise(x),
                 )
+                return F.struct(F.array_remove(state["cuts"], q).alias("cuts"), renewed.alias("pairs"))
 
-            return let(F.concat(F.get(parts, at), F.get(parts, at + 1)), joined)
+            return with_value(F.array_min(state["pairs"]), at_place)
 
-        def best(least: Column) -> Column:
-            return F.when(least >= NONE, F.struct(parts.alias("parts"), F.slice(pairs, 1, 0).alias("pairs"))).otherwise(
-                let((F.array_position(pairs, least) - 1).cast("int"), cut)
-            )
-
-        return F.when(F.size(pairs) == 0, state).otherwise(let(F.array_min(pairs), best))
-
-    def fold(text: Column) -> Column:
         n = F.length(text)
-        single = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(text, i, F.lit(1)))
-        pairs = F.when(n < 2, F.array().cast("array<int>")).otherwise(
-            F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.coalesce(rank(F.substring(text, i, F.lit(2))), F.lit(NONE)))
+        start = F.struct(
+            F.sequence(F.lit(0), n).alias("cuts"),
+            F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i == n - 1, NONE * PLACES + i).otherwise(ranked(i, i + 2))).alias("pairs"),
         )
-        start = F.struct(single.alias("parts"), pairs.alias("pairs"))
-        merged = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), start, merge)
-        return let(rank(text), lambda own: F.when(own.isNotNull(), F.array(own)).otherwise(F.transform(merged["parts"], rank)))
+        merged = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), start, merge, lambda state: state["cuts"])
+        pieces = let(merged, lambda cuts: F.transform(F.slice(cuts, 1, F.size(cuts) - 1), lambda c, k: rank(F.substring(text, c + 1, F.get(cuts, k + 1) - c))))
+        return let(rank(text), lambda own: F.when(own.isNotNull(), F.array(own)).otherwise(pieces))
 
     return let(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), fold)
 
