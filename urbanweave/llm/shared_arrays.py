@@ -154,8 +154,8 @@ def by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     yield from zip(names.tolist(), np.split(order, starts[1:]), strict=True) if len(names) else ()
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.Table]:
-    """Batches gathered to blocks of about ``BLOCK_BYTES`` of text; a document is never split."""
+def text_blocks(batches: Iterator[pa.RecordBatch], text: str = "text", size_limit: int = BLOCK_BYTES) -> Iterator[pa.Table]:
+    """Batches gathered to blocks of about ``size_limit`` bytes of text; a document is never split."""
     held, size = [], 0
     for batch in batches:
         at = 0
@@ -163,11 +163,11 @@ def text_blocks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterat
         ends = np.cumsum(sizes)
         while at < batch.num_rows:
             base = ends[at - 1] if at else 0
-            stop = min(int(np.searchsorted(ends, base + BLOCK_BYTES - size)) + 1, batch.num_rows)
+            stop = min(int(np.searchsorted(ends, base + size_limit - size)) + 1, batch.num_rows)
             held.append(batch.slice(at, stop - at))
             size += int(ends[stop - 1] - base)
             at = stop
-            if size >= BLOCK_BYTES:
+            if size >= size_limit:
                 yield pa.Table.from_batches(held)
                 held, size = [], 0
     if held:
