@@ -278,6 +278,16 @@ def test_near_vectors_against_brute_force(spark):
     assert embedding_dedup.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>, label int")).count() == 0
 
 
+def test_near_vectors_of_extreme_size_and_mixed_length(spark):
+    rows = [(1, [1.0, 0.0, 1.0], 0), (2, [1e-200, 0.0, 1e-200], 0), (3, [1e200, 0.0, 1e200], 0), (4, [5e-324, 0.0, 5e-324], 0), (5, [0.0, 1e308, 0.0], 0)]
+    rows += [(10, [1.0, 0.0], 0), (11, [1.0, 0.0], 0), (12, [2.0, 0.0], 0), (13, [0.0, 1.0], 0), (14, [3.0, 0.1], 1), (20, [4.0], 0), (21, [5.0], 0), (22, [-5.0], 0)]
+    schema = "vec_id long, embedding array<double>, label int, rep string, v long, cell int"
+    df = spark.createDataFrame([(*r, "x", None, 1) for r in rows], schema)  # names that the operator uses itself
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_vectors(df).collect()}
+    want = {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5), 10: (2, 10), 11: (2, 10), 12: (2, 10), 13: (0, 13), 14: (0, 14)}
+    assert got == want | {20: (1, 20), 21: (1, 20), 22: (0, 22)}
+
+
 PAGE = """<!doctype html><html><head><title>t</title><style>p{}</style><script>var a="</p>";</script></head><body class="post-with-sidebar">
 <header>Site</header><nav><ul><li>Menu<li>Two</ul></nav><div class="cookie-notice">We use cookies.</div>
 <article><h1>Ti&amp;tle</h1><p>First <b>line</b>

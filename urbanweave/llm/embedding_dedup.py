@@ -51,7 +51,9 @@ def cells_of(x: np.ndarray, centres: np.ndarray, similarity: float) -> tuple[np.
 
 
 def stack(vectors: pd.Series, dims: int) -> np.ndarray:
+    """Unit rows. A power of two brings the largest component near 1 first, so no square over- or underflows."""
     x = np.stack([np.asarray(v, "float64") for v in vectors]) if len(vectors) else np.zeros((0, dims))
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0.0))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -62,14 +64,15 @@ def near_vectors(
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of every row.
 
     Rows are linked if their labels are equal and not null and their cosine in double precision is at least
-    ``similarity``. A null, empty or zero vector, one with null or non-finite components, or of another length than
-    most, links with nothing, nor does a row without id (its component is null and it is kept). Repeated rows link with
-    each other; an empty table gives an empty one; other columns are not read.
+    ``similarity``. A null, empty or zero vector or one with null or non-finite components links with nothing, nor does a
+    row without id (its component is null and it is kept). Vectors of different lengths never link. Repeated rows link
+    with each other; an empty table gives an empty one; other columns are not read.
 
     Equal vectors of a label form one class; classes are compared. The centroids are fitted on a bounded sample, the
     number of cells grows with the root of the classes. A class goes to its own cell and to those across near borders;
     in each cell it meets the classes at home there, so a pair is counted once from either side. Cells are split into
-    blocks on both sides, so a cell that holds a third of all vectors is many tasks. A block emits one row per class:
+    blocks on both sides, so a cell that holds a third of all vectors is many tasks. Vectors of another length than the
+    most frequent one have no centroids: all of a length are one cell, compared in the same blocks. A block emits one row per class:
     the weight of its links, and links that span its local groups.
     """
     spark = vectors.sparkSession
@@ -103,8 +106,9 @@ def near_vectors(
                 yield pa.RecordBatch.from_arrays([batch.column("rep").take(pa.array(at)), pa.array(cells.astype("int32")), pa.array(home)], ["rep", "cell", "home"])
 
     same = classes.where(F.size("v") == dims)
-    seats = cut_lineage(same.select("rep", "v").mapInArrow(assign, "rep long, cell int, home boolean"))
-    seats = seats.join(same.select("rep", "weight", "label", "v"), "rep")
+    others = classes.where(F.size("v") != dims).select("rep", (-F.size("v")).alias("cell"), F.lit(True).alias("home"))
+    seats = cut_lineage(same.select("rep", "v").mapInArrow(assign, "rep long, cell int, home boolean").unionByName(others))
+    seats = seats.join(classes.select("rep", "weight", "label", "v"), "rep")
     sizes = seats.groupBy("label", "cell").agg(F.sum(F.col("home").cast("long")).alias("n_home"), F.count("*").alias("n_all"))
     sizes = sizes.select("label", "cell", F.ceil(F.col("n_home") / RIGHT).cast("int").alias("rights"), F.ceil(F.col("n_all") / LEFT).cast("int").alias("lefts"))
     seats = seats.join(cut_lineage(sizes.where("rights > 0")), ["label", "cell"])
