@@ -10,7 +10,7 @@ import pytest
 from conftest import make_ways
 from pyspark.sql import functions as F
 
-from urbanweave.functions import lines
+from urbanweave.functions import frame, lines
 from urbanweave.operators import buildings, junctions, overlay, raster, roads, spatial
 from urbanweave.plans import city
 from urbanweave.sources import catalog, osm_read, pgm
@@ -311,3 +311,19 @@ def test_markings_stay_on_their_pavement(spark):
     low = paint.select(F.explode(F.flatten("parts")).alias("p")).select(F.min(F.abs("p.y")).alias("m")).first()["m"]
     assert low == pytest.approx(11.0 - 0.25, abs=1e-6)
     assert paint.where(kernel.parts_area(F.col("parts")) <= 0).count() == 0
+
+
+def test_utm_target_samples_every_source_pixel(spark):
+    west, north, step, n = 121.5, 25.06, 0.0001, 60
+    left, top, nrows, ncols = raster.utm_target(spark, west, north - n * step, west + n * step, north, 32651, 10.0)
+    source = spark.range(n * n).select(F.floor(F.col("id") / n).alias("row"), (F.col("id") % n).alias("col"), F.lit(1.0).alias("z"))
+    target = raster.all_pixels(spark, nrows, ncols)
+    place = frame.utm_to_lonlat(left + (F.col("col") + 0.5) * 10.0, F.lit(top) - (F.col("row") + 0.5) * 10.0, 32651)
+    at = target.select(place.alias("p")).select(((F.col("p.x") - west) / step - 0.5).alias("fx"), ((F.lit(north) - F.col("p.y")) / step - 0.5).alias("fy"))
+    inside = at.where(f"fx > -1 and fx < {n} and fy > -1 and fy < {n}")
+    near = inside.select(F.floor("fy").alias("y"), F.floor("fx").alias("x"))
+    read = near.selectExpr("explode(array(0, 1)) as j", "y", "x").selectExpr("y + j as row", "explode(array(x, x + 1)) as col").distinct()
+    assert source.join(read, ["row", "col"], "left_anti").count() == 0
+    out = raster.reproject(source, west, north, step, n, n, 32651, left, top, 10.0, 10.0, nrows, ncols)
+    sides = out.agg(F.min("row").alias("a"), F.max("row").alias("b"), F.min("col").alias("c"), F.max("col").alias("d")).first()
+    assert sides["a"] <= 1 and sides["b"] >= nrows - 2 and sides["c"] <= 1 and sides["d"] >= ncols - 2

@@ -6,6 +6,7 @@ lengths are the raster's sides; everything else is grouping on pixel keys.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -394,6 +395,22 @@ def sample_bilinear(source: DataFrame, points: DataFrame, keys: list[str], value
     return joined.groupBy(*keys).agg((F.sum(F.col("weight") * F.col(value)) / F.sum("weight")).alias(value))
 
 
+def utm_target(
+    spark: SparkSession, west: float, south: float, east: float, north: float, epsg: int, pixel: float
+) -> tuple[float, float, int, int]:
+    """Left, top, rows and columns of the UTM raster that covers a lon/lat box, counted from its south-west corner.
+
+    The edges of the box are curved in UTM; 21 points of each are projected.
+    """
+    part = F.col("id") / 20.0
+    ends = F.array(*[F.struct(x.alias("x"), y.alias("y")) for e in (0.0, 1.0) for x, y in ((part, F.lit(e)), (F.lit(e), part))])
+    edge = spark.range(21).select(F.inline(ends))
+    edge = edge.select(frame.lonlat_to_utm(F.lit(west) + F.col("x") * (east - west), F.lit(south) + F.col("y") * (north - south), epsg).alias("p"))
+    box = edge.agg(F.min("p.x").alias("left"), F.max("p.x").alias("right"), F.min("p.y").alias("bottom"), F.max("p.y").alias("top")).first()
+    ncols, nrows = (max(2, math.ceil((high - low) / pixel)) for low, high in ((box["left"], box["right"]), (box["bottom"], box["top"])))
+    return box["left"], box["bottom"] + nrows * pixel, nrows, ncols
+
+
 def reproject(
     source: DataFrame, src_west: float, src_north: float, src_step: float, src_rows: int, src_cols: int,
     epsg: int, left: float, top: float, step_x: float, step_y: float, nrows: int, ncols: int, value: str = "z",

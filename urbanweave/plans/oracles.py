@@ -351,8 +351,14 @@ SELECT l.ai AS "row", b.i AS col, CAST(least(greatest(round_even(round(
   l.v0 * (1 - l.wy) * (1 - b.wt) + r.v0 * (1 - l.wy) * b.wt + l.v1 * l.wy * (1 - b.wt) + r.v1 * l.wy * b.wt, 6), 0), 0), 65535) AS INTEGER) AS q
 FROM ax b JOIN rows4 l ON l.qc = b.i0 JOIN rows4 r ON r.qc = b.i1 AND r.ai = l.ai""")
 ORACLES["reproject_elevation"] = t("px n", """
-AND tgt AS (SELECT i // m AS tr, i % m AS tc, n, 32651 AS epsg, 348700.0e0 + (tc + 0.5e0) * 10 AS east, 2772300.0e0 - (tr + 0.5e0) * 10 AS north
-  FROM (SELECT unnest(generate_series(0, m * m - 1)) AS i, m, n FROM (SELECT n // 2 * 2 + 1 AS m, n FROM n))),
+AND steps AS (SELECT s / 20.0e0 AS part, e FROM (SELECT unnest(generate_series(0, 20)) AS s), (VALUES (0), (1)) v(e)),
+edge AS (SELECT n, 121.5e0 + ex * (n * 0.0001e0) AS lon, 25.06e0 - (1 - ey) * (n * 0.0001e0) AS lat, 32651 AS epsg
+  FROM n, (SELECT part AS ex, e AS ey FROM steps UNION ALL SELECT e, part FROM steps)),
+""" + _forward("edge", "lon", "lat", "epsg", "v") + """,
+box AS (SELECT any_value(n) AS n, min(vx) AS l, min(vy) AS b, greatest(2, CAST(ceil((max(vx) - min(vx)) / 10) AS BIGINT)) AS w,
+  greatest(2, CAST(ceil((max(vy) - min(vy)) / 10) AS BIGINT)) AS h FROM v),
+tgt AS (SELECT i // w AS tr, i % w AS tc, n, 32651 AS epsg, l + (tc + 0.5e0) * 10 AS east, b + h * 10 - (tr + 0.5e0) * 10 AS north
+  FROM (SELECT unnest(generate_series(0, w * h - 1)) AS i, * FROM box)),
 """ + _inverse("tgt", "east", "north", "epsg", "u") + """,
 f AS (SELECT tr, tc, n, (ux - 121.5e0) / 0.0001e0 - 0.5e0 AS fx, (25.06e0 - uy) / 0.0001e0 - 0.5e0 AS fy FROM u),
 nb AS (SELECT tr, tc, CAST(floor(fy) AS BIGINT) + j AS r, CAST(floor(fx) AS BIGINT) + i AS c,

@@ -459,13 +459,12 @@ SRC = {"west": 121.5, "north": 25.06, "step": 0.0001}
 
 @query
 def reproject_elevation(spark: SparkSession, sf: str) -> DataFrame:
-    """Lon/lat elevation sampled bilinearly on a 10 m UTM grid (odd side)."""
+    """Lon/lat elevation sampled bilinearly on the 10 m UTM grid that covers the whole source."""
     n = fx.pixel_side(spark, sf)
     px = fx.pixels(spark, sf).select("row", "col", "z")
-    cols = n // 2 * 2 + 1
-    out = raster.reproject(
-        px, SRC["west"], SRC["north"], SRC["step"], n, n, 32651, 348700.0, 2772300.0, 10.0, 10.0, cols, cols
-    )
+    span, epsg = n * SRC["step"], 32651
+    left, top, nrows, ncols = raster.utm_target(spark, SRC["west"], SRC["north"] - span, SRC["west"] + span, SRC["north"], epsg, 10.0)
+    out = raster.reproject(px, SRC["west"], SRC["north"], SRC["step"], n, n, epsg, left, top, 10.0, 10.0, nrows, ncols)
     return out.select("row", "col", rnd("z", 4).alias("z"))
 
 
