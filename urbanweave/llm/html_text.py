@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,7 +32,12 @@ MARKS = frozenset(
 )
 CONTENT = frozenset("article content entry main post story text body".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?=[^A-Za-z/!?])|</[^A-Za-z][^>]*>?", re.S)
+# A place where markup starts; the rest of a tag, with quotes; and without regard to them, for a page with open quotes.
+START = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)|<(?=[^A-Za-z/!?])|</[^A-Za-z][^>]*>?", re.S)
+REST = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+LOOSE_REST = re.compile(r"([^>]*+)>")
+OPEN_QUOTES = 16  # tags of a page that may search for a closing quote in vain; later ones end at the first >
+DEPTH = 512  # nesting from which an element takes the path of its parent, as browsers build it
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
@@ -46,7 +52,7 @@ MOST = 0.5  # share of the page's text from which a wrapper is no furniture, wha
 class Path:
     """One root-to-leaf tag path: whether furniture is on it, which paths on it have furniture or content names, and what it holds."""
 
-    def __init__(self, name: str, furniture: bool, wrappers: tuple[str, ...], content: tuple[str, ...], article: bool):
+    def __init__(self, name: int, furniture: bool, wrappers: tuple[int, ...], content: tuple[int, ...], article: bool):
         self.name, self.furniture, self.wrappers, self.content, self.article = name, furniture, wrappers, content, article
         self.chars = self.marks = self.nodes = 0
 
@@ -70,8 +76,10 @@ def _is_furniture(tag: str, attributes: str) -> bool:
 def read_blocks(page: str) -> list[tuple[Path, str]]:
     """Text blocks in page order, each with the tag path of its text."""
     stack: list[tuple[str, Path]] = []
+    opened: Counter[str] = Counter()
     paths: dict[tuple, Path] = {}
-    root = Path("", False, (), (), False)
+    labels: dict[tuple, int] = {}
+    root = Path(-1, False, (), (), False)
     blocks: list[tuple[Path, str]] = []
     held: list[str] = []
     owner: Path | None = None
@@ -85,12 +93,18 @@ def read_blocks(page: str) -> list[tuple[Path, str]]:
                 blocks.append((owner, text))
         owner = None
 
+    def cut(k: int) -> None:
+        opened.subtract(t for t, _ in stack[k:])
+        del stack[k:]
+
     def pop(tag: str) -> None:
+        if not opened[tag]:
+            return
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] == tag:
                 if tag in BLOCKS or any(t in BLOCKS for t, _ in stack[k:]):
                     close_block()
-                del stack[k:]
+                cut(k)
                 return
             if stack[k][0] in BLOCKS and tag not in BLOCKS:
                 return  # an inline end tag closes nothing outside its block
@@ -106,23 +120,28 @@ def read_blocks(page: str) -> list[tuple[Path, str]]:
                     owner = here
             held.append(chunk)
 
-    at, n = 0, len(page)
+    at, n, vain = 0, len(page), 0
     while at < n:
-        m = TOKEN.search(page, at)
+        m = START.search(page, at)
+        text(page[at : m.start() if m else n])
         if not m:
-            cut = re.search(r"<[A-Za-z/!?][^>]*$", page[at:])  # a tag that the page breaks off in
-            text(page[at : at + cut.start()] if cut else page[at:])
             break
-        text(page[at : m.start()])
         at = m.end()
-        slash, tag, attributes = m.group(1), m.group(2), m.group(3) or ""
+        slash, tag = m.group(1), m.group(2)
         if tag is None:
             if m.group(0) == "<":
                 text("<")
             continue
+        rest = REST.match(page, at) if vain < OPEN_QUOTES else None
+        if rest is None:
+            vain += 1
+            rest = LOOSE_REST.match(page, at)
+        if rest is None:  # the page breaks off in a tag
+            break
+        attributes, at = rest.group(1), rest.end()
         tag = tag.lower()
         if slash:
-            if tag == "p" and not any(t == "p" for t, _ in stack):
+            if tag == "p" and not opened["p"]:
                 close_block()
             pop(tag)
             continue
@@ -144,27 +163,29 @@ def read_blocks(page: str) -> list[tuple[Path, str]]:
         if tag in BLOCKS:
             close_block()
             if tag in PARAGRAPH_ENDS:
-                opened = [t for t, _ in stack]
-                if "p" in opened:
-                    del stack[opened.index("p") :]
+                if opened["p"]:  # one at most
+                    cut(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == "p"))
             if tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
                 same = {"dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th")}.get(tag, (tag,))
                 if stack and stack[-1][0] in same:
-                    stack.pop()
+                    cut(len(stack) - 1)
         if attributes.rstrip().endswith("/") and tag not in BLOCKS:
             continue
         above = stack[-1][1] if stack else root
         names = {p.lower() for name, v in ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id") for p in NAME_PARTS.findall(v)}
         bad = above.furniture or _is_furniture(tag, attributes)
-        label = f"{above.name}/{tag}" + "".join("." + x for x in sorted(names))
+        label = labels.setdefault((above.name, tag, frozenset(names)), len(labels))
         article = tag in ("article", "main")
         # "post-with-sidebar" names a page by what stands beside it
         marked = tag == "form" or bool(names & MARKS and not article and tag not in ("html", "body"))
         named = article or bool(names & CONTENT and tag in ("div", "section", "td"))
         key = (label, bad, above.wrappers + (label,) * marked, above.content + (label,) * named, above.article or article)
+        if len(stack) >= DEPTH:
+            key = (above.name, bad, above.wrappers, above.content, above.article)
         if key not in paths:
             paths[key] = Path(*key)
         stack.append((tag, paths[key]))
+        opened[tag] += 1
     close_block()
     return blocks
 
@@ -206,7 +227,7 @@ def main_text(page: str | None) -> str:
         path.nodes += 1
     shown = [p for p in paths if not p.furniture]
     total = sum(p.chars for p in shown)
-    held: dict[str, int] = {}
+    held: dict[int, int] = {}
     for p in shown:
         for w in dict.fromkeys(p.wrappers):
             held[w] = held.get(w, 0) + p.chars
