@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from urbanweave.functions import frame
 from urbanweave.plans.fixture_sql import with_tables as t
 
 ORACLES: dict[str, str] = {}
 
-_ALPHA = [repr(a) for a in frame._ALPHA]
-_BETA = [repr(b) for b in frame._BETA]
-_DELTA = [repr(d) for d in frame._DELTA]
-_KA = repr(frame.K.UTM_K0 * frame._A)
-_E = repr(frame._ECC)
+# Fixed values, written out here so that the twins share nothing with the code they judge: the ellipsoid and the
+# published series in the third flattening n, one row per multiple angle, one factor per power of n.
+_FLATTENING = 1 / 298.257223563
+_THIRD = _FLATTENING / (2 - _FLATTENING)
+_SERIES_ALPHA = ((1 / 2, -2 / 3, 5 / 16, 41 / 180), (0, 13 / 48, -3 / 5, 557 / 1440), (0, 0, 61 / 240, -103 / 140), (0, 0, 0, 49561 / 161280))
+_SERIES_BETA = ((1 / 2, -2 / 3, 37 / 96, -1 / 360), (0, 1 / 48, 1 / 15, -437 / 1440), (0, 0, 17 / 480, -37 / 840), (0, 0, 0, 4397 / 161280))
+_SERIES_DELTA = ((2, -2 / 3, -2, 116 / 45), (0, 7 / 3, -8 / 5, -227 / 45), (0, 0, 56 / 15, -136 / 35), (0, 0, 0, 4279 / 630))
+_ALPHA, _BETA, _DELTA = (
+    [repr(sum(c * _THIRD**k for k, c in enumerate(row, 1))) for row in rows] for rows in (_SERIES_ALPHA, _SERIES_BETA, _SERIES_DELTA)
+)
+_KA = repr(0.9996 * 6378137 / (1 + _THIRD) * (1 + _THIRD**2 / 4 + _THIRD**4 / 64))
+_E = repr((_FLATTENING * (2 - _FLATTENING)) ** 0.5)
 
 _FEATURES = """AND way_mean AS (SELECT way_id, avg(x) AS x, avg(y) AS y FROM way_nodes GROUP BY way_id HAVING count(*) >= 2),
 feats AS (
