@@ -82,6 +82,13 @@ def test_scores_equal_counters(spark, order):
         assert r["score"] == pytest.approx(w[5], abs=3e-4 * r["n_tokens"])  # two 16-bit codes a token
 
 
+def test_default_model_uses_five_words(spark):
+    rows = [(k, "the cat sat on the mat and the cat sat on a hat " * 2 + "w" * (k % 3), "en", "", "") for k in range(12)]
+    got = lm_score.score_corpus(spark.createDataFrame(rows, DOCS)).collect()
+    model = Counts([r[1] for r in rows if not held(r[0])], 5)
+    assert all(r["score"] == pytest.approx(model.score(rows[r["doc_id"]][1]), abs=3e-4 * r["n_tokens"]) for r in got)
+
+
 def test_contexts_sum_to_one():
     model = Counts(["a b a c", "b a", "c c a"], 3)
     words = [*{g[0] for g in model.c[1]}, "unknown"]
