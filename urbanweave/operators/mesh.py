@@ -5,7 +5,6 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from urbanweave.functions import constants as K
 from urbanweave.functions import kernel, lines, tags
@@ -14,11 +13,7 @@ from urbanweave.functions import kernel, lines, tags
 @F.arrow_udf(lines.PARTS)
 def fan_triangles(parts: pa.Array) -> pa.Array:
     """Triangles of convex parts, three points each."""
-    def fans(row: list) -> list:
-        found = [t for ring in kernel.rings_of(row) for t in kernel.triangles([ring])]
-        return [[{"x": x, "y": y} for x, y in t] for t in found]
-
-    return pa.array([fans(row) for row in parts.to_pylist()], kernel.PARTS_ARROW)
+    return kernel.packed(([t for ring in rings for t in kernel.triangles([ring])] for rings in kernel.each_region(parts)), closed=False)
 
 
 @F.arrow_udf(lines.PARTS)
@@ -131,7 +126,8 @@ def wall_quads(items: DataFrame) -> DataFrame:
     )
     v_cm = F.when(sheet, storey).otherwise(storey * K.FACADE_TILE_UV_SCALE)
     meta = described.select(F.col("osm_id").alias("b_id"), "height_m", u_cm.alias("u_cm"), v_cm.alias("v_cm"), "ring")
-    walls = wall_segments(meta, "b_id").join(meta.drop("ring"), "b_id")
+    # the estimated size of the descriptions is far below the real one; without the hint they go through the driver
+    walls = wall_segments(meta, "b_id").join(meta.drop("ring").hint("merge"), "b_id")
     size = lines.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) * 100.0
     walls = walls.withColumn("len_cm", size)
     run = Window.partitionBy("b_id").orderBy("wall").rowsBetween(Window.unboundedPreceding, 0)
@@ -172,15 +168,6 @@ def planar_uvs(points: DataFrame, mesh: str) -> DataFrame:
     return joined.withColumn("u", along(0)).withColumn("v", along(1)).drop("axes")
 
 
-def _union_cell(rows: pa.Table) -> pa.Table:
-    rings = [ring for row in rows["parts"].to_pylist() for ring in kernel.rings_of(row)]
-    merged = kernel.points_of(kernel.disjoint(rings))
-    return pa.table({
-        "cell": rows["cell"].slice(0, 1).combine_chunks(), "parts": pa.array([merged], kernel.PARTS_ARROW),
-        "height_m": pa.array([max(rows["height_m"].to_pylist())], pa.float64()),
-    })
-
-
 def union_footprints(items: DataFrame, size: float) -> DataFrame:
     """One mass per cell: the footprints' union as disjoint parts, with the greatest height.
 
@@ -190,7 +177,10 @@ def union_footprints(items: DataFrame, size: float) -> DataFrame:
 
     celled = overlay.ring_to_parts(buildings.with_lod_cell(items, size))
     once = celled.groupBy("cell", "parts").agg(F.max("height_m").alias("height_m"))
-    return once.groupBy("cell").applyInArrow(_union_cell, T.StructType([
-        T.StructField("cell", T.StringType()), T.StructField("parts", lines.PARTS), T.StructField("height_m", T.DoubleType()),
-    ]))
-
+    cells = once.groupBy("cell").agg(F.flatten(F.collect_list("parts")).alias("_all"), F.max("height_m").alias("height_m"))
+    # most cells hold one convex outline, which is its own union if it runs counter-clockwise
+    a, b, c = (F.get(F.get("_all", F.lit(0)), F.lit(i)) for i in range(3))
+    turn = (b["x"] - a["x"]) * (c["y"] - b["y"]) - (b["y"] - a["y"]) * (c["x"] - b["x"])
+    many = (F.size("_all") > 1) | ~F.coalesce(turn > 0, F.lit(False))
+    merged = kernel.add(cells, "_union", kernel.disjoint_parts, F.when(many, F.col("_all")).otherwise(kernel.none_of("_all")))
+    return merged.select("cell", F.when(many, F.col("_union")).otherwise(F.col("_all")).alias("parts"), "height_m")

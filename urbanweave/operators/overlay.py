@@ -73,10 +73,12 @@ def subtract_discs(shapes: DataFrame, discs: DataFrame) -> DataFrame:
 
 
 def ring_to_parts(items: DataFrame) -> DataFrame:
-    """Add the convex ``parts`` of each ``ring``. One pass: Python sees null for a rectangle."""
-    other = F.when(~lines.is_box(F.col("ring")), F.col("ring"))
-    cut = kernel.add(items.withColumn("_other", other), "parts", kernel.ring_parts, "_other")
-    return cut.withColumn("parts", F.when(F.col("_other").isNull(), F.array("ring")).otherwise(F.col("parts"))).drop("_other")
+    """Add the convex ``parts`` of each ``ring``. One pass: Python sees an empty list for a rectangle."""
+    other = F.when(~lines.is_box(F.col("ring")), F.col("ring")).otherwise(kernel.none_of("ring"))
+    marked = items.withColumn("_box", lines.is_box(F.col("ring")))
+    cut = kernel.add(marked, "parts", kernel.ring_parts, other)
+    whole = F.coalesce("_box", F.lit(True))
+    return cut.withColumn("parts", F.when(whole, F.array("ring")).otherwise(F.col("parts"))).drop("_box")
 
 
 def nav_layers(
