@@ -49,14 +49,17 @@ def _boxed(df: DataFrame, bounds: Column, pad: Column | float = 0.0) -> DataFram
 
 def carriageway_hits(rings: DataFrame, segments: DataFrame) -> DataFrame:
     """Ids of footprints nearer to a motor segment's middle line than its half width."""
-    left = _boxed(rings.select("osm_id", "ring"), lines.bounds(F.col("ring")))
+    boxed = _boxed(rings.select("osm_id", "ring"), lines.bounds(F.col("ring")))
+    # the join reads both sides twice; a rectangle is written without its outline
+    left = cut_lineage(boxed.withColumn("ring", F.when(~lines.is_box(F.col("ring")), F.col("ring"))))
     pieces = segments.select(F.explode(lines.segments(F.col("coords"))).alias("s"), "half")
     ends = F.struct(
         F.least("s.x0", "s.x1").alias("x0"), F.least("s.y0", "s.y1").alias("y0"),
         F.greatest("s.x0", "s.x1").alias("x1"), F.greatest("s.y0", "s.y1").alias("y1"),
     )
-    right = _boxed(pieces, ends, F.col("half"))
+    right = cut_lineage(_boxed(pieces, ends, F.col("half")))
     pairs = spatial.box_join(left, right, BUILDING_CELL_M)
+    pairs = pairs.withColumn("ring", F.coalesce("ring", lines.box_ring(*[F.col(f"l_{c}") for c in ("x0", "y0", "x1", "y1")])))
     # the gap of the boxes is a cheap lower bound; the case keeps the exact distance behind it
     gap_x = F.greatest(F.lit(0.0), F.least("s.x0", "s.x1") - F.col("l_x1"), F.col("l_x0") - F.greatest("s.x0", "s.x1"))
     gap_y = F.greatest(F.lit(0.0), F.least("s.y0", "s.y1") - F.col("l_y1"), F.col("l_y0") - F.greatest("s.y0", "s.y1"))
@@ -99,6 +102,8 @@ def cover_pairs(shapes: DataFrame, ratio: float = K.ENCLOSED_COVER_RATIO) -> Dat
     ``shapes`` is ``(shape, ring, area)``. Rectangles are judged in closed form, other rings in an Arrow kernel.
     """
     boxed = _boxed(shapes, lines.bounds(F.col("ring"))).withColumn("box", lines.is_box(F.col("ring")))
+    # the join reads both sides twice; a rectangle is written without its outline
+    boxed = cut_lineage(boxed.withColumn("ring", F.when(~F.col("box"), F.col("ring"))))
     left = boxed.select(*[F.col(c).alias(f"i_{c}") for c in ("shape", "ring", "area", "box")], "x0", "y0", "x1", "y1")
     right = boxed.select(*[F.col(c).alias(f"j_{c}") for c in ("shape", "ring", "area", "box")], "x0", "y0", "x1", "y1")
     width = F.least("l_x1", "r_x1") - F.greatest("l_x0", "r_x0")
@@ -110,9 +115,14 @@ def cover_pairs(shapes: DataFrame, ratio: float = K.ENCLOSED_COVER_RATIO) -> Dat
 
     pairs = spatial.box_join(left, right, BUILDING_CELL_M, condition=candidate)
     both = F.col("i_box") & F.col("j_box")
-    boxes = pairs.where(both).withColumn("common", width * height)
-    rest = kernel.add(pairs.where(~both), "common", kernel.overlap_area, "i_ring", "j_ring")
-    covered = boxes.unionByName(rest).where(F.col("common") >= ratio * F.col("i_area"))
+
+    def outline(side: str, box: str) -> Column:
+        whole = F.coalesce(f"{side}_ring", lines.box_ring(*[F.col(f"{box}_{c}") for c in ("x0", "y0", "x1", "y1")]))
+        return F.when(both, F.slice(whole, 1, 0)).otherwise(whole)
+
+    judged = kernel.add(pairs, "exact", kernel.overlap_area, outline("i", "l"), outline("j", "r"))
+    common = F.when(both, width * height).otherwise(F.col("exact"))
+    covered = judged.where(common >= ratio * F.col("i_area"))
     larger = F.col("j_area") > F.col("i_area") + 1e-6
     return covered.select("i_shape", "j_shape", larger.alias("larger"))
 

@@ -87,7 +87,8 @@ def box_join(
     rc = rc.withColumnsRenamed({c: f"r_{c}" for c in corners})
     lower_x, lower_y = F.greatest("l_x0", "r_x0"), F.greatest("l_y0", "r_y0")
     touching = (F.least("l_x1", "r_x1") >= lower_x) & (F.least("l_y1", "r_y1") >= lower_y)
-    pairs = lc.join(rc, keys).where(touching)
+    # sizes after explodes are estimated far too low; without the hint a side of any size goes through the driver
+    pairs = lc.join(rc.hint("merge"), keys).where(touching)
     home = (F.col("cx") == F.floor(lower_x / size)) & (F.col("cy") == F.floor(lower_y / size))
     if levels is not None:
         parts = F.pow(F.lit(2.0), F.col("level")).cast("long")
