@@ -3,14 +3,17 @@
 import contextlib
 import io
 import re
+import time
 
+import numpy as np
 import pyarrow as pa
 from conftest import make_ways
 from pyspark.sql import functions as F
 
 from urbanweave.functions import constants as K
 from urbanweave.functions import kernel, lines
-from urbanweave.operators import buildings, markings, mesh, raster
+from urbanweave.llm import line_dedup
+from urbanweave.operators import buildings, markings, mesh, raster, ribbons
 
 
 def plan_of(df) -> str:
@@ -109,3 +112,83 @@ def test_flat_buffers_equal_objects():
     assert made.to_pylist() == [kernel.points_of(r) for r in rows]
     for part in (made, made.slice(1), pa.concat_arrays([made, made])):
         assert list(kernel.each_region(part)) == [kernel.rings_of(r) for r in part.to_pylist()]
+
+
+def test_nearest_columns_are_those_of_all_pairs_with_ties_to_the_nearest_then_left():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 3, 7, 16, 33):
+        for share in (0.0, 0.3, 0.9, 1.0):
+            along = rng.integers(0, 6, (8, n)).astype(float) ** 2
+            along[rng.random((8, n)) < share] = np.inf
+            sums, source = raster.nearest_columns(along)
+            for row in range(8):
+                for i in range(n):
+                    best = min((along[row, j] + (i - j) ** 2, abs(i - j), j) for j in range(n))
+                    assert (sums[row, i], source[row, i]) == (best[0], best[2] if np.isfinite(best[0]) else i)
+
+
+def test_a_wide_row_with_a_single_site_is_not_walked_column_by_column():
+    along = np.full((2, 60_000), np.inf)
+    along[0, 0] = 9.0
+    start = time.process_time()
+    sums, source = raster.nearest_columns(along)
+    assert time.process_time() - start < 10
+    assert (sums[0] == 9.0 + np.arange(60_000.0) ** 2).all() and np.isinf(sums[1]).all() and (source[0] == 0).all()
+
+
+def test_a_kernel_runs_on_filled_rows_only():
+    square = [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]]
+    parts = kernel.packed([[], square, [], [], square])
+    seen = []
+
+    def copy(some):
+        seen.append(len(some))
+        return some
+
+    assert kernel.on_filled(copy, parts).to_pylist() == parts.to_pylist() and seen == [2]
+    assert kernel.on_filled(copy, parts.slice(2, 2)).to_pylist() == [[], []] and seen == [2]
+
+
+def test_a_blend_is_the_mean_of_the_stations_around(spark):
+    """Ways of different jumps have different reaches; each equals the plain mean over its stations."""
+    rows = [(o, i, 0, 50.0 * i, 0.0, 6.0 + i % 2 * o) for o in (0, 1, 5, 6, 8, 12) for i in range(4)]
+    got = ribbons.blended(spark.createDataFrame(rows, "ord long, i int, k int, x double, y double, w double")).collect()
+    assert len(got) == 4 + 5 * (1 + 3 * 25)
+    for o in (1, 5, 6, 8, 12):
+        mine = sorted((r["i"], r["m"], r["w"]) for r in got if r["ord"] == o)
+        plain = [6.0 + i % 2 * o for i, _, _ in mine]
+        reach = int(min(20.0, max(10.0, 2.0 * o)) // 2)
+        for k, (_, _, w) in enumerate(mine):
+            near = plain[max(0, k - reach) : k + reach + 1]
+            assert abs(w - sum(near) / len(near)) < 1e-9
+
+
+def test_pavement_is_gathered_without_dealing_outlines_out_again(spark):
+    """Behind the windows of a way nothing is shuffled but the other columns of the ways, all before the Python call."""
+    line = [(0, 0), (10, 0), (10.5, 3), (3, 3)]
+    ways = make_ways(spark, [(1, {"highway": "primary"}, line)]).withColumn("widths", F.array_repeat(F.lit(8.0), 4))
+    rows = [(1, i, 0, 1, float(x), float(y), 8.0) for i, (x, y) in enumerate(line)]
+    vertices = spark.createDataFrame(rows, "ord long, i int, k int, m int, x double, y double, w double")
+    assert ribbons.raw_strips(vertices).where("fold").count() > 0
+    paved = ribbons.paved(ways, vertices)
+    plan = plan_of(paved)
+    assert "Exchange" not in plan[: plan.index("ArrowEvalPython")]
+    apart = ribbons.strips(vertices).orderBy("i", "k", "m", "part_no").collect()
+    assert paved.first()["parts"] == [r["part"] for r in apart]
+    assert [(p["x"], p["y"]) for p in paved.first()["coords"]] == line
+
+
+def test_line_keys_lower_ascii_letters_only(spark):
+    """The quick rule for lines of ASCII gives what the rule by characters gives; other letters keep their case."""
+    lines_in = ["  Ab C\x0b", "\u00c4B \u212a\tZ", "", " \u00a0X ", "\x00Q\x7f", None]
+    df = spark.createDataFrame([(t,) for t in lines_in], "t string")
+    got = [r[0] for r in df.select(line_dedup.line_key(F.col("t"))).collect()]
+    assert got == ["ab c", "\u00c4b \u212a\tz", "", "\u00a0x", "\x00q\x7f", None]
+
+
+def test_lines_are_hashed_outside_of_lambdas(spark):
+    """A lambda is interpreted: a key was made four times and compared as a struct, in the square of the lines of a text."""
+    docs = spark.createDataFrame([(i, "Same\nline\nown %d" % i) for i in range(12)], "doc_id long, text string")
+    rows = line_dedup.dedup_lines(docs)
+    assert not re.search(r"lambdafunction\((named_)?struct\(.*xxhash64", str(rows._jdf.queryExecution().analyzed().toString()))
+    assert {(r["n_lines"], r["n_dropped"], r["kept"]) for r in rows.collect()} == {(3, 2, f"own {i}") for i in range(12)}

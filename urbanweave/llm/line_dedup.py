@@ -10,8 +10,12 @@ from urbanweave.session import cut_lineage
 
 
 def line_key(line: Column) -> Column:
-    """The form in which lines are compared: stripped of ASCII white space at both ends, A-Z lower-cased."""
-    return ascii_lower(F.btrim(line, F.lit(SPACE)))
+    """The form in which lines are compared: stripped of ASCII white space at both ends, A-Z lower-cased.
+
+    A line of ASCII alone, nearly every one, takes the built-in rule, which runs over bytes and not over characters.
+    """
+    bare = F.btrim(line, F.lit(SPACE))
+    return F.when(F.octet_length(line) == F.length(line), F.lower(bare)).otherwise(ascii_lower(bare))
 
 
 def dedup_lines(
@@ -23,21 +27,21 @@ def dedup_lines(
     by newlines, in order). Each row is a document, also if its id is null or repeated; a null text is one empty line;
     an empty table gives an empty one. Other columns stay inside ``row``, so their names cannot clash.
 
-    Lines are exploded as 128-bit hashes of their keys; the documents of a hash are counted with map-side
+    A line's key is made once and then hashed to 128 bits in plain columns; the documents of a hash are counted with map-side
     combining, so a line of every document costs no more than others. Only positions of dropped lines travel back
     to the documents, which are rebuilt by slicing between those positions: linear in the number of lines.
     """
     base = docs.select(F.struct("*").alias("row"), text_of(text_col).alias("text"), F.col(id_col).alias("id"))
     base = base.select("row", F.split("text", "\n").alias("lines"), digest(F.col("id"), F.col("text")).alias("doc"))
-    keyed = F.transform("lines", lambda x: F.struct(digest(line_key(x)).alias("line"), F.length(line_key(x)).alias("n")))
-    long_enough = F.filter(keyed, lambda x: x["n"] >= min_chars)
+    keys = F.transform("lines", line_key)
+    long_enough = F.length("key") >= min_chars
 
-    shared = base.select(F.explode(F.array_distinct(F.transform(long_enough, lambda x: x["line"]))).alias("line"))
+    shared = base.select(F.explode(F.array_distinct(keys)).alias("key")).where(long_enough).select(digest(F.col("key")).alias("line"))
     shared = shared.groupBy("line").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
     shared = cut_lineage(shared.select("line"))
 
-    placed = base.select("doc", F.posexplode(keyed).alias("at", "entry")).where(F.col("entry.n") >= min_chars)
-    placed = placed.select("doc", "at", F.col("entry.line").alias("line")).join(shared, "line")
+    placed = base.select("doc", F.posexplode(keys).alias("at", "key")).where(long_enough)
+    placed = placed.select("doc", "at", digest(F.col("key")).alias("line")).join(shared, "line")
     gone = placed.groupBy("doc").agg(F.sort_array(F.collect_set("at")).alias("gone"))
 
     n = F.size("lines")
