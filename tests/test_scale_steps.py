@@ -176,6 +176,12 @@ def test_pavement_is_gathered_without_dealing_outlines_out_again(spark):
     apart = ribbons.strips(vertices).orderBy("i", "k", "m", "part_no").collect()
     assert paved.first()["parts"] == [r["part"] for r in apart]
     assert [(p["x"], p["y"]) for p in paved.first()["coords"]] == line
+    # vertices that come twice keep the order of the windows, so each strip is cut by the one before it there
+    twice = vertices.unionByName(vertices)
+    pieces = ribbons.strips(twice).collect()
+    area = lambda ring: abs(sum(p["x"] * q["y"] - q["x"] * p["y"] for p, q in zip(ring, ring[1:]))) / 2
+    gathered = ribbons.paved(ways, twice).first()["parts"]
+    assert abs(sum(area(r["part"]) for r in pieces) - sum(map(area, gathered))) < 1e-9
 
 
 def test_line_keys_lower_ascii_letters_only(spark):
