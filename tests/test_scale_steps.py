@@ -198,3 +198,24 @@ def test_lines_are_hashed_outside_of_lambdas(spark):
     rows = line_dedup.dedup_lines(docs)
     assert not re.search(r"lambdafunction\((named_)?struct\(.*xxhash64", str(rows._jdf.queryExecution().analyzed().toString()))
     assert {(r["n_lines"], r["n_dropped"], r["kept"]) for r in rows.collect()} == {(3, 2, f"own {i}") for i in range(12)}
+
+
+def test_cut_lineage_gives_its_shuffle_files_back(spark):
+    import glob
+    import time
+
+    from pyspark.sql import functions as F
+
+    from urbanweave.session import FREE_SHUFFLES, cut_lineage
+
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    before, setting = files(), spark.conf.get(FREE_SHUFFLES, None)
+    kept = spark.range(10_000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    cut = cut_lineage(kept)
+    end = time.time() + 20
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(FREE_SHUFFLES, None) == setting
+    assert cut.count() == 7 and kept.count() == 7 and kept.count() == 7
