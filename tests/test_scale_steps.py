@@ -219,3 +219,20 @@ def test_cut_lineage_gives_its_shuffle_files_back(spark):
     assert not files() - before
     assert spark.conf.get(FREE_SHUFFLES, None) == setting
     assert cut.count() == 7 and kept.count() == 7 and kept.count() == 7
+
+
+def test_junction_candidates_write_no_tags(spark, monkeypatch):
+    from urbanweave.operators import junctions, roads
+
+    written = []
+    cut = junctions.cut_lineage
+    monkeypatch.setattr(junctions, "cut_lineage", lambda df: written.append(df.columns) or cut(df))
+    ways = make_ways(spark, [
+        (1, {"highway": "primary", "name": "a"}, [(0, 0), (100, 0)]),
+        (2, {"highway": "secondary", "lanes": "2"}, [(50, -50), (50, 0), (50, 50)]),
+        (3, {"highway": "primary"}, [(100, 0), (200, 0)]),
+        (4, {"highway": "primary"}, [(100, 0), (100, 90)]),
+    ])
+    found = junctions.junction_candidates(ways, roads.node_degree(ways)).collect()
+    assert {(r["osm_id"], r["nx"], r["pos"]) for r in found} == {(1, 100_000, 1), (3, 100_000, 0), (4, 100_000, 0)}
+    assert written and not any("tags" in columns for columns in written)

@@ -51,19 +51,22 @@ def junction_candidates(ways: DataFrame, degree: DataFrame) -> DataFrame:
 
     ``(nx, ny, ord, pos, osm_id, width, arms)``, one row per way at a node; ``pos`` is the way's first vertex there.
     """
-    vertices = way_vertices(ways.where(F.size("coords") >= 2), "osm_id", "ord", "tags")
-    ring_nodes = vertices.where(tags.is_roundabout() & tags.is_primary_junction()).select("nx", "ny").distinct()
+    # the rules of the tags are judged once a way; no vertex carries the tags through a shuffle
+    told = ways.where(F.size("coords") >= 2).select(
+        "osm_id", "ord", "coords", tags.is_primary_junction().alias("primary"), tags.road_width().alias("width"),
+        (tags.is_roundabout() & tags.is_primary_junction()).alias("ring"), (tags.is_motor() & ~tags.is_roundabout()).alias("motor"),
+    )
+    ring_nodes = way_vertices(told.where("ring")).select("nx", "ny").distinct()
     busy = degree.where("degree >= 3").select("nx", "ny")
-    motor = vertices.where(tags.is_motor() & ~tags.is_roundabout())
+    motor = way_vertices(told.where("motor"), "osm_id", "ord", "primary", "width").drop("n_vertices")
     at = cut_lineage(motor.join(busy, ["nx", "ny"]).join(ring_nodes, ["nx", "ny"], "left_anti"))
     visits = at.groupBy("nx", "ny", "ord").agg(
-        F.first("osm_id").alias("osm_id"), F.first("tags").alias("tags"), F.min("pos").alias("pos"),
+        F.first("osm_id").alias("osm_id"), F.first("primary").alias("primary"), F.first("width").alias("width"), F.min("pos").alias("pos"),
     )
-    primary = F.count_if(tags.is_primary_junction())
-    fit = visits.groupBy("nx", "ny").agg(F.count_distinct("osm_id").alias("n_ids"), primary.alias("n_primary"))
+    fit = visits.groupBy("nx", "ny").agg(F.count_distinct("osm_id").alias("n_ids"), F.count_if("primary").alias("n_primary"))
     fit = fit.where("n_ids >= 2 and n_primary >= 2").select("nx", "ny")
     rows = visits.join(fit, ["nx", "ny"]).join(node_arms(at), ["nx", "ny", "ord"])
-    return rows.select("nx", "ny", "ord", "pos", "osm_id", tags.road_width().alias("width"), "arms")
+    return rows.select("nx", "ny", "ord", "pos", "osm_id", "width", "arms")
 
 
 def cluster_nodes(nodes: DataFrame, reach: float = K.JUNCTION_CLUSTER_M) -> DataFrame:
