@@ -236,3 +236,23 @@ def test_junction_candidates_write_no_tags(spark, monkeypatch):
     found = junctions.junction_candidates(ways, roads.node_degree(ways)).collect()
     assert {(r["osm_id"], r["nx"], r["pos"]) for r in found} == {(1, 100_000, 1), (3, 100_000, 0), (4, 100_000, 0)}
     assert written and not any("tags" in columns for columns in written)
+
+
+def test_shard_manifest_sums_the_counts(spark):
+    from urbanweave.operators import osm
+
+    rows = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "catalog_shard string")
+    out = osm.shard_manifest(rows)
+    assert [(r[0], r[1], r[2]) for r in out.collect()] == [(None, 1, 4), ("a", 2, 4), ("b", 1, 4)]
+    assert "sum(feature_count" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_vertex_mean_of_five_adds_in_order(spark):
+    rings = [[(0.1, -0.0), (1e16, 2.5), (0.3, 0.7), (-1e16, 0.9), (0.1, -0.0)], [(0.1, 0.2), (0.3, 0.5)]]
+    rows = spark.createDataFrame([(i, r) for i, r in enumerate(rings)], "i int, c array<struct<x:double,y:double>>")
+    got = rows.orderBy("i").select(lines.vertex_mean(F.col("c")).alias("m")).collect()
+    for ring, row in zip(rings, got, strict=True):
+        sums = [0.0, 0.0]
+        for p in ring:
+            sums = [s + v for s, v in zip(sums, p, strict=True)]
+        assert (row["m"]["x"], row["m"]["y"]) == (sums[0] / len(ring), sums[1] / len(ring))

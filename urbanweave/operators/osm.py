@@ -71,7 +71,7 @@ def features(ways: DataFrame, nodes: DataFrame, west: float, north: float, size:
 def shard_manifest(feature_rows: DataFrame) -> DataFrame:
     """Feature count per shard in shard order, with the total repeated."""
     counts = feature_rows.groupBy("catalog_shard").agg(F.count("*").alias("feature_count"))
-    total = feature_rows.agg(F.count("*").alias("total_count"))
+    total = counts.agg(F.sum("feature_count").alias("total_count"))  # over the counts: the features are made once
     return counts.join(F.broadcast(total)).orderBy("catalog_shard")
 
 
