@@ -34,7 +34,8 @@ STATS = 5
 WIDTH = DIMS + SHAPES
 UNIT = 127  # length of a stored vector
 REACH = 2  # words of context on either side; at most 2, as two ends stand between texts
-BLOCK = 24 << 20  # of text that one block of the counting pass gathers
+BLOCK = 16 << 20  # of text that one block of the counting pass gathers
+POOLED = 4 << 20  # of text that is pooled at once
 STEP = 1 << 15  # words that are expanded to vectors at once
 MIN_COUNT = 2  # a word seen once has no vector: it could only repeat the words around it
 SAMPLE_DOCS = 6_000  # labelled documents that the network is fitted on, at most
@@ -104,8 +105,9 @@ def block_sums(texts: Iterator[bytes]) -> tuple[np.ndarray, np.ndarray]:
         sums[codes[order[first]], :DIMS] += np.add.reduceat(around[order].astype("i4"), first, axis=0)
     sums[:, DIMS] = np.bincount(s.codes, minlength=len(hashes))
     keep = np.array([w != END for w in s.words], bool)
-    order = np.argsort(hashes[keep])
-    return hashes[keep][order], sums[keep][order]
+    order = np.flatnonzero(keep)
+    order = order[np.argsort(hashes[order])]
+    return hashes[order], sums[order]
 
 
 def count_contexts(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
@@ -113,14 +115,13 @@ def count_contexts(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[p
     pack = zstandard.ZstdCompressor(level=1).compress
     for block in text_blocks(batches, size_limit=BLOCK):
         hashes, sums = block_sums(raw_texts(block))
-        small = np.abs(sums).max(axis=1, initial=0) <= 127
+        small = np.maximum(sums.max(axis=1, initial=0), -sums.min(axis=1, initial=0)) <= 127
         rows = []
         for size, chosen in ((1, small), (4, ~small)):
-            keys, values = hashes[chosen], sums[chosen].astype(f"i{size}")
-            rows += [
-                (shard, size, pack(packed_keys(keys[at])), pack(np.ascontiguousarray(values[at].T).tobytes()))
-                for shard, at in by_shard((keys % np.uint64(shards)).astype("i8"))
-            ]
+            places = np.flatnonzero(chosen)
+            for shard, at in by_shard((hashes[places] % np.uint64(shards)).astype("i8")):  # copies are made a shard at a time
+                values = np.ascontiguousarray(sums[places[at]].astype(f"i{size}").T)
+                rows.append((shard, size, pack(packed_keys(hashes[places[at]])), pack(values.tobytes())))
         columns = zip(*rows, strict=True) if rows else ((), (), (), ())
         kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["shard", "bytes", "keys", "sums"])
@@ -191,7 +192,7 @@ class Pooler:
         out, start, size = np.zeros((len(texts), WIDTH + STATS)), 0, 0
         for k, text in enumerate(texts):
             size += len(text)
-            if size >= BLOCK // 2 or k == len(texts) - 1:
+            if size >= POOLED or k == len(texts) - 1:
                 self.pool_block(texts[start : k + 1], out[start : k + 1])
                 start, size = k + 1, 0
         return out
