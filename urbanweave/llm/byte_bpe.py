@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from urbanweave.llm.common import text_of
 from urbanweave.llm.shared_arrays import by_shard, found_in, load, new_folder, save, shard_count, word_hashes
 
-PIECE_WORDS = 1 << 20  # that are put together at once
+PIECE_WORDS = 1 << 18  # that are put together at once; bounds what a worker holds beside its batch
 BUCKETS = 1 << 15
 NONE, PLACES = 1 << 30, 1 << 32
 
