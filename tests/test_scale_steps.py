@@ -4,16 +4,20 @@ import contextlib
 import io
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from conftest import make_ways
 from pyspark.sql import functions as F
 
 from urbanweave.functions import constants as K
 from urbanweave.functions import kernel, lines
-from urbanweave.llm import line_dedup
-from urbanweave.operators import buildings, markings, mesh, raster, ribbons
+from urbanweave.llm import line_dedup, quality_model
+from urbanweave.llm.shared_arrays import unpacked_keys
+from urbanweave.operators import buildings, markings, mesh, raster, ribbons, roads
+from urbanweave.plans import fixtures
 
 
 def plan_of(df) -> str:
@@ -256,3 +260,65 @@ def test_vertex_mean_of_five_adds_in_order(spark):
         for p in ring:
             sums = [s + v for s, v in zip(sums, p, strict=True)]
         assert (row["m"]["x"], row["m"]["y"]) == (sums[0] / len(ring), sums[1] / len(ring))
+
+
+def order_tables(spark, folder):
+    """Orders of one to four items; key 6 comes twice, key 7 without items, and one customer is null."""
+    orders = [(1, 5, "F", "1-URGENT"), (3, 8, "O", "2-HIGH"), (6, 2, "F", "3-MEDIUM"), (6, 9, "O", "5-LOW"), (7, 1, "F", "2-HIGH"), (9, None, "F", "2-HIGH")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{folder}/orders.parquet")
+    items = [(k, i) for k, n in ((1, 1), (3, 4), (6, 1), (9, 3)) for i in range(n)]
+    spark.createDataFrame(items, "l_orderkey long, l_linenumber int").write.parquet(f"{folder}/lineitem.parquet")
+
+
+def test_ways_of_repeated_orders_keep_all_vertices(spark, tmp_path):
+    order_tables(spark, tmp_path)
+    ways = fixtures.ways(spark, str(tmp_path))
+    assert "posexplode" not in plan_of(ways) and "Generate" not in plan_of(ways)  # vertices are not taken apart and shuffled
+    vertices = fixtures.way_nodes(spark, str(tmp_path)).collect()
+    want = {}
+    for r in sorted(vertices, key=lambda r: (r["way_id"], r["seq"], r["x"] or 0.0, r["y"] or 0.0)):
+        want.setdefault(r["way_id"], []).append((r["x"], r["y"]))
+    rows = ways.collect()
+    assert sorted((r["osm_id"], r["tags"]["highway"]) for r in rows) == [(3, "primary"), (6, "footway"), (6, "secondary"), (9, "primary")]
+    for r in rows:
+        assert [(p["x"], p["y"]) for p in r["coords"]] == want[r["osm_id"]]
+
+
+def test_valid_rings_do_not_pass_python(spark):
+    bow = [(0, 0), (10, 10), (10, 0), (0, 10), (0, 0)]
+    kite = [(0, 0), (4, 1), (5, 5), (1, 4), (0, 0)]
+    ways = make_ways(spark, [(1, {"building": "yes"}, kite), (2, {"building": "yes"}, bow)])
+    rings = buildings.footprints(ways)
+    assert "Union" in plan_of(rings)  # the rows without a crossing take a branch of their own
+    got = sorted((r["osm_id"], r["part_no"], round(r["others"], 6)) for r in rings.collect())
+    assert got == [(1, 0, 0.0), (2, 0, 25.0), (2, 1, 25.0)]
+
+
+def test_sub_line_makes_its_segments_once(spark):
+    c = F.col("coords")
+    ways = make_ways(spark, [(1, {}, [(0, 0), (10, 0), (10, 10), (20, 10)]), (2, {}, [(0, 0), (0, 0), (3, 4)])])
+    cut = ways.select("osm_id", lines.sub_line(c, F.lit(4.0), F.lit(25.0)).alias("a"), lines.sub_line(c, F.lit(-1.0), F.lit(10.0)).alias("b"))
+    got = {r["osm_id"]: ([tuple(p) for p in r["a"]], [tuple(p) for p in r["b"]]) for r in cut.collect()}
+    assert got[1] == ([(4.0, 0.0), (10.0, 0.0), (10.0, 10.0), (15.0, 10.0)], [(0.0, 0.0), (0.0, 0.0), (10.0, 0.0)])
+    assert got[2] == ([(3 * 0.8, 3.2), (3.0, 4.0), (3.0, 4.0)], [(0.0, 0.0), (0.0, 0.0), (0.0, 0.0), (3.0, 4.0), (3.0, 4.0)])
+    assert plan_of(ways.select(lines.sub_line(c, F.lit(4.0), F.lit(25.0)).alias("s"))).count("zip_with") == 1
+
+
+def test_junction_windows_are_joined_once(spark):
+    cross = [(1, {"highway": "primary"}, [(-50, 0), (0, 0), (50, 0)]), (2, {"highway": "primary"}, [(0, -50), (0, 0), (0, 50)])]
+    ways = make_ways(spark, cross)
+    pieces = markings.split_at_junctions(ways, roads.node_degree(ways))
+    assert "cx" not in plan_of(pieces)  # the cells of the spatial join are behind a lineage cut
+    assert sorted(r["osm_id"] for r in pieces.collect()) == [1, 1, 2, 2]
+
+
+def test_context_sums_are_copied_by_shard():
+    text = " ".join(f"w{n}" for n in range(300_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([text])], ["text"])
+    hashes, sums = quality_model.block_sums(iter([text.encode()]))
+    tracemalloc.start()
+    rows = next(quality_model.count_contexts(iter([batch]), 32)).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(len(unpacked_keys(zstandard.ZstdDecompressor().decompress(r["keys"]))) for r in rows) == len(hashes)
+    assert peak < 3.3 * sums.nbytes
