@@ -264,15 +264,17 @@ def nearest_columns(along: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def nearest_sites(px: DataFrame, site: Column, ncols: int, carry: str | None = None) -> DataFrame:
     """Squared pixel distance ``d2`` of every pixel of a dense table to the nearest site (null without any site).
 
-    First every column finds the nearest site above and below with two windows; then bands of rows combine the
-    columns in an Arrow kernel, in time linear in the pixels but for a logarithm. With ``carry`` the value of that column at the nearest site comes along.
+    First every column finds the nearest site above and below with two running windows, one from either end (a frame that
+    ends at the column's end would be summed up anew for every row); then bands of rows combine the columns in an Arrow
+    kernel, in time linear in the pixels but for a logarithm. With ``carry`` the value of that column at the nearest site
+    comes along as ``carried``.
     """
     value = F.col(carry) if carry else F.lit(0.0)
     spot = F.when(site, F.struct(F.col("row").alias("r"), value.cast("double").alias("c")))
-    up = Window.partitionBy("col").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy("col").orderBy("row").rowsBetween(0, Window.unboundedFollowing)
+    column, so_far = Window.partitionBy("col"), (Window.unboundedPreceding, Window.currentRow)
+    down, up = (F.last("s", True).over(column.orderBy(o).rangeBetween(*so_far)) for o in (F.col("row"), F.col("row").desc()))
     near = px.select("row", "col", spot.alias("s"))
-    near = near.select("row", "col", F.last("s", True).over(up).alias("a"), F.first("s", True).over(down).alias("b"))
+    near = near.select("row", "col", down.alias("a"), up.alias("b"))
     above, below = F.col("row") - F.col("a.r"), F.col("b.r") - F.col("row")
     use_a = F.col("b").isNull() | (above <= below)
     near = near.select(
