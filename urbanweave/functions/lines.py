@@ -10,7 +10,7 @@ import math
 import re
 from functools import wraps
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,16 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def finished(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with the named columns made once a row, after its filters.
+
+    Spark copies the rule behind a column into every reader, and for an ``explode`` twice into a filter in front of it,
+    which may run before the others; rows of an explode are plain columns to all of them.
+    """
+    rows = df.withColumn("_made", F.explode(F.array(F.struct(*names))))
+    return rows.select(*[F.col(f"_made.{c}" if c in names else c) for c in df.columns])
+
+
 def is_reference(value: Column) -> bool:
     """A plain column or lambda variable, which costs nothing to read again."""
     return re.fullmatch(r"[A-Za-z_][\w.]*", value._jc.toString()) is not None if hasattr(value, "_jc") else False
@@ -343,33 +353,42 @@ def ribbon(coords: Column, widths: Column) -> Column:
 
 
 def segment_boxes(coords: Column, half: Column) -> Column:
-    """Flat-ended boxes of the given half width around every segment, as closed rings."""
-    def ring(s: Column) -> Column:
+    """Flat-ended boxes of the given half width around every segment, as closed rings; the half width is judged once a line."""
+    def ring(s: Column, h: Column) -> Column:
+        def around(n: Column) -> Column:
+            a = pt(s["x0"] + n["x"], s["y0"] + n["y"])
+            return F.array(
+                a, pt(s["x0"] - n["x"], s["y0"] - n["y"]), pt(s["x1"] - n["x"], s["y1"] - n["y"]), pt(s["x1"] + n["x"], s["y1"] + n["y"]), a,
+            )
+
         ux, uy = F.try_divide(s["x1"] - s["x0"], s["len"]), F.try_divide(s["y1"] - s["y0"], s["len"])
-        nx, ny = -uy * half, ux * half
-        a = pt(s["x0"] + nx, s["y0"] + ny)
-        return F.array(a, pt(s["x0"] - nx, s["y0"] - ny), pt(s["x1"] - nx, s["y1"] - ny), pt(s["x1"] + nx, s["y1"] + ny), a)
+        return let(pt(-uy * h, ux * h), around)
 
-    return F.transform(F.filter(segments(coords), lambda s: s["len"] > 0), ring)
+    def boxes(h: Column) -> Column:
+        return F.transform(F.filter(segments(coords), lambda s: s["len"] > 0), lambda s: ring(s, h))
+
+    return boxes(half) if is_reference(half) else let(half, boxes)
 
 
 def disc(center: Column, radius: Column, quadrant: int = 16) -> Column:
-    """Closed ring of a regular polygon with ``4 * quadrant`` corners on the circle."""
+    """Closed ring of a regular polygon with ``4 * quadrant`` corners on the circle; centre and radius are judged once a disc."""
     steps = 4 * quadrant
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(steps)),
-        lambda i: pt(
-            center["x"] + radius * F.cos(F.pmod(i, F.lit(steps)) * (2 * math.pi / steps)),
-            center["y"] + radius * F.sin(F.pmod(i, F.lit(steps)) * (2 * math.pi / steps)),
-        ),
-    )
+    angles = [F.lit(i % steps) * (2 * math.pi / steps) for i in range(steps + 1)]
+    circle = F.array(*[F.struct(F.cos(a).alias("x"), F.sin(a).alias("y")) for a in angles])  # becomes a literal
+
+    def corners(c: Column, r: Column) -> Column:
+        return F.transform(circle, lambda u: pt(c["x"] + r * u["x"], c["y"] + r * u["y"]))
+
+    if is_reference(center) and is_reference(radius):
+        return corners(center, radius)
+    return let(F.struct(center.alias("c"), radius.alias("r")), lambda v: corners(v["c"], v["r"]))
 
 
 @bound
 def buffer_parts(coords: Column, half: Column, cap: str = "round") -> Column:
     """Convex parts that together cover the line's buffer: a box per segment, a disc per joint (and per round end)."""
     joints = coords if cap == "round" else F.slice(coords, F.lit(2), F.greatest(F.size(coords) - 2, F.lit(0)))
-    return F.concat(segment_boxes(coords, half), F.transform(joints, lambda p: disc(p, half)))
+    return let(half, lambda h: F.concat(segment_boxes(coords, h), F.transform(joints, lambda p: disc(p, h))))
 
 
 @bound

@@ -241,15 +241,19 @@ def thin_arrows(arrows: DataFrame, same_m: float = 14.0, cross_m: float = 4.2) -
 
 
 def outside_areas(points: DataFrame, areas: DataFrame, margin: float = 0.0) -> DataFrame:
-    """Points ``x, y`` that no convex part of the areas holds (or, with a margin, comes nearer than)."""
-    keyed = points.withColumn("_id", F.struct("ord", "pos", "step"))
+    """Points ``x, y`` that no convex part of the areas holds (or, with a margin, comes nearer than).
+
+    The points and the boxes of the parts are made once: the cells of the join would copy the rules behind every corner
+    into each of its filters and sequences.
+    """
+    keyed = cut_lineage(points.withColumn("_id", F.struct("ord", "pos", "step")))
     left = keyed.select(
         F.col("_id").alias("p_id"), F.col("x").alias("px"), F.col("y").alias("py"),
         (F.col("x") - margin).alias("x0"), (F.col("y") - margin).alias("y0"),
         (F.col("x") + margin).alias("x1"), (F.col("y") + margin).alias("y1"),
     )
-    part = areas.select(F.explode("parts").alias("part")).withColumn("b", lines.bounds(F.col("part")))
-    right = part.select("part", "b.x0", "b.y0", "b.x1", "b.y1")
+    part = lines.finished(areas.select("parts"), "parts").select(F.explode("parts").alias("part")).withColumn("b", lines.bounds(F.col("part")))
+    right = cut_lineage(part.select("part", "b.x0", "b.y0", "b.x1", "b.y1"))
     inside = lines.point_in_ring(F.col("px"), F.col("py"), F.col("part"))
     near = F.array_min(
         F.transform(lines.segments(F.col("part")), lambda s: lines.point_segment_distance(F.col("px"), F.col("py"), s))

@@ -758,8 +758,8 @@ def approach_arrows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def junction_arrows(spark: SparkSession, sf: str) -> DataFrame:
-    ways = fx.ways(spark, sf)
-    degree = roads.node_degree(ways)
+    ways = road_table(spark, sf)
+    degree = stored(roads.node_degree(ways))  # the approaches and the junctions both read it
     rows = junctions.junction_arrows(ways, degree, junctions.typed_junctions(ways, degree))
     return rows.select("osm_id", "pos", "step", rnd("x", 3).alias("x"), rnd("y", 3).alias("y"), rnd("yaw", 6).alias("yaw"),
                        rnd(lines.ring_area(junctions.arrow_ring()), 3).alias("area"))
