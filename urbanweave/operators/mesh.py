@@ -54,7 +54,7 @@ def parts_cell(shapes: DataFrame, size: float = K.LOD0_CELL_M) -> DataFrame:
             ),
         ),
     )
-    rows = shapes.withColumn("_c", center).where("_c.a > 0")
+    rows = lines.finished(lines.finished(shapes, "parts").withColumn("_c", center), "_c").where("_c.a > 0")
     # to the micrometre, so that shapes centred on a cell's edge do not depend on the last bits of a sum
     cx, cy = F.round(F.col("_c.x") / F.col("_c.a"), 6), F.round(F.col("_c.y") / F.col("_c.a"), 6)
     return rows.withColumn("cell", tags.cell_token(tags.cell(cx, size), tags.cell(cy, size))).drop("_c")
